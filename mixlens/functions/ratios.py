@@ -27,10 +27,10 @@ def eps_ratio(num: Column | str, den: Column | str, digits: int | None = None, e
 def round_to(c: Column | str, digits: int) -> Column:
     """Half-up rounding to ``digits``, as a double.
 
-    The detour over a decimal makes half-way cases follow the written digits
-    and not the binary representation.
+    The detour over nine decimals drops binary noise first, so half-way cases
+    follow the written digits.
     """
-    return F.round(_col(c).cast("decimal(38,12)"), digits).cast("double")
+    return F.round(_col(c).cast("decimal(38,9)"), digits).cast("double")
 
 
 def label(cases: Sequence[tuple[Column, str]], otherwise: str | None = None) -> Column:

@@ -25,7 +25,7 @@ def ratio(num: str, den: str) -> str:
 
 
 def rnd(x: str, digits: int) -> str:
-    return f"cast(round(cast({x} as decimal(38,12)), {digits}) as double)"
+    return f"cast(round(cast({x} as decimal(38,9)), {digits}) as double)"
 
 
 def dbl(x: str) -> str:
@@ -131,7 +131,7 @@ def _solve(group: str, prefix: str) -> dict[str, str]:
         [f"avg({x}) as m{i}" for i, x in enumerate(names)]
         + [f"covar_pop({names[i]}, {names[j]}) as a{i}_{j}" for i in range(n) for j in range(n + 1)]
     )
-    steps = {f"{prefix}0": f"select {group} as series, count(*) as n, {moments} from features group by 1"}
+    steps = {f"{prefix}step0": f"select {group} as series, count(*) as n, {moments} from features group by 1"}
     means = ", ".join(f"m{i}" for i in range(n + 1))
     for p in range(n):
         cells = []
@@ -141,11 +141,11 @@ def _solve(group: str, prefix: str) -> dict[str, str]:
                     cells.append(f"a{p}_{j} / a{p}_{p} as a{i}_{j}")
                 else:
                     cells.append(f"a{i}_{j} - a{i}_{p} * a{p}_{j} / a{p}_{p} as a{i}_{j}")
-        steps[f"{prefix}{p + 1}"] = f"select series, n, {means}, {', '.join(cells)} from {prefix}{p}"
+        steps[f"{prefix}step{p + 1}"] = f"select series, n, {means}, {', '.join(cells)} from {prefix}step{p}"
     intercept = f"m{n} - (" + " + ".join(f"a{i}_{n} * m{i}" for i in range(n)) + ")"
     coefs = ", ".join(f"round(a{i}_{n}, 6) as coef_{x}" for i, x in enumerate(_X))
     steps[f"{prefix}model"] = (
-        f"select series, round({intercept}, 6) as intercept, {coefs}, n, 'ok' as status from {prefix}{n}"
+        f"select series, round({intercept}, 6) as intercept, {coefs}, n, 'ok' as status from {prefix}step{n}"
     )
     return steps
 
@@ -181,7 +181,7 @@ CTES: dict[str, str] = {
         cast(qty * 5 as bigint) as page_views_total, p_size || '.5%' as page_views_pct_total,
         case when p_size % 2 = 0 then p_size || '.25%' else 'n/a' end as buy_box_pct,
         case when p_size % 2 = 0 then p_size + 0.25 end as buy_box, cast(qty as bigint) as units_ordered,
-        cast(round(cast(cast(tax as double) * 100 / items as decimal(38,12)), 2) as decimal(18,2)) as unit_session,
+        cast(round(cast(cast(tax as double) * 100 / items as decimal(38,9)), 2) as decimal(18,2)) as unit_session,
         cast(round(sales, 2) as decimal(18,2)) as sales, cast(items as bigint) as items
         from (select l_partkey, sum(cast(l_extendedprice * 0.1::double as decimal(18,4))) as sales,
               sum(cast(l_quantity as bigint)) as qty, sum(cast(l_tax as decimal(18,4))) as tax, count(*) as items
@@ -230,13 +230,6 @@ CTES: dict[str, str] = {
         cast(week(d) as int) as week, cast(isodow(d) as int) as day_of_week,
         cast(isodow(d) >= 6 as int) as is_weekend, cast(isoyear(d) as int) as iso_year
         from (select distinct start_date as d from ads where start_date is not null) q""",
-    "weekly_channel": """select cast(date_id - cast(dayofweek(date_id) as int) as date) as week,
-        coalesce(ad_product, 'unknown') as ad_product, sum(spend) as total_spend, sum(sales) as total_sales,
-        cast(sum(clicks) as bigint) as total_clicks, cast(sum(orders) as bigint) as total_orders
-        from ads_by_name left join (select campaign_name, arg_min(ad_product, campaign_id) filter (where true) as unused,
-            min(campaign_id) as campaign_id from dim_campaign_name group by 1) k using (campaign_name)
-        left join (select campaign_id, ad_product from dim_campaign_name) p using (campaign_id)
-        group by 1, 2""",
     "weekly": """select r as series, w as week_start, cast(year(w) as int) as year, cast(week(w) as int) as week,
         sp as spend_sp, sb as spend_sb, dsp as spend_dsp, sp + sb + dsp as spend_total,
         impressions_total, clicks_total, ad_sales, ad_orders, total_sales, total_sales - ad_sales as organic_sales
@@ -308,7 +301,7 @@ def _harvest(extra: str = "") -> str:
     return f"""select customer_search_term, campaign_name, targeting_type, match_type, impressions, clicks,
     round(s, 2) as spend, round(a, 2) as sales, orders, roas, acos, conversion_rate, rank_in_campaign from (
     select *, {rnd(ratio('a', 's'), 2)} as roas, {rnd(ratio('s', 'a'), 4)} as acos, {rnd(ratio('orders', 'clicks'), 4)} as conversion_rate,
-    row_number() over (partition by campaign_name order by a desc, customer_search_term, match_type, targeting_type) as rank_in_campaign
+    cast(row_number() over (partition by campaign_name order by a desc, customer_search_term, match_type, targeting_type) as int) as rank_in_campaign
     from (select customer_search_term, campaign_name, targeting_type, match_type, cast(sum(impressions) as bigint) as impressions,
           cast(sum(clicks) as bigint) as clicks, sum(spend) as s, sum(sales_7d) as a, cast(sum(orders_7d) as bigint) as orders
           from fact_terms join dim_campaign using (campaign_id)
@@ -390,13 +383,11 @@ def _sql(body: str) -> str:
 
     def need(sql: str) -> None:
         for name in CTES:
-            if name not in order and re.search(rf"\b(?:from|join)\s+{name}\b|,\s+{name}\b(?!\s+as)", sql):
+            if name not in order and re.search(rf"\b(?:from|join)\s+{name}\b", sql):
                 need(CTES[name])
-                if name not in order:
-                    order.append(name)
+                order.append(name)
 
     need(body)
-    # Some names are also columns; an expression that is not needed does no harm, but order matters.
     return "with " + ", ".join(f"{n} as ({CTES[n]})" for n in order) + " " + body if order else body
 
 

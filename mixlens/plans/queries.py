@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from mixlens.functions import cleaning, dates, ratios, text
 from mixlens.operators import anonymize as anon
@@ -631,9 +632,10 @@ def t6_checks_from_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 def t7_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drift of the orders table against an expected schema and value ranges."""
     orders = t.table(spark, sf_dir, "orders")
-    expected = "o_orderkey bigint, o_custkey string, o_totalprice double, o_channel string, o_orderstatus string, o_orderdate timestamp"
-    from pyspark.sql.types import StructType
-
+    expected = (
+        "o_orderkey bigint, o_custkey string, o_totalprice double, o_channel string, "
+        "o_orderstatus string, o_orderdate timestamp_ntz"
+    )
     ranges = {"o_totalprice": (1000.0, 400000.0), "o_custkey": (0.0, None)}
     return quality.schema_drift(orders, StructType.fromDDL(expected), ranges)
 

@@ -205,7 +205,7 @@ def raw_business(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Featured Offer (Buy Box) Percentage": "case when p_size % 2 = 0 then concat(p_size, '.25%') else 'n/a' end",
         "Units Ordered": "cast(qty as string)",
         "Unit Session Percentage": (
-            "concat(cast(cast(round(cast(cast(tax as double) * 100 / items as decimal(38,12)), 2) "
+            "concat(cast(cast(round(cast(cast(tax as double) * 100 / items as decimal(38,9)), 2) "
             "as decimal(18,2)) as string), '%')"
         ),
         "Ordered Product Sales": "concat('$', format_number(round(sales, 2), 2))",
