@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MONEY = "decimal(18,4)"
 
 # Date layouts found in exported reports, besides ISO dates.
-REPORT_DATE_FORMATS = ("MM/dd/yyyy", "MMM dd, yyyy")
+REPORT_DATE_FORMATS = ("MM/dd/yyyy", "MMM dd, yyyy", "yyyyMMdd")
 
 
 def _col(c: Column | str) -> Column:
@@ -17,7 +18,9 @@ def _col(c: Column | str) -> Column:
 
 def to_long(c: Column | str) -> Column:
     """Whole number, cut towards zero; unreadable values stay null."""
-    return _col(c).try_cast("double").try_cast("bigint")
+    # Through a decimal, because casts to double also read spellings such as "12d".
+    through = _col(c).try_cast("decimal(38,9)").try_cast("bigint")
+    return F.coalesce(_col(c).try_cast("bigint"), through)
 
 
 def to_long0(c: Column | str) -> Column:
@@ -37,7 +40,9 @@ def to_money0(c: Column | str) -> Column:
 
 def parse_pct(c: Column | str) -> Column:
     """``"45.2%"`` to 45.2; unreadable values stay null."""
-    return F.regexp_replace(_col(c).cast("string"), "%+$", "").try_cast("double")
+    number = F.regexp_replace(_col(c).cast("string"), "%+$", "")
+    # Casts to double also read spellings such as "12d"; casts to decimal do not.
+    return F.when(number.try_cast("decimal(38,9)").isNotNull(), number.try_cast("double"))
 
 
 def parse_currency0(c: Column | str) -> Column:
@@ -53,3 +58,13 @@ def to_date_or_null(c: Column | str, formats: tuple[str, ...] = ()) -> Column:
     parsed = _col(c).try_cast("date")
     extra = [F.try_to_timestamp(_col(c), F.lit(f)).cast("date") for f in formats]
     return F.coalesce(parsed, *extra) if extra else parsed
+
+
+def date_column(df: DataFrame, name: str) -> Column:
+    """A report's date column as a date; strings are tried in all report layouts.
+
+    Columns that are dates already stay as they are, so filters on them still
+    reach the scan.
+    """
+    is_text = isinstance(df.schema[name].dataType, T.StringType)
+    return to_date_or_null(name, REPORT_DATE_FORMATS if is_text else ())

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from mixlens.functions.cleaning import to_date_or_null, to_money
+from mixlens.functions.cleaning import date_column, to_money
 from mixlens.functions.dates import calendar_date_parts, iso_date_parts
 
 
@@ -34,7 +34,7 @@ def _file_order(df: DataFrame, *ties: str) -> list[Column]:
 
 def dim_date_observed(*dates: tuple[DataFrame, str]) -> DataFrame:
     """Every date found in the given columns, with ISO parts and ``iso_year``."""
-    found = [df.select(to_date_or_null(column).alias("date_id")).distinct() for df, column in dates]
+    found = [df.select(date_column(df, column).alias("date_id")).distinct() for df, column in dates]
     days = reduce(DataFrame.unionByName, found).where(F.col("date_id").isNotNull()).distinct()
     return days.select("date_id", *iso_date_parts("date_id"))
 
@@ -49,10 +49,11 @@ def dim_date_spine(spark: SparkSession, start: str, end_exclusive: str) -> DataF
 
 def calendar_between(bounds: DataFrame, start: str, end_exclusive: str) -> DataFrame:
     """The spine for bounds that are themselves computed: a one-row frame with two dates."""
-    last = F.date_sub(F.col(end_exclusive), 1)
-    days = bounds.where(F.col(start) <= last).select(
-        F.explode(F.sequence(F.col(start), last, F.expr("interval 1 day"))).alias("date_id")
-    )
+    # A sequence must not run backwards, so an empty range starts as one day and is filtered out.
+    last = F.greatest(F.col(start), F.date_sub(F.col(end_exclusive), 1))
+    days = bounds.select(
+        F.explode(F.sequence(F.col(start), last, F.expr("interval 1 day"))).alias("date_id"), end_exclusive
+    ).where(F.col("date_id") < F.col(end_exclusive))
     return days.select("date_id", F.col("date_id").alias("full_date"), *calendar_date_parts("date_id"))
 
 

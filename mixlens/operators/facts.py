@@ -2,9 +2,8 @@
 campaign name (they are kept), and the weekly marts.
 
 Measures are decimals or whole numbers, so sums do not depend on the order of
-rows. Joins carry no broadcast hint: Spark broadcasts a dimension whose size is
-below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sort-merge joins,
-splitting hot keys.
+rows. Row-level joins broadcast a dimension only after counting it; all other
+joins see rows that are summed already, and Spark chooses their kind by size.
 """
 
 from __future__ import annotations
@@ -15,9 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mixlens.functions.cleaning import (
+    date_column,
     parse_currency0,
     parse_pct,
-    to_date_or_null,
     to_long,
     to_long0,
     to_money,
@@ -25,39 +24,39 @@ from mixlens.functions.cleaning import (
 )
 from mixlens.functions.dates import iso_date_parts, week_start_monday, week_start_sunday
 from mixlens.operators.dimensions import campaign_lookup, keep_first
+from mixlens.operators.joins import BROADCAST_ROWS, join_dimension
 
 # Fixed value: day the business report was taken.
 SNAPSHOT_DATE = "2025-03-11"
 
 
-def _with_campaign_id(rows: DataFrame, bulk: DataFrame, null_safe: bool) -> DataFrame:
+def _with_campaign_id(
+    rows: DataFrame, bulk: DataFrame, null_safe: bool, broadcast_rows: int
+) -> DataFrame:
     """Add the campaign id by name; rows of unknown campaigns disappear.
 
     ``null_safe`` lets rows without a campaign name match a nameless campaign.
     """
-    lookup = campaign_lookup(bulk)
+    lookup = campaign_lookup(bulk).where(F.col("campaign_id").isNotNull())
+    found = join_dimension(rows, lookup, ["campaign_name"], broadcast_rows=broadcast_rows)
     if null_safe:
-        nameless = bulk.where(
-            (F.col("entity") == "Campaign") & F.col("campaign_name").isNull()
-        ).agg(F.min("campaign_id").alias("campaign_id"))
-        lookup = lookup.unionByName(
-            nameless.select(F.lit(None).cast("string").alias("campaign_name"), "campaign_id")
-        )
-        condition = rows["campaign_name"].eqNullSafe(lookup["campaign_name"])
-    else:
-        condition = rows["campaign_name"] == lookup["campaign_name"]
-    found = lookup.where(F.col("campaign_id").isNotNull())
-    return rows.join(found, condition, "inner").drop(lookup["campaign_name"])
+        nameless = bulk.where((F.col("entity") == "Campaign") & F.col("campaign_name").isNull())
+        only_id = nameless.agg(F.min("campaign_id").alias("campaign_id")).scalar()
+        unnamed = rows.where(F.col("campaign_name").isNull()).withColumn("campaign_id", only_id)
+        found = found.unionByName(unnamed.where(F.col("campaign_id").isNotNull()))
+    return found
 
 
-def fact_ads_by_id(ads: DataFrame, bulk: DataFrame, null_safe: bool = False) -> DataFrame:
+def fact_ads_by_id(
+    ads: DataFrame, bulk: DataFrame, null_safe: bool = False, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """Daily ads fact by (date, campaign, product, sku); null keys form their own groups."""
     extra = {
         c: to_money0(c) if c in ads.columns else to_money0(F.lit(0))
         for c in ("advertised_sku_sales_7d", "other_sku_sales_7d")
     }
     rows = ads.select(
-        to_date_or_null("start_date").alias("date_id"),
+        date_column(ads, "start_date").alias("date_id"),
         "campaign_name",
         F.col("advertised_asin").alias("asin"),
         F.col("advertised_sku").alias("sku"),
@@ -71,7 +70,7 @@ def fact_ads_by_id(ads: DataFrame, bulk: DataFrame, null_safe: bool = False) ->
     )
     measures = rows.columns[4:]
     return (
-        _with_campaign_id(rows, bulk, null_safe)
+        _with_campaign_id(rows, bulk, null_safe, broadcast_rows)
         .groupBy("date_id", "campaign_id", "asin", "sku")
         .agg(*[F.sum(m).alias(m) for m in measures])
     )
@@ -84,10 +83,12 @@ def ads_by_product(fact: DataFrame) -> DataFrame:
     return fact.groupBy(*keys).agg(F.min("sku").alias("sku"), *[F.sum(m).alias(m) for m in measures])
 
 
-def fact_terms_by_id(terms: DataFrame, bulk: DataFrame, null_safe: bool = False) -> DataFrame:
+def fact_terms_by_id(
+    terms: DataFrame, bulk: DataFrame, null_safe: bool = False, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """Search-term fact by campaign id, one row per report row."""
     rows = terms.select(
-        to_date_or_null("start_date").alias("date_id"),
+        date_column(terms, "start_date").alias("date_id"),
         "campaign_name",
         "customer_search_term",
         "targeting",
@@ -98,7 +99,7 @@ def fact_terms_by_id(terms: DataFrame, bulk: DataFrame, null_safe: bool = False)
         to_money0("total_sales_7d").alias("sales_7d"),
         to_long0("total_orders_7d").alias("orders_7d"),
     )
-    return _with_campaign_id(rows, bulk, null_safe).select(
+    return _with_campaign_id(rows, bulk, null_safe, broadcast_rows).select(
         "date_id",
         "campaign_id",
         *[c for c in rows.columns if c not in ("date_id", "campaign_name")],
@@ -136,9 +137,9 @@ def _name_keyed_measures() -> list[Column]:
 def fact_ads_by_name(ads: DataFrame) -> DataFrame:
     """Daily ads fact by (date, campaign name, product, sku); rows without date or product are dropped."""
     return (
-        ads.where(to_date_or_null("start_date").isNotNull() & F.col("advertised_asin").isNotNull())
+        ads.where(date_column(ads, "start_date").isNotNull() & F.col("advertised_asin").isNotNull())
         .groupBy(
-            to_date_or_null("start_date").alias("date_id"),
+            date_column(ads, "start_date").alias("date_id"),
             "campaign_name",
             F.col("advertised_asin").alias("asin"),
             F.col("advertised_sku").alias("sku"),
@@ -150,9 +151,9 @@ def fact_ads_by_name(ads: DataFrame) -> DataFrame:
 def fact_terms_by_name(terms: DataFrame) -> DataFrame:
     """Daily search-term fact by (date, campaign name, term, match type)."""
     return (
-        terms.where(to_date_or_null("start_date").isNotNull() & F.col("customer_search_term").isNotNull())
+        terms.where(date_column(terms, "start_date").isNotNull() & F.col("customer_search_term").isNotNull())
         .groupBy(
-            to_date_or_null("start_date").alias("date_id"),
+            date_column(terms, "start_date").alias("date_id"),
             "campaign_name",
             "customer_search_term",
             "match_type",

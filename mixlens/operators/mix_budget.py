@@ -61,7 +61,7 @@ def optimize_budget(
 ) -> DataFrame:
     """The best allocation of the budget in parts of ``step``, one row per series.
 
-    The budget is the average weekly spend unless given; ``bounds`` limits a
+    The budget is the average weekly total unless given; ``bounds`` limits a
     channel's share of it. Contributions add up over channels, so the best
     split of every smaller budget is carried from channel to channel: the
     result is the best of all combinations, without listing them. Series without a model
@@ -70,11 +70,13 @@ def optimize_budget(
     steps = round(1 / step)
     if steps < 1 or abs(steps * step - 1) > 1e-9:
         raise ValueError("1 must be a multiple of step")
-    means = average_spend(weekly, channels, by)
-    known = model.select(*by, *[c.beta for c in channels]).join(means, list(by))
-    current_total = sum((F.col(f"mean_{c.name}") for c in channels[1:]), F.col(f"mean_{channels[0].name}"))
-    amount = F.lit(float(budget)) if budget is not None else current_total
-    df = known.withColumn("budget", amount.cast("double"))
+    if "spend_total" in weekly.columns:
+        spent = F.col("spend_total")
+    else:
+        spent = sum((F.col(c.spend) for c in channels[1:]), F.col(channels[0].spend))
+    amount = F.lit(float(budget)) if budget is not None else F.avg(spent)
+    budgets = weekly.groupBy(*by).agg(amount.cast("double").alias("budget"))
+    df = model.select(*by, *[c.beta for c in channels]).join(budgets, list(by))
     for c in channels:
         values = _responses(c, steps, bounds or {}, F.col("budget"), form, periods)
         df = df.withColumn(f"_own_{c.name}", values)

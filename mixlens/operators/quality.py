@@ -87,10 +87,14 @@ def _repeated(df: DataFrame, check: Check) -> DataFrame:
 
 
 def _orphans(child: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
-    """Number of child rows without a parent row; child rows are counted per value before the join."""
+    """Number of child rows without a parent row.
+
+    Child rows are counted per value and parents are made distinct before the
+    join, so no value is hot in it.
+    """
     (column,), (_, parent_column) = check.columns, check.parent
     values = child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).count()
-    known = parent.select(F.col(parent_column).alias("value"))
+    known = parent.select(F.col(parent_column).alias("value")).where(F.col("value").isNotNull()).distinct()
     return values.join(known, "value", "left_anti").agg(F.sum("count").alias("failing_rows"))
 
 

@@ -33,7 +33,7 @@ def dbl(x: str) -> str:
 
 
 def pid(key: str) -> str:
-    return f"'B0' || lpad(to_base({key}, 36), 8, '0')"
+    return f"printf('B0%08d', {key})"
 
 
 CLOSED = "l_linestatus = 'F'"
@@ -263,7 +263,7 @@ CTES: dict[str, str] = {
         from features join model using (series)""",
     "spends": "select series, "
     + ", ".join(f"avg(spend_{c}) as mean_{c}, max(spend_{c}) as max_{c}" for c in _STOCK)
-    + " from weekly group by 1",
+    + ", avg(spend_total) as mean_total from weekly group by 1",
     "channels": " union all ".join(
         f"select series, '{c}' as channel, coef_transformed_spend_{c} as beta, mean_{c} as mean_spend, max_{c} as max_spend "
         "from model join spends using (series)"
@@ -367,7 +367,7 @@ def _lattice(bounds: str = "true") -> str:
     budget * ({k}) as optimal_dsp, value as optimal_response from (
     select *, row_number() over (partition by series order by value desc, k, j) as rn from (
     select *, ({r[0]} + {r[1]}) + {r[2]} as value from (
-        select series, mean_sp + mean_sb + mean_dsp as budget, {", ".join(f"coef_transformed_spend_{c} as beta_{c}" for c in _STOCK)},
+        select series, mean_total as budget, {", ".join(f"coef_transformed_spend_{c} as beta_{c}" for c in _STOCK)},
         100 - j - k as i, j, k
         from model join spends using (series), (select unnest(range(101)) as j) a, (select unnest(range(101)) as k) b
         where j + k <= 100) c where {bounds}) v) q where rn = 1"""
@@ -624,7 +624,7 @@ def oracle_sql() -> dict[str, str]:
     out["d8_parent_products"] = _sql(
         f"""select coalesce(parent_asin, asin) as asin, cast(sum(spend) as double) as spend, cast(sum(sales) as double) as sales
         from ads_by_name left join (select {pid('p_partkey')} as asin,
-            'B0' || lpad(to_base(min(p_partkey) over (partition by p_name, p_brand), 36), 8, '0') as parent_asin from part) b using (asin)
+            printf('B0%08d', min(p_partkey) over (partition by p_name, p_brand)) as parent_asin from part) b using (asin)
         group by 1"""
     )
 

@@ -41,6 +41,13 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a written table, for results that several steps of a query read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     """Doubles to fixed digits, so that results can be compared between engines."""
     return df.withColumns({c: F.round(c, digits) for c in columns})
@@ -110,17 +117,11 @@ def k2_load_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = star.star_by_id(
         t.bulk(spark, sf_dir), t.ads(spark, sf_dir), t.terms(spark, sf_dir), t.business(spark, sf_dir)
     )
-    tables = {**tables, "fact_ads_daily": _by_month(tables["fact_ads_daily"])}
-    tables["fact_search_term"] = _by_month(tables["fact_search_term"])
-    wh.load_warehouse(tables, path)
+    # Seven years of few rows a day: no folder per day here.
+    wh.load_warehouse(tables, path, partitions={})
     return wh.table_counts(wh.read_warehouse(spark, path))
 
 
-def _by_month(fact: DataFrame) -> DataFrame:
-    """The given dates span seven years; one folder per month keeps the written tables small."""
-    return fact.withColumn("date_id", F.trunc("date_id", "month"))
-
-
 @query
 def k3_write_mmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the weekly series as CSV, with its row KPIs, and stage it again."""
@@ -593,7 +594,7 @@ def t1_t4_mart_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     ads = t.ads(spark, sf_dir)
     marts = star.marts_by_name(
         t.bulk(spark, sf_dir), ads, t.terms(spark, sf_dir), t.business(spark, sf_dir),
-        dims.dim_date_observed((ads, "start_date")),
+        dims.dim_date_observed((ads, "start_date")), table=lambda name, df: _kept(df, name),
     )
     return quality.run_checks(marts, [*quality.MART_CHECKS, quality.ADS_GRAIN_CHECK])
 
@@ -601,7 +602,8 @@ def t1_t4_mart_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def t1_t4_mix_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The weekly marts' checks; with several series their week alone is not unique."""
-    return quality.run_checks(star.mix_marts(t.weekly_staged(spark, sf_dir)), quality.MIX_CHECKS)
+    weekly = _kept(t.weekly_staged(spark, sf_dir), "weekly")
+    return quality.run_checks(star.mix_marts(weekly), quality.MIX_CHECKS)
 
 
 @query
@@ -624,6 +626,9 @@ def t6_checks_from_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = star.star_by_id(
         t.bulk(spark, sf_dir), t.ads(spark, sf_dir), t.terms(spark, sf_dir), t.business(spark, sf_dir)
     )
+    # Most checks read the ads fact or its dimensions.
+    often = ("dim_date", "dim_campaign", "dim_product", "fact_ads_daily")
+    tables = {name: _kept(df, name) if name in often else df for name, df in tables.items()}
     checks = [c for name in tables for c in quality.checks_from_schema(name)]
     return quality.run_checks(tables, checks)
 
@@ -643,17 +648,22 @@ def t7_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- marketing mix -----------------------------------------------------------------------------
 
 
-def _features(spark: SparkSession, sf_dir: str, form: str = "spend") -> DataFrame:
-    return mix.season_features(mix.transform_channels(t.weekly(spark, sf_dir), form=form))
+def _weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weekly series as a small written table: fits, curves and budgets read it several times."""
+    return _kept(t.weekly(spark, sf_dir), "weekly")
+
+
+def _features(weekly: DataFrame) -> DataFrame:
+    return mix.season_features(mix.transform_channels(weekly))
 
 
-def _model(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _model(weekly: DataFrame) -> DataFrame:
     """The published model: coefficients to six digits."""
-    return mix_model.fit_ols(_features(spark, sf_dir), digits=6)
+    return mix_model.fit_ols(_features(weekly), digits=6)
 
 
-def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_model.decompose(_features(spark, sf_dir), _model(spark, sf_dir))
+def _parts(weekly: DataFrame) -> DataFrame:
+    return mix_model.decompose(_features(weekly), _model(weekly))
 
 
 @query
@@ -687,63 +697,72 @@ def m4_season_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def m5_fit_ols(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _model(spark, sf_dir)
+    return _model(t.weekly(spark, sf_dir))
 
 
 @query
 def m6_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = mix_model.predict(_features(spark, sf_dir), _model(spark, sf_dir))
+    weekly = _weekly(spark, sf_dir)
+    rows = mix_model.predict(_features(weekly), _model(weekly))
     return _rounded(rows.select("series", "week_start", "y_pred"), 3, "y_pred")
 
 
 @query
 def m7_fit_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    predicted = mix_model.predict(_features(spark, sf_dir), _model(spark, sf_dir))
+    weekly = _weekly(spark, sf_dir)
+    predicted = mix_model.predict(_features(weekly), _model(weekly))
     return _rounded(mix_model.fit_metrics(predicted), 9, "r2", "mape")
 
 
 @query
 def m8_decompose(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = _parts(spark, sf_dir)
+    weekly = _weekly(spark, sf_dir)
+    parts = _parts(weekly)
     return _rounded(parts, 3, *[c for c in parts.columns if c.startswith("contrib_") or c == "y_pred"])
 
 
 @query
 def m9_decomposition_residual(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(mix_model.decomposition_residual(_parts(spark, sf_dir)), 6, "max_residual")
+    weekly = _weekly(spark, sf_dir)
+    return _rounded(mix_model.decomposition_residual(_parts(weekly)), 6, "max_residual")
 
 
 @query
 def m10_contribution_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(mix_model.contribution_shares(_parts(spark, sf_dir)), 9, "share")
+    weekly = _weekly(spark, sf_dir)
+    return _rounded(mix_model.contribution_shares(_parts(weekly)), 9, "share")
 
 
 @query
 def m11_response_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curve = mix_model.response_curve(_model(spark, sf_dir), t.weekly(spark, sf_dir))
+    weekly = _weekly(spark, sf_dir)
+    curve = mix_model.response_curve(_model(weekly), weekly)
     return _rounded(curve, 4, "spend", "response")
 
 
 @query
 def m11_response_curve_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    curve = mix_model.response_curve(_model(spark, sf_dir), t.weekly(spark, sf_dir), mode="sequence")
+    weekly = _weekly(spark, sf_dir)
+    curve = mix_model.response_curve(_model(weekly), weekly, mode="sequence")
     return _rounded(curve, 4, "spend", "response")
 
 
 @query
 def m12_steady_state_response(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = mix_model.steady_state_response(_model(spark, sf_dir), t.weekly(spark, sf_dir))
+    weekly = _weekly(spark, sf_dir)
+    rows = mix_model.steady_state_response(_model(weekly), weekly)
     return _rounded(rows, 4, "mean_spend", "adstock", "response")
 
 
 @query
 def m13_marginal_return(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = mix_model.marginal_return(_model(spark, sf_dir), t.weekly(spark, sf_dir))
+    weekly = _weekly(spark, sf_dir)
+    rows = mix_model.marginal_return(_model(weekly), weekly)
     return _rounded(rows, 6, "mean_spend", "marginal_return")
 
 
-def _optimum(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    return mix_budget.optimize_budget(_model(spark, sf_dir), t.weekly(spark, sf_dir), **options)
+def _optimum(weekly: DataFrame, **options) -> DataFrame:
+    return mix_budget.optimize_budget(_model(weekly), weekly, **options)
 
 
 _ALLOCATION = ("budget", "optimal_sp", "optimal_sb", "optimal_dsp", "optimal_response")
@@ -751,19 +770,22 @@ _ALLOCATION = ("budget", "optimal_sp", "optimal_sb", "optimal_dsp", "optimal_res
 
 @query
 def m14_optimize_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(_optimum(spark, sf_dir), 3, *_ALLOCATION)
+    weekly = _weekly(spark, sf_dir)
+    return _rounded(_optimum(weekly), 3, *_ALLOCATION)
 
 
 @query
 def m14_optimize_budget_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weekly = _weekly(spark, sf_dir)
     bounds = {"sp": (0.2, 0.6), "sb": (0.1, 0.5), "dsp": (0.05, 0.4)}
-    return _rounded(_optimum(spark, sf_dir, bounds=bounds), 3, *_ALLOCATION)
+    return _rounded(_optimum(weekly, bounds=bounds), 3, *_ALLOCATION)
 
 
 @query
 def m15_allocation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weekly = _weekly(spark, sf_dir)
     report = mix_budget.allocation_report(
-        _optimum(spark, sf_dir), _model(spark, sf_dir), t.weekly(spark, sf_dir)
+        _optimum(weekly), _model(weekly), weekly
     )
     return _rounded(
         report, 3, "current_spend", "optimal_spend", "change_pct", "current_response", "optimal_response",
@@ -774,14 +796,15 @@ def m15_allocation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def m16_parameter_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each region's parameters against those of all regions together."""
-    features = _features(spark, sf_dir)
+    weekly = _weekly(spark, sf_dir)
+    features = _features(weekly)
     pooled = mix_model.fit_ols(features.withColumn("series", F.lit("all")), digits=6)
     named = pooled.select(
         *[F.col(c.beta).alias(f"beta_{c.name}") for c in mix.CHANNELS], F.col("intercept").alias("baseline")
     )
     truth = named.unpivot([], list(named.columns), "param", "value")
     return _rounded(
-        mix_model.parameter_recovery(_model(spark, sf_dir), truth), 6, "true_value", "estimate", "relative_error"
+        mix_model.parameter_recovery(_model(weekly), truth), 6, "true_value", "estimate", "relative_error"
     )
 
 
@@ -830,7 +853,7 @@ def m21_saturating_form(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def m22_roi_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_search.roi_intervals(_features(spark, sf_dir))
+    return mix_search.roi_intervals(_features(t.weekly(spark, sf_dir)))
 
 
 # ---- continuous intake -------------------------------------------------------------------------

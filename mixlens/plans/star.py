@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
 from mixlens.operators.dimensions import (
@@ -44,10 +46,19 @@ def star_by_id(
 
 
 def marts_by_name(
-    bulk: DataFrame, ads: DataFrame, terms: DataFrame, business: DataFrame, dim_date: DataFrame
+    bulk: DataFrame,
+    ads: DataFrame,
+    terms: DataFrame,
+    business: DataFrame,
+    dim_date: DataFrame,
+    table: Callable[[str, DataFrame], DataFrame] = lambda _name, df: df,
 ) -> dict[str, DataFrame]:
-    """The name-keyed marts the declared checks are about."""
-    ads_daily, campaigns = fact_ads_by_name(ads), dim_campaign_dedup(bulk)
+    """The name-keyed marts the declared checks are about.
+
+    All are views except ``fact_ads_daily``, which others read: ``table`` may
+    write it and return what was written.
+    """
+    ads_daily, campaigns = table("fact_ads_daily", fact_ads_by_name(ads)), dim_campaign_dedup(bulk)
     return {
         "dim_date": dim_date,
         "dim_campaign": campaigns,

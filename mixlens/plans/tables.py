@@ -20,8 +20,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _padded(key: str, digits: int) -> str:
+    """The key with leading zeros; longer keys keep all their digits."""
+    text = f"cast({key} as string)"
+    return f"lpad({text}, greatest({digits}, length({text})), '0')"
+
+
 def product_id(key: str) -> str:
-    return f"concat('B0', lpad(conv(cast({key} as string), 10, 36), 8, '0'))"
+    return f"concat('B0', {_padded(key, 8)})"
+
+
+def campaign_name(key: str) -> str:
+    return f"concat('Supplier#', {_padded(key, 9)})"
 
 
 # What a line item means as an ad row. Open lines were only shown; returned ones brought no sales.
@@ -29,7 +39,7 @@ _CLOSED = "l_linestatus = 'F'"
 _SOLD = "l_linestatus = 'F' and l_returnflag <> 'R'"
 AD_VALUES = {
     "day": "cast(l_shipdate as date)",
-    "campaign": "format_string('Supplier#%09d', l_suppkey)",
+    "campaign": campaign_name("l_suppkey"),
     "product": f"case when l_partkey % 7 = 0 then null else {product_id('l_partkey')} end",
     "impressions": "cast(l_quantity * 1000 as bigint)",
     "clicks": f"case when {_CLOSED} then cast(l_quantity as bigint) else 0 end",
@@ -107,7 +117,7 @@ def raw_bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Ad ID": "case when p_partkey % 3 = 0 then concat('A', p_partkey) end",
         "Keyword ID": "case when p_partkey % 3 = 1 then concat('K', p_partkey) end",
         "Product Targeting ID": "case when p_partkey % 3 = 2 then concat('T', p_partkey) end",
-        "Campaign Name": "case when p_partkey % 3 = 1 then format_string('Supplier#%09d', p_size) end",
+        "Campaign Name": f"case when p_partkey % 3 = 1 then {campaign_name('p_size')} end",
         "Ad Group Name": "p_brand",
         "State": "'enabled'",
         "SKU": "p_name",

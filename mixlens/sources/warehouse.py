@@ -47,15 +47,20 @@ def _by_partition(df: DataFrame, column: str) -> DataFrame:
     return df.hint("rebalance", column)
 
 
-def load_warehouse(tables: Mapping[str, DataFrame], path: str) -> dict[str, str]:
-    """Write every table below ``path`` from scratch; running it again gives the same tables."""
+def load_warehouse(
+    tables: Mapping[str, DataFrame], path: str, partitions: Mapping[str, str] = PARTITIONS
+) -> dict[str, str]:
+    """Write every table below ``path`` from scratch; running it again gives the same tables.
+
+    ``partitions`` names the column by which a table gets one folder per value.
+    """
     unknown = set(tables) - set(WAREHOUSE_TABLES)
     if unknown:
         raise ValueError(f"not warehouse tables: {sorted(unknown)}")
     paths = {}
     for name, df in tables.items():
         paths[name] = f"{path.rstrip('/')}/{name}"
-        partition = PARTITIONS.get(name)
+        partition = partitions.get(name)
         if partition:
             _by_partition(df, partition).write.mode("overwrite").partitionBy(partition).parquet(paths[name])
         else:
