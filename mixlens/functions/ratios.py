@@ -21,7 +21,7 @@ def eps_ratio(num: Column | str, den: Column | str, digits: int | None = None, e
     Such row ratios must not be averaged; use ratios of sums for totals.
     """
     ratio = _col(num).cast("double") / (_col(den).cast("double") + F.lit(eps))
-    return ratio if digits is None else round_to(ratio, digits)
+    return ratio if digits is None else F.round(ratio, digits)
 
 
 def round_to(c: Column | str, digits: int) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from mixlens.functions.cleaning import date_column, to_money
 from mixlens.functions.dates import calendar_date_parts, iso_date_parts
+from mixlens.operators.joins import join_dimension
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -152,4 +153,4 @@ def to_parent_asin(fact: DataFrame, bridge: DataFrame) -> DataFrame:
     columns = [
         F.coalesce("_parent", "asin").alias("asin") if c == "asin" else F.col(c) for c in fact.columns
     ]
-    return fact.join(parents, "asin", "left").select(*columns)
+    return join_dimension(fact, parents, "asin", "left").select(*columns)

@@ -38,7 +38,7 @@ def _with_campaign_id(
     ``null_safe`` lets rows without a campaign name match a nameless campaign.
     """
     lookup = campaign_lookup(bulk).where(F.col("campaign_id").isNotNull())
-    found = join_dimension(rows, lookup, ["campaign_name"], broadcast_rows=broadcast_rows)
+    found = join_dimension(rows, lookup, "campaign_name", broadcast_rows=broadcast_rows)
     if null_safe:
         nameless = bulk.where((F.col("entity") == "Campaign") & F.col("campaign_name").isNull())
         only_id = nameless.agg(F.min("campaign_id").alias("campaign_id")).scalar()
@@ -80,7 +80,7 @@ def ads_by_product(fact: DataFrame) -> DataFrame:
     """The daily ads fact one step coarser: (date, campaign, product) over all skus."""
     keys = ["date_id", "campaign_id", "asin"]
     measures = [c for c in fact.columns if c not in (*keys, "sku")]
-    return fact.groupBy(*keys).agg(F.min("sku").alias("sku"), *[F.sum(m).alias(m) for m in measures])
+    return fact.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
 
 
 def fact_terms_by_id(
@@ -218,20 +218,24 @@ def channel_spend_long(staged: DataFrame, keys: Sequence[str] = ("week_start",))
 def weekly_actuals(fact: DataFrame, dim_date: DataFrame, dim_campaign: DataFrame) -> DataFrame:
     """Weekly totals per calendar year and ISO week, spend split by targeting type.
 
-    The fact is summed per day and campaign before it meets the dimensions.
+    The fact is summed per day and campaign before it meets the campaigns, and
+    per day and targeting type before it meets the calendar.
     """
-    daily = fact.groupBy("date_id", "campaign_id").agg(
-        *[F.sum(m).alias(m) for m in ("spend", "impressions", "clicks", "sales_7d", "orders_7d")]
+    measures = ["spend", "impressions", "clicks", "sales_7d", "orders_7d"]
+    sums = [F.sum(m).alias(m) for m in measures]
+    per_campaign = fact.groupBy("date_id", "campaign_id").agg(*sums)
+    per_day = (
+        per_campaign.join(dim_campaign.select("campaign_id", "targeting_type"), "campaign_id")
+        .groupBy("date_id", F.upper("targeting_type").alias("targeting"))
+        .agg(*sums)
     )
-    targeting = F.upper("targeting_type")
     zero = F.lit(0)
     return (
-        daily.join(dim_date.select("date_id", "year", "week"), "date_id")
-        .join(dim_campaign.select("campaign_id", "targeting_type"), "campaign_id")
+        per_day.join(dim_date.select("date_id", "year", "week"), "date_id")
         .groupBy("year", "week")
         .agg(
-            F.sum(F.when(targeting == "AUTO", F.col("spend")).otherwise(zero)).alias("spend_auto"),
-            F.sum(F.when(targeting == "MANUAL", F.col("spend")).otherwise(zero)).alias("spend_manual"),
+            F.sum(F.when(F.col("targeting") == "AUTO", F.col("spend")).otherwise(zero)).alias("spend_auto"),
+            F.sum(F.when(F.col("targeting") == "MANUAL", F.col("spend")).otherwise(zero)).alias("spend_manual"),
             F.sum("spend").alias("spend_total"),
             F.sum("impressions").alias("impressions_total"),
             F.sum("clicks").alias("clicks_total"),

@@ -12,16 +12,23 @@ BROADCAST_ROWS = 500_000
 def join_dimension(
     rows: DataFrame,
     dimension: DataFrame,
-    on: list[str],
+    on: str,
     how: str = "inner",
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Join rows to a dimension that has one narrow row per key.
 
     The dimension is counted first, up to the limit. Within it, the dimension is
-    broadcast and the rows are not shuffled at all. Beyond it, both sides are
-    shuffled and adaptive execution splits the partitions of hot keys.
+    broadcast and the rows are not shuffled at all.
+
+    Beyond it, both sides are shuffled and adaptive execution splits the
+    partitions of hot keys. It can do so only if both sides come straight from
+    a shuffle made for the join. A dimension that was just deduplicated by the
+    same key would be joined as it lies; matching on the key's hash as well
+    makes Spark shuffle it for the join.
     """
     if broadcast_rows and dimension.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        dimension = F.broadcast(dimension)
-    return rows.join(dimension, on, how)
+        return rows.join(F.broadcast(dimension), on, how)
+    hashed = F.xxhash64(on)
+    joined = rows.withColumn("_hash", hashed).join(dimension.withColumn("_hash", hashed), [on, "_hash"], how)
+    return joined.drop("_hash")

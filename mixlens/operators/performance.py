@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mixlens.functions.ratios import cut, label, round_to, safe_ratio
+from mixlens.operators.joins import BROADCAST_ROWS, join_dimension
 
 
 def _sums(df: DataFrame, keys: list[str], measures: dict[str, str]) -> DataFrame:
@@ -58,18 +59,21 @@ _TERM_SUMS = {
 
 
 def _term_performance(
-    fact_terms: DataFrame, dim_campaign: DataFrame, by_match_type: bool
+    fact_terms: DataFrame, dim_campaign: DataFrame, by_match_type: bool, broadcast_rows: int
 ) -> DataFrame:
     """Search-term sums per campaign name and targeting type.
 
     The first sum is per campaign id, the second merges ids that share a name.
+    A hot campaign may still have very many terms, hence the row-level join.
     """
     terms = ["customer_search_term", *(["match_type"] if by_match_type else [])]
     campaigns = dim_campaign.select("campaign_id", "campaign_name", "targeting_type")
     per_id = _sums(fact_terms, ["campaign_id", *terms], _TERM_SUMS)
     again = {name: name for name in _TERM_SUMS.values()}
     return _sums(
-        per_id.join(campaigns, "campaign_id"), [*terms, "campaign_name", "targeting_type"], again
+        join_dimension(per_id, campaigns, "campaign_id", broadcast_rows=broadcast_rows),
+        [*terms, "campaign_name", "targeting_type"],
+        again,
     )
 
 
@@ -80,6 +84,7 @@ def harvestable_terms(
     max_acos: float = 0.30,
     top: int = 5,
     exclude_existing_exact: bool = False,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Broad and phrase terms that sell well enough to be targeted exactly.
 
@@ -89,15 +94,16 @@ def harvestable_terms(
     """
     targeted = dim_campaign.where(F.upper("targeting_type").isin("AUTO", "MANUAL"))
     open_match = fact_terms.where(F.col("match_type").isin("BROAD", "PHRASE"))
-    terms = _term_performance(open_match, targeted, by_match_type=True)
+    terms = _term_performance(open_match, targeted, True, broadcast_rows)
     if exclude_existing_exact:
         exact = (
             fact_terms.where(F.col("match_type") == "EXACT")
             .select("campaign_id", "customer_search_term")
             .distinct()
-            .join(targeted.select("campaign_id", "campaign_name"), "campaign_id")
-            .select("campaign_name", "customer_search_term")
         )
+        exact = join_dimension(
+            exact, targeted.select("campaign_id", "campaign_name"), "campaign_id", broadcast_rows=broadcast_rows
+        ).select("campaign_name", "customer_search_term")
         terms = terms.join(exact, ["campaign_name", "customer_search_term"], "left_anti")
     best_first = Window.partitionBy("campaign_name").orderBy(
         F.col("sales").desc_nulls_last(), "customer_search_term", "match_type", "targeting_type"
@@ -127,10 +133,14 @@ def harvestable_terms(
 
 
 def wasted_spend(
-    fact_terms: DataFrame, dim_campaign: DataFrame, min_clicks: int = 15, limit: int = 50
+    fact_terms: DataFrame,
+    dim_campaign: DataFrame,
+    min_clicks: int = 15,
+    limit: int = 50,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Terms with many clicks and no or unprofitable sales: the ``limit`` most expensive ones."""
-    terms = _term_performance(fact_terms, dim_campaign, by_match_type=False)
+    terms = _term_performance(fact_terms, dim_campaign, False, broadcast_rows)
     wasted = terms.where(
         (F.col("clicks") >= min_clicks) & ((F.col("orders") == 0) | (F.col("spend") > F.col("sales")))
     )

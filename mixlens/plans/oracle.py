@@ -597,7 +597,7 @@ def oracle_sql() -> dict[str, str]:
     price, tax = "cast(l_extendedprice as decimal(18,4))", "cast(l_tax as decimal(18,4))"
     out["c7_c13_scalars"] = f"""select l_orderkey, {rnd(ratio(price, 'l_quantity'), 2)} as c7_rounded,
         {rnd(ratio(price, tax), 4)} as c8_ratio,
-        {rnd(f'cast({price} as double) / (l_quantity + 1e-9::double)', 3)} as c9_eps,
+        round(cast({price} as double) / (l_quantity + 1e-9::double), 3) as c9_eps,
         case when l_quantity > 25 then l_quantity else 0 end as c10_default,
         case when l_quantity >= 40 then 'high' when l_quantity >= 20 then 'mid' else 'low' end as c11_label,
         substr(l_returnflag, 1, 60) as c12_cut, abs(l_quantity - 25) as c13_abs from lineitem"""
@@ -631,7 +631,7 @@ def oracle_sql() -> dict[str, str]:
     fact = f"date_id, campaign_id, asin, sku, {_FACT_SUMS}"
     out["f1_fact_ads_by_id"] = _pick(fact, "fact_ads")
     out["f1_ads_by_product"] = _sql(
-        "select date_id, campaign_id, asin, min(sku) as sku, "
+        "select date_id, campaign_id, asin, "
         + ", ".join(
             f"cast(sum({m}) as {'double' if m in _MONEY else 'bigint'}) as {m}" for m in _FACT_SUMS.split(", ")
         )
@@ -818,7 +818,7 @@ def oracle_sql() -> dict[str, str]:
     eps = "cast({} as double) / (cast({} as double) + 1e-9::double)"
     kpis = {"roas": ("ad_sales", "spend_total", 3), "tacos": ("spend_total", "total_sales", 3), "ctr": ("clicks_total", "impressions_total", 4)}
     out["m17_weekly_kpis"] = _sql(
-        "select series, week_start, " + ", ".join(f"{rnd(eps.format(a, b), n)} as {k}" for k, (a, b, n) in kpis.items()) + " from weekly"
+        "select series, week_start, " + ", ".join(f"round({eps.format(a, b)}, {n}) as {k}" for k, (a, b, n) in kpis.items()) + " from weekly"
     )
     out["m17_kpi_total"] = _sql(
         """select series, round(sum(spend_total), 6) as spend, round(sum(ad_sales), 6) as ad_sales, round(sum(total_sales), 6) as total_sales,

@@ -14,6 +14,7 @@ from mixlens.operators import derived, mix, mix_budget, mix_model, mix_search, q
 from mixlens.operators import dimensions as dims
 from mixlens.operators import facts
 from mixlens.operators import performance as perf
+from mixlens.operators.joins import join_dimension
 from mixlens.plans import star
 from mixlens.plans import tables as t
 from mixlens.session import scratch_path
@@ -363,8 +364,9 @@ def d7_campaign_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def d8_parent_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ad sales by parent product: parts of one name and brand belong to their lowest key."""
     parts = t.table(spark, sf_dir, "part")
-    parents = parts.groupBy("p_name", "p_brand").agg(F.min("p_partkey").alias("parent"))
-    family = parts.join(parents, ["p_name", "p_brand"]).select(
+    line = F.concat_ws("/", "p_name", "p_brand")
+    parents = parts.groupBy(line.alias("line")).agg(F.min("p_partkey").alias("parent"))
+    family = join_dimension(parts.withColumn("line", line), parents, "line").select(
         F.expr(t.product_id("p_partkey")).alias("child_asin"),
         F.expr(t.product_id("parent")).alias("parent_asin"),
     )
