@@ -694,7 +694,7 @@ def oracle_sql() -> dict[str, str]:
         "date_id, daily_spend, rolling_7d_spend, daily_sales, daily_orders, daily_roas, rolling_7d_roas, "
         "spend_one_week_ago, spend_wow_change, anomaly_flag"
     )
-    out["q1_campaign_roas_tacos"] = _pick(q1, "q1")
+    out["q1_campaign_roas_tacos"] = out["k2_q1_from_warehouse"] = _pick(q1, "q1")
     out["q2_harvestable_terms"] = _pick(q2, "q2")
     out["q2_harvestable_without_exact"] = _pick(q2, "q2_new")
     out["q3_wasted_spend"] = _pick(

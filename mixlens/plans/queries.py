@@ -15,7 +15,7 @@ from mixlens.operators import dimensions as dims
 from mixlens.operators import facts
 from mixlens.operators import performance as perf
 from mixlens.operators.joins import join_dimension
-from mixlens.plans import star
+from mixlens.plans import runs, star
 from mixlens.plans import tables as t
 from mixlens.session import scratch_path
 from mixlens.sources import reports as rep
@@ -123,6 +123,22 @@ def k2_load_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wh.table_counts(wh.read_warehouse(spark, path))
 
 
+@query
+def k2_q1_from_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land the reports, build the warehouse from them and ask the first question of its tables."""
+    landing, warehouse = scratch_path(spark, "landing"), scratch_path(spark, "warehouse")
+    raw = {
+        "bulk_campaigns": t.raw_bulk(spark, sf_dir),
+        "advertised_products": t.raw_ads(spark, sf_dir),
+        "search_terms": t.raw_terms(spark, sf_dir),
+        "business_report": t.raw_business(spark, sf_dir),
+    }
+    for name, df in raw.items():
+        wh.write_report(df, f"{landing}/{rep.SOURCES[name]}", "parquet")
+    tables = runs.build_warehouse(spark, landing, warehouse, fmt="parquet", partitions={})
+    return _decimals_as_doubles(runs.standing_questions(tables)["campaign_roas_tacos"])
+
+
 @query
 def k3_write_mmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the weekly series as CSV, with its row KPIs, and stage it again."""

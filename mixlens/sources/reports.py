@@ -137,6 +137,16 @@ BUSINESS = Report(
 
 REPORTS = {report.name: report for report in (BULK, ADS, TERMS, BUSINESS)}
 
+# Physical name of every source, as a file below a landing folder or a table of a schema.
+SOURCES = {
+    "bulk_campaigns": "raw_bulk_campaigns",
+    "advertised_products": "raw_advertised_products",
+    "search_terms": "raw_search_terms",
+    "business_report": "raw_business_report",
+    "weekly_synthetic": "weekly_synthetic",
+    "true_parameters": "true_parameters",
+}
+
 # Columns of the weekly mix data; its row ratios (roas, tacos, ctr) are not staged.
 MIX_COLUMNS = (
     "week_start",
@@ -190,6 +200,20 @@ def read_raw(spark: SparkSession, path: str, kind: str, fmt: str = "csv") -> Dat
     raise ValueError(f"reports are read from csv or parquet, not {fmt!r}")
 
 
+def read_source(spark: SparkSession, name: str, location: str, fmt: str = "csv") -> DataFrame:
+    """A source by its logical name, from a landing folder (csv, parquet) or a schema (table)."""
+    if name not in SOURCES:
+        raise ValueError(f"unknown source {name!r}; known: {', '.join(SOURCES)}")
+    if fmt == "table":
+        return spark.table(f"{location}.{SOURCES[name]}")
+    path = f"{location.rstrip('/')}/{SOURCES[name]}"
+    if name in REPORTS:
+        return read_raw(spark, path, name, fmt)
+    if fmt == "parquet":
+        return spark.read.parquet(path)
+    return read_report(spark, path, MIX_SCHEMA if name == "weekly_synthetic" else TRUTH_SCHEMA)
+
+
 def _csv_as_strings(spark: SparkSession, path: str) -> DataFrame:
     # Without schema inference every column is a string and only the header line is looked at.
     return (
