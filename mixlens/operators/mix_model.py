@@ -7,7 +7,7 @@ through a solver.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -43,24 +43,36 @@ def series_moments(df: DataFrame, features: Sequence[str], target: str, by: Sequ
     return df.groupBy(*by).agg(*aggs)
 
 
-def solve_moments(mean: np.ndarray, cov: np.ndarray) -> tuple[np.ndarray, str]:
-    """Intercept and coefficients from means and covariances; the target comes last.
+def _moment_solver() -> Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, str]]:
+    """Make ``solve_moments``.
 
-    Features are scaled to unit variance first. Constant or collinear features
-    leave all coefficients empty, with the reason as status.
+    A function made inside another is sent to the executors whole, so they need
+    NumPy and pandas but not this package.
     """
-    k = len(mean) - 1
-    empty = np.full(k + 1, np.nan)
-    if not (np.isfinite(mean).all() and np.isfinite(cov).all()):
-        return empty, "incomplete"
-    scale = np.sqrt(np.diag(cov)[:k])
-    if (scale <= 1e-12 * np.maximum(1.0, np.abs(mean[:k]))).any():
-        return empty, "constant feature"
-    correlation = cov[:k, :k] / np.outer(scale, scale)
-    if np.linalg.cond(correlation) > MAX_CONDITION:
-        return empty, "collinear features"
-    coef = np.linalg.solve(correlation, cov[:k, k] / scale) / scale
-    return np.concatenate([[mean[k] - coef @ mean[:k]], coef]), "ok"
+
+    def solve_moments(mean: np.ndarray, cov: np.ndarray) -> tuple[np.ndarray, str]:
+        """Intercept and coefficients from means and covariances; the target comes last.
+
+        Features are scaled to unit variance first. Constant or collinear features
+        leave all coefficients empty, with the reason as status.
+        """
+        k = len(mean) - 1
+        empty = np.full(k + 1, np.nan)
+        if not (np.isfinite(mean).all() and np.isfinite(cov).all()):
+            return empty, "incomplete"
+        scale = np.sqrt(np.diag(cov)[:k])
+        if (scale <= 1e-12 * np.maximum(1.0, np.abs(mean[:k]))).any():
+            return empty, "constant feature"
+        correlation = cov[:k, :k] / np.outer(scale, scale)
+        if np.linalg.cond(correlation) > MAX_CONDITION:
+            return empty, "collinear features"
+        coef = np.linalg.solve(correlation, cov[:k, k] / scale) / scale
+        return np.concatenate([[mean[k] - coef @ mean[:k]], coef]), "ok"
+
+    return solve_moments
+
+
+solve_moments = _moment_solver()
 
 
 def fit_ols(
@@ -79,7 +91,7 @@ def fit_ols(
     names = [*features, target]
     moments = series_moments(df, features, target, by)
     width = len(names)
-    outputs = ["intercept"] + [f"coef_{f}" for f in features]
+    keys, outputs = list(by), ["intercept"] + [f"coef_{f}" for f in features]
     fields = [moments.schema[c] for c in by]
     fields += [T.StructField(c, T.DoubleType()) for c in outputs]
     fields += [T.StructField("n", T.LongType()), T.StructField("status", T.StringType())]
@@ -96,7 +108,7 @@ def fit_ols(
                 cov = cov + np.triu(cov, 1).T
                 rows[r], state = solve_moments(means[r], cov)
                 status.append(state)
-            out = pdf[[*by]].copy()
+            out = pdf[keys].copy()
             for i, name in enumerate(outputs):
                 out[name] = rows[:, i]
             out["n"] = pdf["n"]

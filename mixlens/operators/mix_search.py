@@ -36,16 +36,6 @@ def _one_row_per_week(
     return summed.select("*", sine.alias(SEASON[0]), cosine.alias(SEASON[1]))
 
 
-def _carry_over(x: np.ndarray, decays: np.ndarray) -> np.ndarray:
-    """Adstock of one series for several decays at once: shape (weeks, decays)."""
-    out = np.empty((len(x), len(decays)))
-    level = np.zeros(len(decays))
-    for t, value in enumerate(x):
-        level = value + decays * level
-        out[t] = level
-    return out
-
-
 def grid_search(
     weekly: DataFrame,
     channels: Sequence[Channel] = CHANNELS,
@@ -92,17 +82,28 @@ def grid_search(
         ]
     fields += [T.StructField(n, T.DoubleType()) for n in ("sse", "r2")]
     columns = [f.name for f in fields]
+    # What goes to the executors is plain data, so they do not need this package.
+    keys, shapes = list(by), [(c.spend, c.exponent) for c in channels]
+
+    def carry_over(x: np.ndarray, rates: np.ndarray) -> np.ndarray:
+        """Adstock of one series for several decays at once: shape (weeks, decays)."""
+        out = np.empty((len(x), len(rates)))
+        level = np.zeros(len(rates))
+        for t, value in enumerate(x):
+            level = value + rates * level
+            out[t] = level
+        return out
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order)
         blocks = []
-        for c, options in zip(channels, settings):
-            x = pdf[c.spend].to_numpy(float)
+        for (spend, exponent), options in zip(shapes, settings):
+            x = pdf[spend].to_numpy(float)
             unique = sorted({d for d, _ in options})
-            stocked = _carry_over(x, np.array(unique))
+            stocked = carry_over(x, np.array(unique))
             for d, k in options:
-                powered = stocked[:, unique.index(d)] ** c.exponent
-                saturation = powered / (k**c.exponent + powered)
+                powered = stocked[:, unique.index(d)] ** exponent
+                saturation = powered / (k**exponent + powered)
                 blocks.append(saturation * x if form == "spend" else saturation)
         data = np.column_stack([*blocks, *[pdf[s].to_numpy(float) for s in SEASON], pdf[target].to_numpy(float)])
         mean = data.mean(axis=0)
@@ -118,7 +119,7 @@ def grid_search(
             mse = max(spread - beta[1:] @ cov[index[:-1], -1], 0.0)
             chosen = [settings[i][p - starts[i]] for i, p in enumerate(pick)]
             rows.append(
-                [pdf[c].iloc[0] for c in by]
+                [pdf[c].iloc[0] for c in keys]
                 + [v for pair in chosen for v in pair]
                 + [n * mse, 1 - mse / spread if spread > 0 else np.nan]
             )
@@ -180,6 +181,8 @@ def roi_intervals(
     fields.append(T.StructField("replicates_used", T.LongType()))
     columns = [f.name for f in fields]
     tail = (1 - ci) / 2
+    # What goes to the executors is plain data, so they do not need this package.
+    keys, names, spend_columns = list(by), [c.name for c in channels], [c.spend for c in channels]
 
     def summary(values: np.ndarray) -> list[float]:
         if not len(values):
@@ -190,7 +193,7 @@ def roi_intervals(
     def resample(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order)
         data = pdf[[*features, target]].to_numpy(float)
-        spends = pdf[[c.spend for c in channels]].to_numpy(float)
+        spends = pdf[spend_columns].to_numpy(float)
         weights = np.stack(pdf["weights"].to_numpy()).astype(float)
         counts = weights.sum(axis=0)
         roi, share = [], []
@@ -201,16 +204,16 @@ def roi_intervals(
             beta, status = solve_moments(mean, centred.T @ (centred * w[:, None]))
             if status != "ok":
                 continue
-            contribution = beta[1 : len(channels) + 1] * mean[: len(channels)]
+            contribution = beta[1 : len(names) + 1] * mean[: len(names)]
             with np.errstate(divide="ignore", invalid="ignore"):
                 roi.append(contribution / (w @ spends))
                 share.append(100 * contribution / mean[-1])
-        roi, share = np.array(roi).reshape(-1, len(channels)), np.array(share).reshape(-1, len(channels))
-        key = [pdf[c].iloc[0] for c in by]
+        roi, share = np.array(roi).reshape(-1, len(names)), np.array(share).reshape(-1, len(names))
+        key = [pdf[c].iloc[0] for c in keys]
         return pd.DataFrame(
             [
-                [*key, c.name, *summary(roi[:, i]), *summary(share[:, i]), len(roi)]
-                for i, c in enumerate(channels)
+                [*key, name, *summary(roi[:, i]), *summary(share[:, i]), len(roi)]
+                for i, name in enumerate(names)
             ],
             columns=columns,
         )

@@ -166,3 +166,24 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     assert "IsNotNull(start_date)" in text and "IsNotNull(advertised_asin)" in text
     schema = re.search(r"ReadSchema: struct<(.*)", text).group(1)
     assert "unused" not in schema and "clicks" not in schema and "spend" in schema
+
+
+def test_executors_do_not_need_the_package(small, tmp_path):
+    """A driver that only extends its own path, in another folder: workers cannot import the package."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+import __spark_entry__ as e
+from mixlens.session import build_session
+spark = build_session(master="local[2]", conf={{"spark.sql.shuffle.partitions": "2", "spark.checkpoint.dir": {str(tmp_path)!r}}})
+for name in ("m5_fit_ols", "m20_grid_search", "m22_roi_intervals"):
+    print(name, len(e.queries()[name](spark, {small!r}).collect()))
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0 and done.stdout.count("m") >= 3, done.stderr[-2000:]
