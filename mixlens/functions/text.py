@@ -45,14 +45,18 @@ def scrub_terms(
     terms = list(terms)
     if order == "longest":
         terms.sort(key=lambda t: -len(t[0]))
-    out = _col(c)
-    for term, replacement in terms:
+    patterns = []
+    for term, _ in terms:
         pattern = _quote(term)
-        if whole_word:
-            pattern = rf"(?U)\b{pattern}\b"
+        patterns.append(rf"(?U)\b{pattern}\b" if whole_word else pattern)
+    text = out = _col(c)
+    for pattern, (_, replacement) in zip(patterns, terms):
         java_replacement = replacement.replace("\\", "\\\\").replace("$", "\\$")
         out = F.regexp_replace(out, f"(?iu){pattern}", java_replacement)
-    return out
+    if len(terms) < 2:
+        return out
+    # Texts without any term, usually most of them, are looked at once and not once per term.
+    return F.when(text.rlike("(?iu)" + "|".join(patterns)), out).otherwise(text)
 
 
 def hash_embedded_ids(

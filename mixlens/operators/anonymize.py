@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mixlens.functions.text import hash_embedded_ids, hash_id, hash_url, scrub_terms
@@ -74,25 +74,31 @@ def anonymize(
     url_columns: Iterable[str] = URL_COLUMNS,
     order: str = "longest",
 ) -> DataFrame:
-    """Scrub texts, hash ids and URLs in one projection; columns the frame lacks are ignored.
+    """Scrub texts, hash ids and URLs; columns the frame lacks are ignored.
 
     ``terms`` is the caller's dictionary of names to hide. An id inside a text
     gets a shorter digest than the same id in an id column, so the two do not
     join with each other.
     """
     ids, texts, urls = set(id_columns), set(text_columns), set(url_columns)
+    text_here = {name for name, kind in df.dtypes if name in texts and kind == "string"}
 
-    def masked(name: str):
+    def scrubbed(name: str) -> Column:
         column = F.col(_quoted(name))
-        if name in texts and dict(df.dtypes)[name] == "string":
-            column = hash_embedded_ids(scrub_terms(column, terms, order))
+        return (scrub_terms(column, terms, order) if name in text_here else column).alias(name)
+
+    def masked(name: str) -> Column:
+        column = F.col(_quoted(name))
+        if name in text_here:
+            column = hash_embedded_ids(column)
         if name in ids:
             column = hash_id(column, id_prefix(name))
         if name in urls:
             column = hash_url(column)
         return column.alias(name)
 
-    return df.select(*[masked(name) for name in df.columns])
+    # Two projections: the second reads a scrubbed text several times, the first computes it once.
+    return df.select(*map(scrubbed, df.columns)).select(*map(masked, df.columns))
 
 
 def anonymize_bulk(df: DataFrame, terms: Terms = ()) -> DataFrame:

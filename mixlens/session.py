@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -33,8 +34,14 @@ def build_session(
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder below the cluster's shared checkpoint directory."""
+    """A new folder below the cluster's shared checkpoint directory.
+
+    Only a local session, where all tasks run on one machine, may go without
+    the setting; it gets a temporary folder.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        raise ValueError("spark.checkpoint.dir is not set: name a folder that every executor can reach")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that every executor can reach")
+        root = tempfile.mkdtemp(prefix="mixlens-")
     return f"{root.rstrip('/')}/mixlens-{name}-{uuid.uuid4().hex}"

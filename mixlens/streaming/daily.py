@@ -10,7 +10,7 @@ from mixlens.functions.cleaning import MONEY
 
 
 def daily_from_events(events: DataFrame, lateness: str = "3 days") -> DataFrame:
-    """Impressions, clicks, orders, spend and sales per day; works on batches and on streams.
+    """Impressions, clicks, orders, spend and sales per UTC day; works on batches and on streams.
 
     On a stream, rows that arrive later than ``lateness`` are ignored, as in
     the incremental refresh.
@@ -18,6 +18,10 @@ def daily_from_events(events: DataFrame, lateness: str = "3 days") -> DataFrame:
     kind, amount = F.col("event_type"), F.col("value").cast(MONEY)
     zero = F.lit(0).cast(MONEY)
     rows = events.withWatermark("ts", lateness) if events.isStreaming else events
+    # Day windows start at midnight UTC, which need not be midnight in the session's zone.
+    start = F.col("window.start")
+    if dict(events.dtypes)["ts"] == "timestamp":
+        start = F.to_utc_timestamp(start, F.current_timezone())
     return (
         rows.groupBy(F.window("ts", "1 day"))
         .agg(
@@ -27,7 +31,7 @@ def daily_from_events(events: DataFrame, lateness: str = "3 days") -> DataFrame:
             F.sum(F.when(kind == "click", amount).otherwise(zero)).alias("spend"),
             F.sum(F.when(kind == "purchase", amount).otherwise(zero)).alias("sales"),
         )
-        .select(F.col("window.start").cast("date").alias("date_id"), "impressions", "clicks", "orders", "spend", "sales")
+        .select(start.cast("date").alias("date_id"), "impressions", "clicks", "orders", "spend", "sales")
     )
 
 
