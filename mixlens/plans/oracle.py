@@ -123,16 +123,21 @@ _SERIES = "partition by series order by week_start"
 _X = ["transformed_spend_sp", "transformed_spend_sb", "transformed_spend_dsp", "season_sin", "season_cos"]
 
 
-def _solve(group: str, prefix: str) -> dict[str, str]:
-    """Least squares by elimination on the covariance matrix, one step per expression."""
+def _solve(source: str, keys: str, prefix: str) -> dict[str, str]:
+    """Least squares by elimination on the covariance matrix, one step per expression.
+
+    The last step has the coefficients as ``a<i>_5``, the means ``m<i>``, the
+    covariances with the target ``c<i>`` and the target's variance ``c5``.
+    """
     n = len(_X)
     names = [*_X, "total_sales"]
     moments = ", ".join(
         [f"avg({x}) as m{i}" for i, x in enumerate(names)]
+        + [f"covar_pop({x}, total_sales) as c{i}" for i, x in enumerate(names)]
         + [f"covar_pop({names[i]}, {names[j]}) as a{i}_{j}" for i in range(n) for j in range(n + 1)]
     )
-    steps = {f"{prefix}step0": f"select {group} as series, count(*) as n, {moments} from features group by 1"}
-    means = ", ".join(f"m{i}" for i in range(n + 1))
+    steps = {f"{prefix}step0": f"select {keys}, count(*) as n, {moments} from {source} group by {keys}"}
+    carried = ", ".join(f"m{i}, c{i}" for i in range(n + 1))
     for p in range(n):
         cells = []
         for i in range(n):
@@ -141,15 +146,33 @@ def _solve(group: str, prefix: str) -> dict[str, str]:
                     cells.append(f"a{p}_{j} / a{p}_{p} as a{i}_{j}")
                 else:
                     cells.append(f"a{i}_{j} - a{i}_{p} * a{p}_{j} / a{p}_{p} as a{i}_{j}")
-        steps[f"{prefix}step{p + 1}"] = f"select series, n, {means}, {', '.join(cells)} from {prefix}step{p}"
+        steps[f"{prefix}step{p + 1}"] = f"select {keys}, n, {carried}, {', '.join(cells)} from {prefix}step{p}"
     intercept = f"m{n} - (" + " + ".join(f"a{i}_{n} * m{i}" for i in range(n)) + ")"
     coefs = ", ".join(f"round(a{i}_{n}, 6) as coef_{x}" for i, x in enumerate(_X))
+    explained = " + ".join(f"a{i}_{n} * c{i}" for i in range(n))
     steps[f"{prefix}model"] = (
-        f"select series, round({intercept}, 6) as intercept, {coefs}, n, 'ok' as status from {prefix}step{n}"
+        f"select {keys}, round({intercept}, 6) as intercept, {coefs}, n, 'ok' as status, "
+        f"({explained}) / c{n} as r2 from {prefix}step{n}"
     )
     return steps
 
 
+_GRID = {"sp": (1500.0, 3000.0, 6000.0), "sb": (750.0, 1500.0, 3000.0), "dsp": (500.0, 1000.0, 2000.0)}
+_GRID_KEYS = "series, " + ", ".join(f"decay_{c}, half_saturation_{c}" for c in _GRID)
+
+
+def _setting(c: str) -> str:
+    """One channel's feature for every decay and half-saturation."""
+    stocks = " union all ".join(
+        f"select series, week_start, spend_{c} as x, {d}::double as decay_{c}, {_stock(f'spend_{c}', d, _SERIES)} as level from weekly"
+        for d in _MEMORY
+    )
+    ks = ", ".join(f"{k}::double" for k in _GRID[c])
+    return f"""select series, week_start, decay_{c}, half_saturation_{c},
+        pow(level, 2) / (pow(half_saturation_{c}, 2) + pow(level, 2)) * x as transformed_spend_{c}
+        from ({stocks}) s, (select unnest([{ks}]) as half_saturation_{c}) k"""
+
+
 _YHAT = "intercept + " + " + ".join(f"coef_{x} * {x}" for x in _X)
 
 
@@ -255,8 +278,14 @@ CTES: dict[str, str] = {
         for c, (_, k) in _STOCK.items()
     )
     + " from stocked",
-    **_solve("series", ""),
-    **_solve("'all'", "all"),
+    **_solve("features", "series", ""),
+    "pooled": "select 'all' as pool, * from features",
+    **_solve("pooled", "pool", "all"),
+    **{f"setting_{c}": _setting(c) for c in _GRID},
+    "grid": f"""select {_GRID_KEYS}, total_sales, season_sin, season_cos, {', '.join(_X[:3])} from stocked
+        join setting_sp using (series, week_start) join setting_sb using (series, week_start)
+        join setting_dsp using (series, week_start)""",
+    **_solve("grid", _GRID_KEYS, "grid"),
     "parts": f"""select series, week_start, total_sales, intercept as contrib_baseline,
         coef_{_X[0]} * {_X[0]} as contrib_sp, coef_{_X[1]} * {_X[1]} as contrib_sb, coef_{_X[2]} * {_X[2]} as contrib_dsp,
         coef_season_sin * season_sin + coef_season_cos * season_cos as contrib_seasonality, {_YHAT} as y_pred
@@ -758,7 +787,7 @@ def oracle_sql() -> dict[str, str]:
     )
     out["m3_transform_channels"] = _sql(f"select series, week_start, {_r(', '.join(_X[:3]), 5)} from features")
     out["m4_season_features"] = _sql(f"select series, week_start, {_r(', '.join(_X[3:]), 9)} from features")
-    out["m5_fit_ols"] = _sql("select * from model")
+    out["m5_fit_ols"] = _sql("select * exclude (r2) from model")
     out["m6_predict"] = _sql(f"select series, week_start, round({_YHAT}, 3) as y_pred from features join model using (series)")
     out["m7_fit_metrics"] = _sql(
         """select series, round(1 - avg((total_sales - y_pred) * (total_sales - y_pred)) / nullif(var_pop(total_sales), 0), 9) as r2,
@@ -845,6 +874,10 @@ def oracle_sql() -> dict[str, str]:
         from (select series, cast(year(week_start) as int) as period, sum(ad_sales) as a, sum(organic_sales) as o,
               sum(total_sales) as t from weekly group by 1, 2) q"""
     )
+    out["m20_grid_search"] = _sql(
+        f"""select {_GRID_KEYS}, round(r2, 6) as r2 from (select *, row_number() over (partition by series order by r2 desc) as rn
+        from gridmodel) q where rn = 1"""
+    )
     out["m21_saturating_form"] = _sql(
         "select series, week_start, " + ", ".join(f"round(saturated_{c}, 9) as transformed_spend_{c}" for c in _STOCK) + " from features"
     )

@@ -859,7 +859,7 @@ def m19_ads_organic_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def m20_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_search.grid_search(t.weekly(spark, sf_dir))
+    return _rounded(mix_search.grid_search(t.weekly(spark, sf_dir)).drop("sse"), 6, "r2")
 
 
 @query
