@@ -850,18 +850,18 @@ def oracle_sql() -> dict[str, str]:
         "select series, week_start, " + ", ".join(f"round({eps.format(a, b)}, {n}) as {k}" for k, (a, b, n) in kpis.items()) + " from weekly"
     )
     out["m17_kpi_total"] = _sql(
-        """select series, round(sum(spend_total), 6) as spend, round(sum(ad_sales), 6) as ad_sales, round(sum(total_sales), 6) as total_sales,
+        """select series, round(sum(spend_total), 4) as spend, round(sum(ad_sales), 4) as ad_sales, round(sum(total_sales), 4) as total_sales,
         round(sum(ad_sales) / nullif(sum(spend_total), 0), 6) as roas, round(sum(spend_total) / nullif(sum(total_sales), 0), 6) as tacos,
         round(sum(clicks_total)::double / nullif(sum(impressions_total)::double, 0), 6) as ctr from weekly group by 1"""
     )
     cards = ("spend", "total_sales", "roas", "tacos")
     out["m18_scorecard_yoy"] = _sql(
-        f"""select t.series, t.year, {", ".join(f"round(t.{c}, 6) as {c}" for c in cards)},
+        f"""select t.series, t.year, {", ".join(f"round(t.{c}, {4 if c in _MONEY else 6}) as {c}" for c in cards)},
         {", ".join(f"round(t.{c} / nullif(b.{c}, 0) - 1, 6) as {c}_yoy" for c in cards)}
         from yearly t left join yearly b on t.series = b.series and b.year = t.year - 1"""
     )
     out["m19_channel_mix"] = _sql(
-        "select series, period, channel, round(spend, 6) as spend, round(spend / nullif(sum(spend) over (partition by series, period), 0), 6) as share from ("
+        "select series, period, channel, round(spend, 4) as spend, round(spend / nullif(sum(spend) over (partition by series, period), 0), 6) as share from ("
         + " union all ".join(
             f"select series, cast(year(week_start) as int) as period, '{n}' as channel, sum(spend_{c}) as spend from weekly group by 1, 2"
             for c, n in labels.items()
@@ -869,7 +869,7 @@ def oracle_sql() -> dict[str, str]:
         + ") q"
     )
     out["m19_ads_organic_split"] = _sql(
-        """select series, period, round(a, 6) as ad_sales, round(o, 6) as organic_sales, round(t, 6) as total_sales,
+        """select series, period, round(a, 4) as ad_sales, round(o, 4) as organic_sales, round(t, 4) as total_sales,
         round(a / nullif(t, 0), 6) as ad_share, round(o / nullif(t, 0), 6) as organic_share
         from (select series, cast(year(week_start) as int) as period, sum(ad_sales) as a, sum(organic_sales) as o,
               sum(total_sales) as t from weekly group by 1, 2) q"""

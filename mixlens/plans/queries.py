@@ -833,28 +833,27 @@ def m17_weekly_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def m17_kpi_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(
-        mix.kpi_total(t.weekly(spark, sf_dir), ["series"]), 6,
-        "spend", "ad_sales", "total_sales", "roas", "tacos", "ctr",
-    )
+    totals = mix.kpi_total(t.weekly(spark, sf_dir), ["series"])
+    return _rounded(_rounded(totals, 4, "spend", "ad_sales", "total_sales"), 6, "roas", "tacos", "ctr")
 
 
 @query
 def m18_scorecard_yoy(spark: SparkSession, sf_dir: str) -> DataFrame:
     cards = mix.scorecard_yoy(t.weekly(spark, sf_dir), ["series"])
-    return _rounded(cards, 6, *cards.columns[2:])
+    return _rounded(_rounded(cards, 4, "spend", "total_sales"), 6, *cards.columns[4:])
 
 
 @query
 def m19_channel_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     long = facts.channel_spend_long(t.weekly_staged(spark, sf_dir), ("series", "week_start"))
-    return _rounded(mix.channel_mix(long, by=["series"]), 6, "spend", "share")
+    return _rounded(_rounded(mix.channel_mix(long, by=["series"]), 4, "spend"), 6, "share")
 
 
 @query
 def m19_ads_organic_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = mix.ads_organic_split(t.weekly(spark, sf_dir), by=["series"])
-    return _rounded(split, 6, *split.columns[2:])
+    money = ("ad_sales", "organic_sales", "total_sales")
+    return _rounded(_rounded(split, 4, *money), 6, "ad_share", "organic_share")
 
 
 @query
