@@ -2,7 +2,7 @@
 campaign name (they are kept), and the weekly marts.
 
 Measures are decimals or whole numbers, so sums do not depend on the order of
-rows. Row-level joins broadcast a dimension only after counting it; all other
+rows. Row-level joins broadcast a dimension only after measuring it; all other
 joins see rows that are summed already, and Spark chooses their kind by size.
 """
 
@@ -24,21 +24,21 @@ from mixlens.functions.cleaning import (
 )
 from mixlens.functions.dates import iso_date_parts, week_start_monday, week_start_sunday
 from mixlens.operators.dimensions import campaign_lookup, keep_first
-from mixlens.operators.joins import BROADCAST_ROWS, join_dimension
+from mixlens.operators.joins import BROADCAST_BYTES, join_dimension
 
 # Fixed value: day the business report was taken.
 SNAPSHOT_DATE = "2025-03-11"
 
 
 def _with_campaign_id(
-    rows: DataFrame, bulk: DataFrame, null_safe: bool, broadcast_rows: int
+    rows: DataFrame, bulk: DataFrame, null_safe: bool, broadcast_bytes: int
 ) -> DataFrame:
     """Add the campaign id by name; rows of unknown campaigns disappear.
 
     ``null_safe`` lets rows without a campaign name match a nameless campaign.
     """
     lookup = campaign_lookup(bulk).where(F.col("campaign_id").isNotNull())
-    found = join_dimension(rows, lookup, "campaign_name", broadcast_rows=broadcast_rows)
+    found = join_dimension(rows, lookup, "campaign_name", broadcast_bytes=broadcast_bytes)
     if null_safe:
         nameless = bulk.where((F.col("entity") == "Campaign") & F.col("campaign_name").isNull())
         only_id = nameless.agg(F.min("campaign_id").alias("campaign_id")).scalar()
@@ -48,7 +48,7 @@ def _with_campaign_id(
 
 
 def fact_ads_by_id(
-    ads: DataFrame, bulk: DataFrame, null_safe: bool = False, broadcast_rows: int = BROADCAST_ROWS
+    ads: DataFrame, bulk: DataFrame, null_safe: bool = False, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Daily ads fact by (date, campaign, product, sku); null keys form their own groups."""
     extra = {
@@ -70,7 +70,7 @@ def fact_ads_by_id(
     )
     measures = rows.columns[4:]
     return (
-        _with_campaign_id(rows, bulk, null_safe, broadcast_rows)
+        _with_campaign_id(rows, bulk, null_safe, broadcast_bytes)
         .groupBy("date_id", "campaign_id", "asin", "sku")
         .agg(*[F.sum(m).alias(m) for m in measures])
     )
@@ -84,7 +84,7 @@ def ads_by_product(fact: DataFrame) -> DataFrame:
 
 
 def fact_terms_by_id(
-    terms: DataFrame, bulk: DataFrame, null_safe: bool = False, broadcast_rows: int = BROADCAST_ROWS
+    terms: DataFrame, bulk: DataFrame, null_safe: bool = False, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Search-term fact by campaign id, one row per report row."""
     rows = terms.select(
@@ -99,7 +99,7 @@ def fact_terms_by_id(
         to_money0("total_sales_7d").alias("sales_7d"),
         to_long0("total_orders_7d").alias("orders_7d"),
     )
-    return _with_campaign_id(rows, bulk, null_safe, broadcast_rows).select(
+    return _with_campaign_id(rows, bulk, null_safe, broadcast_bytes).select(
         "date_id",
         "campaign_id",
         *[c for c in rows.columns if c not in ("date_id", "campaign_name")],
