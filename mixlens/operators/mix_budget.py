@@ -2,52 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mixlens.functions.ratios import safe_ratio
-from mixlens.operators.mix import CHANNELS, Channel
-from mixlens.operators.mix_model import average_spend, steady_response
+from mixlens.operators.mix import CHANNELS, FORMS, Channel
+from mixlens.operators.mix_model import average_spend, steady_factor, steady_response
 
 Bounds = Mapping[str, tuple[float, float]]
 
 
-def _responses(
-    channel: Channel, steps: int, bounds: Bounds, budget: Column, form: str, periods: int
-) -> Column:
-    """Array of the channel's response to 0 .. ``steps`` parts of the budget; null outside its bounds."""
-    low, high = bounds.get(channel.name, (0.0, 1.0))
-
-    def at(i: Column) -> Column:
-        share = i / F.lit(float(steps))
-        response = steady_response(F.col(channel.beta), budget * share, channel, periods, form)
-        allowed = (share >= F.lit(low - 1e-12)) & (share <= F.lit(high + 1e-12))
-        return F.when(allowed, response)
-
-    return F.transform(F.sequence(F.lit(0), F.lit(steps)), at)
-
-
-def _best_split(earlier: Column, own: Column, steps: int) -> Column:
-    """For every number of parts: the best total response and the parts of this channel.
-
-    ``earlier[j]`` is the best response of the channels before with ``j`` parts.
-    Ties go to the earlier channels.
-    """
-
-    def best(j: Column) -> Column:
-        options = F.transform(
-            F.sequence(F.lit(0), j),
-            lambda i: F.struct(
-                (F.get(earlier, j - i) + F.get(own, i)).alias("value"), (-i).alias("minus_parts")
-            ),
-        )
-        return F.array_max(F.filter(options, lambda o: o["value"].isNotNull()))
-
-    return F.transform(F.sequence(F.lit(0), F.lit(steps)), best)
-
-
 def optimize_budget(
     model: DataFrame,
     weekly: DataFrame,
@@ -64,43 +33,70 @@ def optimize_budget(
     The budget is the average weekly total unless given; ``bounds`` limits a
     channel's share of it. Contributions add up over channels, so the best
     split of every smaller budget is carried from channel to channel: the
-    result is the best of all combinations, without listing them. Series without a model
-    or without an allowed combination have null allocations.
+    result is the best of all combinations, without listing them. Ties go to
+    the earlier channels. Series without a model or without an allowed
+    combination have null allocations.
     """
     steps = round(1 / step)
     if steps < 1 or abs(steps * step - 1) > 1e-9:
         raise ValueError("1 must be a multiple of step")
+    if form not in FORMS:
+        raise ValueError(f"form must be one of {FORMS}, not {form!r}")
     if "spend_total" in weekly.columns:
         spent = F.col("spend_total")
     else:
         spent = sum((F.col(c.spend) for c in channels[1:]), F.col(channels[0].spend))
     amount = F.lit(float(budget)) if budget is not None else F.avg(spent)
     budgets = weekly.groupBy(*by).agg(amount.cast("double").alias("budget"))
-    df = model.select(*by, *[c.beta for c in channels]).join(budgets, list(by))
-    for c in channels:
-        values = _responses(c, steps, bounds or {}, F.col("budget"), form, periods)
-        df = df.withColumn(f"_own_{c.name}", values)
-    # The best splits of the first channel alone are its own responses.
-    df = df.withColumn("_best", F.col(f"_own_{channels[0].name}"))
-    for c in channels[1:]:
-        df = df.withColumn(f"_split_{c.name}", _best_split(F.col("_best"), F.col(f"_own_{c.name}"), steps))
-        df = df.withColumn("_best", F.transform(f"_split_{c.name}", lambda s: s["value"]))
-    df = df.withColumn("optimal_response", F.get("_best", F.lit(steps))).withColumn("_left", F.lit(steps))
-    # Walk back from the last channel: what it takes leaves the rest to those before.
-    for c in reversed(channels[1:]):
-        taken = -F.get(F.col(f"_split_{c.name}"), F.col("_left"))["minus_parts"]
-        df = df.withColumn(f"_parts_{c.name}", taken).withColumn("_left", F.col("_left") - F.col(f"_parts_{c.name}"))
-    feasible = F.col("optimal_response").isNotNull()
-    df = df.withColumn(f"_parts_{channels[0].name}", F.when(feasible, F.col("_left")))
-    return df.select(
-        *by,
-        "budget",
-        *[
-            (F.col("budget") * (F.col(f"_parts_{c.name}") / F.lit(float(steps)))).alias(f"optimal_{c.name}")
-            for c in channels
-        ],
-        "optimal_response",
-    )
+    known = model.select(*by, *[c.beta for c in channels]).join(budgets, list(by))
+
+    # What goes to the executors is plain data, so they do not need this package.
+    keys, columns = list(by), [f"optimal_{c.name}" for c in channels]
+    shapes = [
+        (c.beta, steady_factor(c.decay, periods), c.half_saturation, c.exponent, *(bounds or {}).get(c.name, (0, 1)))
+        for c in channels
+    ]
+    share = np.arange(steps + 1) / steps
+
+    def allocate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            spend = pdf["budget"].to_numpy(float)[:, None] * share
+            best, taken = None, []
+            for beta, factor, k, n, low, high in shapes:
+                powered = (spend * factor) ** n
+                own = pdf[beta].to_numpy(float)[:, None] * (powered / (k**n + powered))
+                if form == "spend":
+                    own = own * spend
+                own[:, (share < low - 1e-12) | (share > high + 1e-12)] = -np.inf
+                if best is None:
+                    best = own
+                    continue
+                # Give this channel 0, 1, 2 ... parts and the channels before it the rest.
+                joint, parts = np.full_like(best, -np.inf), np.zeros(best.shape, int)
+                for j in range(steps + 1):
+                    value = best[:, : steps + 1 - j] + own[:, j : j + 1]
+                    better = value > joint[:, j:]
+                    joint[:, j:][better] = value[better]
+                    parts[:, j:][better] = j
+                best = joint
+                taken.append(parts)
+            response = best[:, steps]
+            feasible = np.isfinite(response)
+            # Walk back from the last channel: what it takes leaves the rest to those before.
+            rows, left, allotted = np.arange(len(pdf)), np.full(len(pdf), steps), []
+            for parts in reversed(taken):
+                allotted.insert(0, parts[rows, left])
+                left = left - allotted[0]
+            allotted.insert(0, left)
+            out = pdf[[*keys, "budget"]].copy()
+            for name, parts in zip(columns, allotted):
+                out[name] = np.where(feasible, spend[rows, parts], np.nan)
+            out["optimal_response"] = np.where(feasible, response, np.nan)
+            yield out
+
+    fields = [known.schema[c] for c in keys]
+    fields += [T.StructField(c, T.DoubleType()) for c in ("budget", *columns, "optimal_response")]
+    return known.mapInPandas(allocate, T.StructType(fields))
 
 
 def allocation_report(

@@ -217,10 +217,14 @@ def contribution_shares(
     return shares.unpivot(list(by), [c.removeprefix("contrib_") for c in names], "source", "share")
 
 
+def steady_factor(decay: float, periods: int = 10) -> float:
+    """Adstock per unit of constant spend after ``periods`` periods, in closed form."""
+    return float(periods) if decay == 1 else (1 - decay**periods) / (1 - decay)
+
+
 def steady_adstock(spend: Column, decay: float, periods: int = 10) -> Column:
-    """Adstock after ``periods`` periods of constant spend, in closed form."""
-    factor = float(periods) if decay == 1 else (1 - decay**periods) / (1 - decay)
-    return spend * F.lit(factor)
+    """Adstock after ``periods`` periods of constant spend."""
+    return spend * F.lit(steady_factor(decay, periods))
 
 
 def steady_response(

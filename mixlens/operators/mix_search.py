@@ -8,6 +8,7 @@ a time. A series has one row per week, so a group is bounded by the calendar:
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Mapping, Sequence
 
 import numpy as np
@@ -132,16 +133,20 @@ def grid_search(
     return panel.groupBy(*by).applyInPandas(search, T.StructType(fields))
 
 
-def poisson_weight(*keys: Column) -> Column:
-    """A Poisson(1) draw that depends on nothing but the keys."""
-    uniform = F.pmod(F.xxhash64(*keys), F.lit(2**53)).cast("double") / F.lit(float(2**53))
-    weight = F.lit(0)
-    density = cumulative = np.exp(-1.0)
+def uniform_hash(*keys: Column) -> Column:
+    """A number in [0, 1) that depends on nothing but the keys."""
+    return F.pmod(F.xxhash64(*keys), F.lit(2**53)).cast("double") / F.lit(float(2**53))
+
+
+def poisson_weight(uniform: Column) -> Column:
+    """The Poisson(1) draw at a uniform number: how many cumulative probabilities it has passed."""
+    passed = []
+    density = cumulative = math.exp(-1.0)
     for k in range(1, 12):
-        weight = weight + (uniform >= F.lit(float(cumulative))).cast("int")
+        passed.append((uniform >= F.lit(cumulative)).cast("int"))
         density = density / k
         cumulative = cumulative + density
-    return weight.cast("byte")
+    return sum(passed[1:], passed[0]).cast("byte")
 
 
 def roi_intervals(
@@ -168,9 +173,13 @@ def roi_intervals(
         *features,
         *[F.col(c.spend).cast("double").alias(c.spend) for c in channels],
         F.col(target).cast("double").alias(target),
+        # Hashes first, draws second: inside one step each comparison would hash again.
         F.transform(
-            F.sequence(F.lit(0), F.lit(replicates - 1)),
-            lambda r: poisson_weight(*[F.col(c).cast("string") for c in (*by, order)], r),
+            F.transform(
+                F.sequence(F.lit(0), F.lit(replicates - 1)),
+                lambda r: uniform_hash(*[F.col(c).cast("string") for c in (*by, order)], r),
+            ),
+            poisson_weight,
         ).alias("weights"),
     )
     stats = ("mean", "median", "ci_lo", "ci_hi")

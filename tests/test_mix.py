@@ -246,7 +246,7 @@ def test_grid_contains_the_default_model(weekly, features, model):
 
 
 def test_poisson_weights(spark):
-    w = spark.range(200_000).select(mix_search.poisson_weight(F.lit("s"), F.col("id")).alias("w"))
+    w = spark.range(200_000).select(mix_search.poisson_weight(mix_search.uniform_hash(F.lit("s"), F.col("id"))).alias("w"))
     mean, var, zero = w.select(F.avg("w"), F.var_pop("w"), F.avg((F.col("w") == 0).cast("int"))).first()
     assert abs(mean - 1) < 0.01 and abs(var - 1) < 0.02 and abs(zero - np.exp(-1)) < 0.01
 
@@ -256,7 +256,7 @@ def test_intervals_equal_weighted_fits(spark, weekly, features):
     got = {r["channel"]: r for r in mix_search.roi_intervals(features, replicates=n).collect()}
     weights = features.select(
         "week_start",
-        F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda r: mix_search.poisson_weight(F.lit("national"), F.col("week_start").cast("string"), r)).alias("w"),
+        F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda r: mix_search.poisson_weight(mix_search.uniform_hash(F.lit("national"), F.col("week_start").cast("string"), r))).alias("w"),
     )
     pdf = features.join(weights, "week_start").toPandas().sort_values("week_start")
     x, y = pdf[mix_model.model_features()].to_numpy(), pdf["total_sales"].to_numpy()

@@ -182,9 +182,9 @@ sys.path.insert(0, {root!r})
 import __spark_entry__ as e
 from mixlens.session import build_session
 spark = build_session(master="local[2]", conf={{"spark.sql.shuffle.partitions": "2", "spark.checkpoint.dir": {str(tmp_path)!r}}})
-for name in ("m5_fit_ols", "m20_grid_search", "m22_roi_intervals"):
+for name in ("m5_fit_ols", "m14_optimize_budget", "m20_grid_search", "m22_roi_intervals"):
     print(name, len(e.queries()[name](spark, {small!r}).collect()))
 """
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
-    assert done.returncode == 0 and done.stdout.count("m") >= 3, done.stderr[-2000:]
+    assert done.returncode == 0 and done.stdout.count("m") >= 4, done.stderr[-2000:]
