@@ -40,7 +40,7 @@ def sketches(items: DataFrame, least: float = 0.8, width: int = WIDTH) -> DataFr
     """
     rows = items.select("item_id", F.array_distinct(shingles(text_of(), width)).alias("all")).distinct()
     size = F.size("all")
-    upper = F.pow(F.lit(2), F.floor(F.log2(size)) + 1) - 1
+    upper = F.pow(F.lit(2), F.length(F.bin(size))) - 1
     draws = F.floor(upper * (1 - least) + 1e-9).cast("int") + 1
     by_hash = F.sort_array(F.transform("all", lambda h: F.struct(F.xxhash64(h).alias("draw"), h.alias("shingle"))))
     return rows.where(size > 0).select(
