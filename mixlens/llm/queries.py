@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mixlens.llm import chat, contamination, mixing, quality, sharding
+from mixlens.llm import chat, contamination, mixing, quality, sharding, token_files, toxicity
 from mixlens.llm.common import read, written
+from mixlens.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -44,6 +45,17 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(read(spark, sf_dir, "documents"))
 
 
+@query
+def op6_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token ids in byte planes, read back."""
+    import public_tokenizers
+
+    path = scratch_path(spark, "tokens")
+    docs = read(spark, sf_dir, "documents")
+    token_files.write_tokens(docs, path, public_tokenizers.path("word_bpe_49k.json"), end_id=2, by_word=True)
+    return token_files.read_tokens(spark, path)
+
+
 @query
 def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of 8 racks and 4 regions, and where one more shard would put them."""
@@ -59,3 +71,16 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document with each benchmark item of which it holds 80 % of the five-word shingles."""
     docs, items = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
     return contamination.search(docs, items).select("doc_id", "item_id", "shared", "size")
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of all documents, learned from labelled ones that are not held out."""
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+    )
