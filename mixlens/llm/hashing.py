@@ -43,6 +43,21 @@ def text_bytes(column):
     return data, offsets - offsets[0]
 
 
+def slices(batch, column: int, most: int = 1 << 22):
+    """A batch in parts of about so many bytes of the given string column; longer texts come alone."""
+    import pyarrow.compute as pc
+
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    begin = total = 0
+    for i, size in enumerate(sizes):
+        if i > begin and total + size > most:
+            yield batch.slice(begin, i - begin)
+            begin, total = i, 0
+        total += int(size)
+    if len(sizes) > begin:
+        yield batch.slice(begin)
+
+
 def word_hashes(data, offsets, seed: int = 0):
     """(hash of each word, offsets of the texts' words, first byte of each word, byte after it).
 
@@ -51,23 +66,25 @@ def word_hashes(data, offsets, seed: int = 0):
     import numpy as np
 
     inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
-    first = inside.copy()
+    first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
     edges = offsets[1:-1]
     edges = edges[(edges > 0) & (edges < len(data))]
     first[edges] = inside[edges]
-    start = np.flatnonzero(first)
-    if not len(start):
-        none = np.zeros(0, np.int64)
-        return none.astype(np.uint64), np.zeros(len(offsets), np.int64), none, none
-    # Bytes of words, one word after the other, each with its place in its word.
-    at = np.flatnonzero(inside)
-    begin = np.searchsorted(at, start)
-    length = np.diff(np.append(begin, len(at)))
-    place = np.arange(len(at)) - np.repeat(begin, length)
-    letter, position = keys(256, 2 * seed + 1), keys(int(length.max()), 2 * seed + 2)
-    hashes = mixed(np.add.reduceat(letter[data[at]] * position[place], begin) + length.astype(np.uint64))
-    return hashes, np.searchsorted(start, offsets), start, start + length
+    last[edges - 1] = inside[edges - 1]
+    start, stop = np.flatnonzero(first), np.flatnonzero(last) + 1
+    length = stop - start
+    hashes = np.zeros(len(start), np.uint64)
+    letter, position = keys(256, 2 * seed + 1), keys(int(length.max(initial=0)), 2 * seed + 2)
+    # So many words at a time that their bytes' products stay small, whatever the texts' lengths.
+    for a in range(0, len(start), 1 << 17):
+        size = length[a : a + (1 << 17)]
+        begin = np.cumsum(size) - size
+        place = np.arange(int(size.sum())) - np.repeat(begin, size)
+        terms = letter[data[np.repeat(start[a : a + len(size)], size) + place]] * position[place]
+        hashes[a : a + len(size)] = mixed(np.add.reduceat(terms, begin) + size.astype(np.uint64))
+    return hashes, np.searchsorted(start, offsets), start, stop
 
 
 def window_hashes(words, bounds, width: int, seed: int = 0):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mixlens.llm import chat, contamination, mixing, quality, sharding, token_files, toxicity
+from mixlens.llm import chat, contamination, mixing, near_dup, quality, sharding, token_files, toxicity
 from mixlens.llm.common import read, written
 from mixlens.session import scratch_path
 
@@ -45,6 +45,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(read(spark, sf_dir, "documents"))
 
 
+@query
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the class of near copies that each belongs to."""
+    return near_dup.classes(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_copies", "n_links")
+
+
 @query
 def op6_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token ids in byte planes, read back."""
