@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mixlens.llm import chat, contamination, mixing, near_dup, quality, sharding, token_files, toxicity
+from mixlens.llm import chat, contamination, mixing, near_dup, quality, sharding, substrings, token_files, toxicity
 from mixlens.llm.common import read, written
 from mixlens.session import scratch_path
 
@@ -45,6 +45,16 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(read(spark, sf_dir, "documents"))
 
 
+@query
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the passages of 13 words that start in a document of smaller id."""
+    rows = substrings.remove_repeats(read(spark, sf_dir, "documents"))
+    removed = F.aggregate("repeats", F.lit(0), lambda n, r: n + r["end"] - r["first"])
+    return rows.select(
+        "doc_id", "n_words", removed.cast("long").alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the class of near copies that each belongs to."""
