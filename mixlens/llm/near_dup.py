@@ -6,12 +6,8 @@ that two documents share a draw with the probability of their weighted Jaccard
 similarity. Rows of draws form bands; documents that share a band meet in a
 bucket and are verified by their exact weighted similarity.
 
-In a bucket nobody meets everybody: all members are compared with one pivot.
-Similar ones are linked to it. Distance (1 - similarity) is a metric, so two
-members whose distances to the pivot differ by more than the threshold can't be
-similar: only members that failed, and linked ones near the border, meet again
-around the next pivot, until no bucket holds two that might be similar. Links
-between members that are both linked to the pivot are implied.
+In a bucket nobody meets everybody: members are compared with pivots, and the
+distance (1 - similarity) is a metric that rules out most other pairs.
 """
 
 from __future__ import annotations
@@ -27,6 +23,7 @@ from pyspark.sql import functions as F
 from mixlens.llm.common import kept_whole, text_of, written
 from mixlens.llm.components import components
 from mixlens.llm.hashing import keys, mixed, slices, text_bytes, window_hashes, word_hashes
+from mixlens.llm.pivots import pivot_links
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -214,43 +211,23 @@ def _comparing(idf: bytes) -> Callable:
                     total = wa.sum() + wb.sum() - least
                     far.append(1.0 - least / total if total else 0.0)
                 columns = [part.column(0), part.column(1), pa.array(far, pa.float64())]
-                yield pa.RecordBatch.from_arrays(columns, names=["node", "pivot", "far"])
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "far"])
 
     return run
 
 
-def _pivots(members: DataFrame) -> DataFrame:
-    """Members of buckets of two or more, with the bucket's least node as pivot."""
-    least = members.groupBy("bucket").agg(F.min("node").alias("pivot"), F.max("node").alias("last"))
-    return members.join(least.where("pivot < last").drop("last"), "bucket")
-
-
 def links_of(members: DataFrame, texts: DataFrame, idf: bytes, least: float = LEAST) -> DataFrame:
     """Links between similar nodes that share a bucket, enough of them to connect all that are connected.
 
-    ``members`` has bucket and node, ``texts`` node and text. Every pair is
-    compared once; each round's buckets are strictly smaller than those before.
+    ``members`` has bucket and node, ``texts`` node and text.
     """
-    reach = 1.0 - least + 1e-9
-    members = written(_pivots(members), "dup-members")
-    known: DataFrame | None = None
-    while not members.isEmpty():
-        pairs = members.where("node <> pivot").select("node", "pivot").distinct()
-        if known is not None:
-            pairs = pairs.join(known.select("node", "pivot"), ["node", "pivot"], "left_anti")
-        first = pairs.join(texts, "node").withColumnRenamed("text", "a")
-        both = first.join(texts.withColumnsRenamed({"node": "pivot", "text": "b"}), "pivot").select("node", "pivot", "a", "b")
-        far = written(both.mapInArrow(_comparing(idf), "node long, pivot long, far double"), "dup-distances")
-        known = far if known is None else known.unionByName(far)
-        judged = members.where("node <> pivot").join(known, ["node", "pivot"])
-        # The nearest of those that failed tells which linked members might still be similar to one of them.
-        edge = judged.groupBy("bucket").agg(F.min(F.when(F.col("far") > reach, F.col("far"))).alias("edge"))
-        left = judged.join(edge.where("edge is not null"), "bucket")
-        left = left.where((F.col("far") > reach) | (F.col("far") >= F.col("edge") - reach)).select("bucket", "node")
-        members = written(_pivots(left), "dup-members")
-    if known is None:
-        return members.select(F.col("node").alias("a"), F.col("pivot").alias("b"))
-    return known.where(F.col("far") <= reach).select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+
+    def compare(pairs: DataFrame) -> DataFrame:
+        first = pairs.join(texts.withColumnsRenamed({"node": "a", "text": "text_a"}), "a")
+        both = first.join(texts.withColumnsRenamed({"node": "b", "text": "text_b"}), "b")
+        return both.select("a", "b", "text_a", "text_b").mapInArrow(_comparing(idf), "a long, b long, far double")
+
+    return pivot_links(members, compare, 1.0 - least + 1e-9)
 
 
 def classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
@@ -270,8 +247,9 @@ def classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
     # Bands follow from the text, so equal texts fall together; the node's number is fixed by writing it.
     distinct = signed.groupBy("text_key", "bands").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n_copies"))
     nodes = written(distinct.withColumn("node", F.monotonically_increasing_id()), "dup-nodes")
-    members = _pivots(nodes.select("node", F.explode("bands").alias("bucket"))).select("bucket", "node")
-    members = written(members, "dup-buckets")
+    banded = nodes.select("node", F.explode("bands").alias("bucket"))
+    shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    members = written(banded.join(shared, "bucket"), "dup-buckets")
     wanted = members.select("node").distinct().join(nodes.select("node", "text_key"), "node")
     keyed = rows.select(F.unhex(F.md5("text")).alias("text_key"), "text").join(wanted, "text_key")
     texts = written(keyed.groupBy("node").agg(F.first("text").alias("text")), "dup-texts")

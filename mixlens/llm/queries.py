@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mixlens.llm import chat, contamination, mixing, near_dup, quality, sharding, substrings, token_files, toxicity
+from mixlens.llm import chat, contamination, lines, mixing, near_dup, quality, sharding, substrings, token_files, toxicity
 from mixlens.llm.common import read, written
 from mixlens.session import scratch_path
 
@@ -100,3 +100,11 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
     )
+
+
+@query
+def op10_near_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without lines that equal an earlier one up to two edits."""
+    rows = lines.remove_near_lines(read(spark, sf_dir, "documents"))
+    ids = F.array_join(F.col("first_ids").cast("array<string>"), ",").alias("first_ids")
+    return rows.select("doc_id", "n_lines", "n_links", "n_removed", ids, F.sha2("kept", 256).alias("kept_sha256"))
