@@ -267,7 +267,7 @@ def classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, least: float = LEAST) -> DataFrame:
-    """One row of each class with all its columns: of the least doc_id, then of the least text, then any of equal rows."""
+    """One row of each class with all its columns: that of the least doc_id; of rows with equal id and text, any one."""
     found = classes(docs, least)
     # The class's text is that of its least id; ties go to the text of least number.
     order = F.struct(F.col("first_id").isNull().alias("none"), F.col("first_id"), F.col("node"))
@@ -275,4 +275,4 @@ def one_of_each(docs: DataFrame, least: float = LEAST) -> DataFrame:
     keep = best.join(found.select("node", "text_key").distinct(), "node").select("id", "text_key")
     rows = kept_whole(docs, "doc_id", "text").select("row", "doc_id", F.unhex(F.md5(text_of())).alias("key"))
     kept = rows.join(keep, rows["doc_id"].eqNullSafe(keep["id"]) & (rows["key"] == keep["text_key"]))
-    return kept.groupBy("doc_id", "key").agg(F.min("row").alias("row")).select("row.*")
+    return kept.groupBy("doc_id", "key").agg(F.first("row").alias("row")).select("row.*")
