@@ -149,15 +149,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
     """
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
-    # The checksum tells rows of one id apart.
-    rows = docs.select("doc_id", (F.crc32(text_of().cast("binary")) - 2**31).cast("int").alias("key"), text_of().alias("text"))
+    # The hash tells rows of one id apart, and an anchor in two texts from one in two copies of a text.
+    rows = docs.select("doc_id", F.xxhash64(text_of()).alias("key"), text_of().alias("text"))
     digests = rows.select("doc_id", "key", F.unhex(F.md5("text")).alias("digest"))
     least = digests.groupBy("digest").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("n")).where("n > 1")
     copies = digests.join(least, "digest").where("doc_id > least_id").select("doc_id", "key").distinct()
     copies = written(copies, "repeat-copies")
 
-    anchors = rows.mapInArrow(_anchoring(length, seed), f"doc_id {kind}, key int, anchor long")
-    shared = written(anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "repeat-anchors")
+    anchors = rows.mapInArrow(_anchoring(length, seed), f"doc_id {kind}, key long, anchor long")
+    of_texts = anchors.groupBy("anchor").agg(F.min("key").alias("low"), F.max("key").alias("high"))
+    shared = written(of_texts.where("low < high").select("anchor"), "repeat-anchors")
     release(spark)
     seeds = anchors.join(shared, "anchor").groupBy("doc_id", "key").agg(F.collect_set("anchor").alias("anchors"))
     seeds = written(seeds, "repeat-seeds")
@@ -165,11 +166,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
 
     searched = seeds.join(copies, _same(seeds, copies), "left_anti")
     both = rows.join(searched, _same(rows, searched)).select(rows["doc_id"], rows["key"], "text", "anchors")
-    passages = both.mapInArrow(_extending(length, seed), f"doc_id {kind}, key int, one long, two int, first int")
+    passages = both.mapInArrow(_extending(length, seed), f"doc_id {kind}, key long, one long, two int, first int")
     passages = written(passages, "repeat-passages")
     release(spark)
     first = passages.groupBy("one", "two").agg(F.min("doc_id").alias("least_id"), F.max("doc_id").alias("last_id"))
-    repeated = passages.join(first.where("least_id < last_id").drop("last_id"), ["one", "two"])
+    # As a table of its own it is joined right after its shuffle, so that Spark can split a hot passage.
+    first = written(first.where("least_id < last_id").drop("last_id"), "repeat-first")
+    release(spark)
+    repeated = passages.join(first, ["one", "two"])
     starts = repeated.where("doc_id > least_id").groupBy("doc_id", "key").agg(F.collect_set("first").alias("firsts"))
     starts = written(starts, "repeat-starts")
     release(spark)
