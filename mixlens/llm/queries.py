@@ -58,7 +58,7 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the class of near copies that each belongs to."""
-    return near_dup.classes(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_copies", "n_links")
+    return near_dup.classes(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_copies")
 
 
 @query
@@ -107,4 +107,4 @@ def op10_near_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without lines that equal an earlier one up to two edits."""
     rows = lines.remove_near_lines(read(spark, sf_dir, "documents"))
     ids = F.array_join(F.col("first_ids").cast("array<string>"), ",").alias("first_ids")
-    return rows.select("doc_id", "n_lines", "n_links", "n_removed", ids, F.sha2("kept", 256).alias("kept_sha256"))
+    return rows.select("doc_id", "n_lines", "n_removed", ids, F.sha2("kept", 256).alias("kept_sha256"))

@@ -86,18 +86,19 @@ def assign(docs: DataFrame, tree: Tree, name: str = "shard") -> DataFrame:
     return out.drop(f"{name}_region", f"{name}_rack")
 
 
-def with_slots(rows: DataFrame, buckets: int = 4096) -> DataFrame:
+def with_slots(rows: DataFrame, digits: int = 3) -> DataFrame:
     """Numbers the rows of each shard from 0 without a gap, in a new column ``slot``.
 
-    A shard is cut into buckets by a hash of the rows; rows are numbered within
-    a bucket, and each bucket starts where the one before ends, so no task sees
+    A shard is cut into buckets by leading hex digits of a hash of the rows; rows
+    are numbered within a bucket, and each bucket starts where the one before ends, so no task sees
     a whole shard. Rows that are equal in all columns are counted before the
     shuffle and spread out at the end.
     """
     columns = rows.columns
     same = rows.groupBy(*columns).agg(F.count("*").alias("_n"))
     others = [c for c in columns if c != "shard"]
-    same = same.withColumn("_bucket", F.pmod(F.xxhash64(*others), F.lit(buckets)))
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in others])
+    same = same.withColumn("_bucket", F.substring(F.md5(text), 1, digits))
     sums = same.groupBy("shard", "_bucket").agg(F.sum("_n").alias("_rows"))
     ends = F.sum("_rows").over(W.partitionBy("shard").orderBy("_bucket"))
     starts = sums.select("shard", "_bucket", (ends - F.col("_rows")).alias("_start"))
