@@ -118,13 +118,12 @@ def _pool(draw: int):
     return -np.log(u[0] * u[1]), np.log(-np.log(u[2] * u[3])), u[4]
 
 
-def sampling_table(draw: int, step: int):
-    """For each triple of a draw, what it gives a shingle of the weight: rank (less wins) and grid cell."""
+def sampled(pool, index, steps):
+    """What the triples ``index`` of a draw give shingles of the weights: rank (less wins) and grid cell in one number."""
     import numpy as np
 
-    r, log_c, beta = _pool(draw)
-    log_weight = step / STEPS * math.log(2.0)
-    cell = np.floor(log_weight / r + beta)
+    r, log_c, beta = (x[index] for x in pool)
+    cell = np.floor(steps * (math.log(2.0) / STEPS) / r + beta)
     rank = np.exp(log_c - r * (cell - beta) - r).astype(np.float32)
     # The rank's bits lead, the cell's hash follows; a shingle's own bits are joined to it by exclusive or.
     lead = rank.view(np.uint32).astype(np.uint64) << np.uint64(32)
@@ -141,28 +140,30 @@ def _signing(idf: bytes) -> Callable:
         import pyarrow as pa
 
         inverse = np.frombuffer(idf, np.float32)
-        tables: dict[tuple[int, int], np.ndarray] = {}
         pick = keys(BANDS * ROWS, 5)
+        # Worker processes outlive tasks; the library's module holds the draws for the next task. Nearly all
+        # weights are 1: for those, what each triple gives is kept ready.
+        kept = np.__dict__.setdefault("_kept_draws", {})
+        name = (BANDS * ROWS, POOL_BITS, STEPS)
+        if name not in kept:
+            pools = [_pool(k) for k in range(BANDS * ROWS)]
+            every = np.arange(1 << POOL_BITS)
+            kept[name] = [(p, sampled(p, every, np.zeros(len(every)))) for p in pools]
+        draws = kept[name]
 
         def sign(shingles, steps, ends) -> np.ndarray:
             some = np.flatnonzero(np.diff(ends))
             begin = ends[:-1][some]
             found = np.zeros((len(some), BANDS * ROWS), np.uint64)
-            groups = [(s, np.flatnonzero(steps == s)) for s in np.unique(steps)]
+            other = np.flatnonzero(steps)
+            weight = steps[other].astype(np.float64)
             own = mixed(shingles) >> np.uint64(32)
-            for k in range(BANDS * ROWS):
-                index = ((shingles * pick[k]) >> np.uint64(64 - POOL_BITS)).astype(np.int64)
-                value = np.empty(len(shingles), np.uint64)
-                for step, at in groups:
-                    key = (k, int(step))
-                    if key not in tables:
-                        if len(tables) > 1 << 10:
-                            tables.clear()
-                        tables[key] = sampling_table(*key)
-                    if len(groups) == 1:
-                        value = tables[key][index]
-                    else:
-                        value[at] = tables[key][index[at]]
+            short = (shingles >> np.uint64(32)).astype(np.uint32)
+            for k, (pool, ready) in enumerate(draws):
+                index = (short * np.uint32(pick[k] >> np.uint64(32) | np.uint64(1))) >> np.uint32(32 - POOL_BITS)
+                value = ready[index]
+                if len(other):
+                    value[other] = sampled(pool, index[other], weight)
                 found[:, k] = np.minimum.reduceat(value ^ own, begin)
             bands = np.zeros((len(ends) - 1, BANDS), np.uint64)
             weights = keys(ROWS, 6)
@@ -172,7 +173,8 @@ def _signing(idf: bytes) -> Callable:
             return bands
 
         for batch in batches:
-            for part in slices(batch, 1):
+            # Small parts: what is done to them for each draw stays in the processor's cache.
+            for part in slices(batch, 1, 1 << 19):
                 data, offsets = text_bytes(part.column(1))
                 shingles, times, ends = shingle_sets(data, offsets)
                 bands = sign(shingles, steps_of(shingles, times, inverse), ends).view(np.int64)
