@@ -8,6 +8,12 @@ bucket and are verified by their exact weighted similarity.
 
 In a bucket nobody meets everybody: members are compared with pivots, and the
 distance (1 - similarity) is a metric that rules out most other pairs.
+
+Shingles of more than a hundredth of all documents count less, so that passages
+that very many documents share don't make those alike. In a group of near copies
+of that size the copies' own words would count less than what tells them apart;
+so documents that consist of such shingles for the most part are sampled and
+compared once more, with all shingles counting in full.
 """
 
 from __future__ import annotations
@@ -20,7 +26,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mixlens.llm.common import kept_whole, text_of, written
+from mixlens.llm.common import kept_whole, release, text_of, written
 from mixlens.llm.components import components
 from mixlens.llm.hashing import keys, mixed, slices, text_bytes, window_hashes, word_hashes
 from mixlens.llm.pivots import pivot_links
@@ -32,6 +38,8 @@ WIDTH, LEAST = 5, 0.8
 BANDS, ROWS = 20, 4
 #: Document frequencies are counted in so many buckets of shingle hashes (bits), and tell from this share on.
 BUCKET_BITS, COMMON = 18, 0.01
+#: Documents with fewer common shingles than this are compared by weight, documents with more than that in full.
+BY_WEIGHT_BELOW, IN_FULL_FROM = 0.9, 0.8
 #: Random triples of the sampling scheme per draw (bits), and steps of weights per doubling.
 POOL_BITS, STEPS = 15, 4
 
@@ -87,14 +95,14 @@ def _counting() -> Callable:
 
 
 def inverse_frequencies(docs: DataFrame) -> bytes:
-    """Base-2 logarithm of the inverse frequency of each shingle bucket, as 32-bit floats: at most 0, at least -1.
+    """Base-2 logarithm of the weight of each shingle bucket, as 32-bit floats, for its document frequency.
 
     Frequencies are counted over all rows, copies included. Up to ``COMMON`` of
-    all documents a shingle counts in full: below that share a group of copies
-    must not make its own words count less than the words that tell its members
-    apart. From there to all documents the weight falls to a half. Only buckets
-    above that share come to the driver; there are fewer than shingles in an
-    average document divided by the share, and 2 ** BUCKET_BITS at most.
+    all documents a shingle counts in full, from there the weight falls with the
+    square of the inverse frequency's logarithm, to a fiftieth for a shingle of
+    all documents. Only buckets above that share come to the driver; there are
+    fewer than shingles in an average document divided by the share, and
+    2 ** BUCKET_BITS at most.
     """
     import numpy as np
 
@@ -105,7 +113,7 @@ def inverse_frequencies(docs: DataFrame) -> bytes:
     idf = np.zeros(1 << BUCKET_BITS, np.float32)
     for r in common:
         rare = math.log(min(1.0, r["df"] / n)) / math.log(COMMON)
-        idf[r["bucket"]] = math.log2(0.5 + 0.5 * max(0.0, min(1.0, rare)))
+        idf[r["bucket"]] = math.log2(0.02 + 0.98 * max(0.0, min(1.0, rare)) ** 2)
     return idf.tobytes()
 
 
@@ -131,7 +139,7 @@ def sampled(pool, index, steps):
 
 
 def _signing(idf: bytes) -> Callable:
-    """doc_id, text key and band hashes of each row."""
+    """doc_id, text key and band hashes of each row: by weight, and in full for documents of common shingles."""
 
     def run(batches: Iterator) -> Iterator:
         import hashlib
@@ -140,6 +148,7 @@ def _signing(idf: bytes) -> Callable:
         import pyarrow as pa
 
         inverse = np.frombuffer(idf, np.float32)
+        full = np.zeros(1 << BUCKET_BITS, np.float32)
         pick = keys(BANDS * ROWS, 5)
         # Worker processes outlive tasks; the library's module holds the draws for the next task. Nearly all
         # weights are 1: for those, what each triple gives is kept ready.
@@ -152,9 +161,10 @@ def _signing(idf: bytes) -> Callable:
         draws = kept[name]
 
         def sign(shingles, steps, ends) -> np.ndarray:
-            some = np.flatnonzero(np.diff(ends))
-            begin = ends[:-1][some]
-            found = np.zeros((len(some), BANDS * ROWS), np.uint64)
+            begin = ends[:-1]
+            found = np.zeros((len(begin), BANDS * ROWS), np.uint64)
+            if not len(begin):
+                return np.zeros((0, BANDS), np.uint64)
             other = np.flatnonzero(steps)
             weight = steps[other].astype(np.float64)
             own = mixed(shingles) >> np.uint64(32)
@@ -165,11 +175,11 @@ def _signing(idf: bytes) -> Callable:
                 if len(other):
                     value[other] = sampled(pool, index[other], weight)
                 found[:, k] = np.minimum.reduceat(value ^ own, begin)
-            bands = np.zeros((len(ends) - 1, BANDS), np.uint64)
+            bands = np.zeros((len(begin), BANDS), np.uint64)
             weights = keys(ROWS, 6)
             for b in range(BANDS):
                 low = found[:, b * ROWS : (b + 1) * ROWS] * weights
-                bands[some, b] = mixed(low.sum(axis=1, dtype=np.uint64) + pick[b])
+                bands[:, b] = mixed(low.sum(axis=1, dtype=np.uint64) + pick[b])
             return bands
 
         for batch in batches:
@@ -177,14 +187,22 @@ def _signing(idf: bytes) -> Callable:
             for part in slices(batch, 1, 1 << 19):
                 data, offsets = text_bytes(part.column(1))
                 shingles, times, ends = shingle_sets(data, offsets)
-                bands = sign(shingles, steps_of(shingles, times, inverse), ends).view(np.int64)
+                count = np.diff(ends)
+                rarity = inverse[(shingles >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
+                common = np.concatenate([[0], np.cumsum(rarity < 0)])
+                share = (common[ends[1:]] - common[ends[:-1]]) / np.maximum(count, 1)
+                columns = [part.column(0)]
                 digest = [hashlib.md5(data[a:b].tobytes()).digest() for a, b in zip(offsets[:-1], offsets[1:])]
-                has = np.diff(ends) > 0
-                lists = pa.ListArray.from_arrays(
-                    np.concatenate([[0], np.cumsum(has * BANDS)]).astype(np.int32), pa.array(bands[has].ravel())
-                )
-                columns = [part.column(0), pa.array(digest, pa.binary()), lists]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "bands"])
+                columns.append(pa.array(digest, pa.binary()))
+                for weights, has in ((inverse, share < BY_WEIGHT_BELOW), (full, share >= IN_FULL_FROM)):
+                    has = has & (count > 0)
+                    chosen = np.repeat(has, count)
+                    begins = np.concatenate([[0], np.cumsum(count[has])])
+                    own = shingles[chosen]
+                    bands = sign(own, steps_of(own, times[chosen], weights), begins).view(np.int64)
+                    at = np.concatenate([[0], np.cumsum(has * BANDS)]).astype(np.int32)
+                    columns.append(pa.ListArray.from_arrays(at, pa.array(bands.ravel())))
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "bands", "full_bands"])
 
     return run
 
@@ -244,18 +262,25 @@ def classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
     rows = docs.select("doc_id", text_of().alias("text"))
     idf = inverse_frequencies(rows)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    signed = rows.mapInArrow(_signing(idf), f"doc_id {kind}, text_key binary, bands array<long>")
-    signed = written(signed, "dup-signatures")
+    schema = f"doc_id {kind}, text_key binary, bands array<long>, full_bands array<long>"
+    signed = written(rows.mapInArrow(_signing(idf), schema), "dup-signatures")
     # Bands follow from the text, so equal texts fall together; the node's number is fixed by writing it.
-    distinct = signed.groupBy("text_key", "bands").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n_copies"))
+    distinct = signed.groupBy("text_key", "bands", "full_bands")
+    distinct = distinct.agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n_copies"))
     nodes = written(distinct.withColumn("node", F.monotonically_increasing_id()), "dup-nodes")
-    banded = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    members = written(banded.join(shared, "bucket"), "dup-buckets")
-    wanted = members.select("node").distinct().join(nodes.select("node", "text_key"), "node")
+    members = []
+    for bands in ("bands", "full_bands"):
+        banded = nodes.select("node", F.explode(bands).alias("bucket"))
+        shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+        members.append(written(banded.join(shared, "bucket"), "dup-buckets"))
+    either = members[0].select("node").union(members[1].select("node")).distinct()
+    wanted = either.join(nodes.select("node", "text_key"), "node")
     keyed = rows.select(F.unhex(F.md5("text")).alias("text_key"), "text").join(wanted, "text_key")
     texts = written(keyed.groupBy("node").agg(F.first("text").alias("text")), "dup-texts")
-    links = written(links_of(members, texts, idf, least), "dup-links")
+    release(docs.sparkSession)
+    everything_counts = bytes(4 << BUCKET_BITS)
+    links = links_of(members[0], texts, idf, least).union(links_of(members[1], texts, everything_counts, least))
+    links = written(links.distinct(), "dup-links")
     found = components(links)
     ends = links.select(F.col("a").alias("node")).union(links.select("b"))
     n_links = ends.groupBy("node").agg(F.count("*").alias("n_links"))

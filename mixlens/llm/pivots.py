@@ -8,12 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mixlens.llm.common import written
-
-
-def _of_two(members: DataFrame) -> DataFrame:
-    """Members of buckets that hold two nodes at least."""
-    ends = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    return members.join(ends.where("low < high").select("bucket"), "bucket")
+from mixlens.llm.components import components
 
 
 def pivot_links(
@@ -25,31 +20,58 @@ def pivot_links(
     distance ``far``, a metric, to pairs (a, b); beyond twice ``reach`` it may
     give any number above that. Pairs within ``reach`` are similar.
 
-    Every round each bucket picks pivots and compares all members with them. A
-    pivot then leaves its bucket. So does a member that is linked to a pivot
-    unless another that is not linked to it may be similar: by the triangle
-    inequality that one's distance to the pivot is at most ``reach`` more. A
-    group of copies thus goes in the first round, with one comparison a member.
-    What no pivot can tell apart has to be compared; each round takes ``growth``
+    Every round each bucket picks pivots and compares its other members with
+    them; a pivot then leaves its bucket. Pairs that can't matter are skipped:
+    members that links connect already, and members whose distances to the
+    bucket's first pivot differ by more than ``reach``, which the triangle
+    inequality rules out. After the first round pivots come from members outside
+    the bucket's largest group, and a bucket of one group is done. A group of
+    copies thus costs a few comparisons a member. Members that nothing tells
+    apart and nothing connects have to be compared; each round takes ``growth``
     times as many pivots, so that rounds stay few.
     """
-    members, known, pivots = written(members, "bucket-members"), None, 1
+    spark = members.sparkSession
+    groups = spark.createDataFrame([], "node long, root long")
+    members = written(members.withColumn("d0", F.lit(None).cast("double")), "bucket-members")
+    known: DataFrame | None = None
+    pivots = 1
     while not members.isEmpty():
+        named = members.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        if known is None:
+            candidates = named
+        else:
+            sizes = named.groupBy("bucket", "root").agg(F.count("*").alias("size"))
+            largest = sizes.groupBy("bucket").agg(F.max(F.struct("size", "root")).alias("top"))
+            candidates = named.join(largest, "bucket").where("root <> top.root")
         part = F.pmod(F.xxhash64("node"), F.lit(pivots)).alias("part")
-        chosen = members.groupBy("bucket", part).agg(F.min("node").alias("pivot")).select("bucket", "pivot")
-        tried = members.join(chosen, "bucket").where("node <> pivot")
-        tried = tried.withColumns({"a": F.least("node", "pivot"), "b": F.greatest("node", "pivot")})
-        pairs = tried.select("a", "b").distinct()
+        chosen = candidates.groupBy("bucket", part).agg(F.min(F.struct("node", "root", "d0")).alias("p"))
+        chosen = chosen.select(
+            "bucket", F.col("p.node").alias("pivot"), F.col("p.root").alias("pivot_root"), F.col("p.d0").alias("pivot_d0")
+        )
+        chosen = written(chosen, "pivots")
+        tried = named.join(chosen, "bucket").where("node <> pivot and root <> pivot_root")
+        near = F.abs(F.col("d0") - F.col("pivot_d0")) <= reach
+        tried = tried.where(F.col("d0").isNull() | F.col("pivot_d0").isNull() | near)
+        pairs = tried.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
         if known is not None:
             pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
         far = written(compare(pairs).select("a", "b", "far"), "pair-distances")
+        if known is None:
+            # All were compared with the bucket's first pivot; its distances serve all later rounds.
+            first = chosen.select("bucket", F.col("pivot").alias("p0"))
+            with_first = members.drop("d0").join(first, "bucket").where("node <> p0")
+            ends = {"a": F.least("node", "p0"), "b": F.greatest("node", "p0")}
+            members = with_first.withColumns(ends).join(far, ["a", "b"]).select("bucket", "node", F.col("far").alias("d0"))
+        else:
+            gone = chosen.select("bucket", F.col("pivot").alias("node"))
+            members = members.join(gone, ["bucket", "node"], "left_anti")
         known = far if known is None else known.unionByName(far)
-        judged = tried.join(known, ["a", "b"])
-        edge = judged.groupBy("bucket", "pivot").agg(F.min(F.when(F.col("far") > reach, F.col("far"))).alias("edge"))
-        linked = judged.where(F.col("far") <= reach).join(edge, ["bucket", "pivot"])
-        settled = linked.where(F.col("edge").isNull() | (F.col("far") < F.col("edge") - reach)).select("bucket", "node")
-        gone = settled.union(chosen.select("bucket", "pivot")).distinct()
-        members = written(_of_two(members.join(gone, ["bucket", "node"], "left_anti")), "bucket-members")
+        links = known.where(F.col("far") <= reach).select("a", "b")
+        groups = components(links)
+        rest = members.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        mixed = rest.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        members = members.join(mixed.where("low < high").select("bucket"), "bucket")
+        members = written(members.select("bucket", "node", "d0"), "bucket-members")
         pivots *= growth
     if known is None:
         return members.select(F.col("node").alias("a"), F.col("node").alias("b"))

@@ -33,20 +33,28 @@ def brute(docs):
     df = Counter(g for s in sets for g in s)
     n = len(docs)
 
-    def weight(g, times):
+    def weight(g, times, full):
         idf = 0.0
-        if df[g] > max(1.0, 0.01 * n):
-            idf = math.log2(0.5 + 0.5 * max(0, min(1, math.log(min(1, df[g] / n)) / math.log(0.01))))
+        if df[g] > max(1.0, 0.01 * n) and not full:
+            idf = math.log2(0.02 + 0.98 * max(0, min(1, math.log(min(1, df[g] / n)) / math.log(0.01))) ** 2)
         return 2 ** (np.rint((np.log2(times) + np.float32(idf)) * 4) / 4)
 
-    weights = [{g: weight(g, k) for g, k in s.items()} for s in sets]
+    common = [sum(df[g] > max(1.0, 0.01 * n) for g in s) / max(1, len(s)) for s in sets]
+    weights = [[{g: weight(g, k, full) for g, k in s.items()} for s in sets] for full in (False, True)]
+
+    def similar(a, b, full):
+        if not all(common[x] >= 0.8 if full else common[x] < 0.9 for x in (a, b)):
+            return False
+        wa, wb = weights[full][a], weights[full][b]
+        least = sum(min(w, wb[g]) for g, w in wa.items() if g in wb)
+        total = sum(wa.values()) + sum(wb.values()) - least
+        return bool(total) and least / total >= 0.8 - 1e-9
+
     groups = Groups()
     for a in range(n):
         groups.find(a)
         for b in range(a):
-            least = sum(min(w, weights[b][g]) for g, w in weights[a].items() if g in weights[b])
-            total = sum(weights[a].values()) + sum(weights[b].values()) - least
-            if (docs[a][1] or "") == (docs[b][1] or "") or (total and least / total >= 0.8 - 1e-9):
+            if (docs[a][1] or "") == (docs[b][1] or "") or similar(a, b, False) or similar(a, b, True):
                 groups.join(a, b)
     return {docs[i][0]: docs[groups.find(i)][0] for i in range(n)}
 
@@ -69,6 +77,21 @@ def corpus(seed=1, n=220):
     return docs + [(n, None), (n + 1, ""), (n + 2, "w1 " * 3000)]
 
 
+def test_a_large_group_of_near_copies_beside_a_shared_passage(documents):
+    rng = random.Random(8)
+    words = [f"u{i}" for i in range(120)]
+    docs = []
+    for i in range(400):
+        if i % 4 == 0:
+            mine = list(words)
+            mine[rng.randrange(120)] = f"x{i}"
+        else:
+            mine = [f"p{k}" for k in range(60)] + [f"o{i}w{k}" for k in range(40)]
+        docs.append((i, " ".join(mine)))
+    got = {r.doc_id: r.class_id for r in near_dup.classes(documents(docs)).collect()}
+    assert got == {i: 0 if i % 4 == 0 else i for i in range(400)}
+
+
 def test_classes_against_all_pairs(documents):
     docs = corpus()
     got = {r.doc_id: r.class_id for r in near_dup.classes(documents(docs)).collect()}
