@@ -8,8 +8,22 @@ from pyspark.sql import types as T
 
 MONEY = "decimal(18,4)"
 
-# Date layouts found in exported reports, besides ISO dates.
-REPORT_DATE_FORMATS = ("MM/dd/yyyy", "MMM dd, yyyy", "yyyyMMdd")
+# Layouts of dates in exported reports, besides ISO dates. A single letter takes one or two digits.
+REPORT_DATE_FORMATS = (
+    "M/d/yyyy",
+    "M/d/yy",
+    "M-d-yyyy",
+    "yyyy/M/d",
+    "yyyyMMdd",
+    "MMM d, yyyy",
+    "MMMM d, yyyy",
+    "d MMM yyyy",
+    "d-MMM-yyyy",
+    "d-MMM-yy",
+)
+
+# A time of day after the date, as spreadsheets write it; it is not part of the date.
+_TIME_OF_DAY = r"(?i)[ T]+\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*([ap]m)?\s*(z|utc|[+-]\d{2}:?\d{2})?$"
 
 
 def _col(c: Column | str) -> Column:
@@ -53,11 +67,15 @@ def parse_currency0(c: Column | str) -> Column:
 def to_date_or_null(c: Column | str, formats: tuple[str, ...] = ()) -> Column:
     """Calendar date without time; unreadable values stay null.
 
-    ``formats`` adds layouts to try after ISO dates, for string columns only.
+    ``formats`` adds layouts to try after ISO dates, for string columns only; a
+    time of day behind the date is set aside.
     """
     parsed = _col(c).try_cast("date")
-    extra = [F.try_to_timestamp(_col(c), F.lit(f)).cast("date") for f in formats]
-    return F.coalesce(parsed, *extra) if extra else parsed
+    if not formats:
+        return parsed
+    text = F.regexp_replace(F.trim(_col(c)), _TIME_OF_DAY, "")
+    extra = [F.try_to_timestamp(text, F.lit(f)).cast("date") for f in formats]
+    return F.coalesce(parsed, text.try_cast("date"), *extra)
 
 
 def date_column(df: DataFrame, name: str) -> Column:
@@ -68,3 +86,17 @@ def date_column(df: DataFrame, name: str) -> Column:
     """
     is_text = isinstance(df.schema[name].dataType, T.StringType)
     return to_date_or_null(name, REPORT_DATE_FORMATS if is_text else ())
+
+
+def unreadable_dates(df: DataFrame, *names: str) -> DataFrame:
+    """For each date column, how many rows have a value that is no date in any layout: column, unreadable.
+
+    Facts leave such rows out, so this tells what a load would lose.
+    """
+    counts = [
+        F.count_if(F.col(n).isNotNull() & (F.trim(F.col(n).cast("string")) != "") & date_column(df, n).isNull()) for n in names
+    ]
+    rows = F.array(
+        *[F.struct(F.lit(n).alias("column"), F.col(f"_{i}").alias("unreadable")) for i, n in enumerate(names)]
+    )
+    return df.agg(*[c.alias(f"_{i}") for i, c in enumerate(counts)]).select(F.inline(rows))

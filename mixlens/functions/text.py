@@ -71,16 +71,15 @@ def hash_embedded_ids(
     """
     text = _col(c)
     bounded = rf"(?U)\b({pattern})\b"
-    found = F.array_distinct(F.regexp_extract_all(text, F.lit(bounded), F.lit(1)))
-
-    def mask(acc: Column, product_id: Column) -> Column:
-        digest = F.upper(F.substring(F.sha1(product_id), 1, digits))
-        return F.regexp_replace(
-            acc, F.concat(F.lit(r"(?U)\b"), product_id, F.lit(r"\b")), F.concat(F.lit(prefix), digest)
-        )
-
-    # Rows without an id skip the fold.
-    return F.when(text.rlike(bounded), F.aggregate(found, text, mask)).otherwise(text)
+    digests = F.transform(
+        F.regexp_extract_all(text, F.lit(bounded), F.lit(1)),
+        lambda found: F.concat(F.lit(prefix), F.upper(F.substring(F.sha1(found), 1, digits))),
+    )
+    # The texts between the ids are one more than the ids, so one pass puts them together again.
+    pieces = F.zip_with(
+        F.split(text, bounded), digests, lambda between, digest: F.concat(between, F.coalesce(digest, F.lit("")))
+    )
+    return F.when(text.rlike(bounded), F.array_join(pieces, "")).otherwise(text)
 
 
 def hash_id(c: Column | str, prefix: str = "ID") -> Column:

@@ -2,8 +2,8 @@
 campaign name (they are kept), and the weekly marts.
 
 Measures are decimals or whole numbers, so sums do not depend on the order of
-rows. Row-level joins broadcast a dimension only after measuring it; all other
-joins see rows that are summed already, and Spark chooses their kind by size.
+rows. Spark chooses every join's kind by the sizes it sees, and can split hot keys
+of row-level joins; all other joins see rows that are summed already.
 """
 
 from __future__ import annotations
@@ -24,21 +24,19 @@ from mixlens.functions.cleaning import (
 )
 from mixlens.functions.dates import iso_date_parts, week_start_monday, week_start_sunday
 from mixlens.operators.dimensions import campaign_lookup, keep_first
-from mixlens.operators.joins import BROADCAST_BYTES, join_dimension
+from mixlens.operators.joins import join_dimension
 
 # Fixed value: day the business report was taken.
 SNAPSHOT_DATE = "2025-03-11"
 
 
-def _with_campaign_id(
-    rows: DataFrame, bulk: DataFrame, null_safe: bool, broadcast_bytes: int
-) -> DataFrame:
+def _with_campaign_id(rows: DataFrame, bulk: DataFrame, null_safe: bool) -> DataFrame:
     """Add the campaign id by name; rows of unknown campaigns disappear.
 
     ``null_safe`` lets rows without a campaign name match a nameless campaign.
     """
     lookup = campaign_lookup(bulk).where(F.col("campaign_id").isNotNull())
-    found = join_dimension(rows, lookup, "campaign_name", broadcast_bytes=broadcast_bytes)
+    found = join_dimension(rows, lookup, "campaign_name")
     if null_safe:
         nameless = bulk.where((F.col("entity") == "Campaign") & F.col("campaign_name").isNull())
         only_id = nameless.agg(F.min("campaign_id").alias("campaign_id")).scalar()
@@ -47,9 +45,7 @@ def _with_campaign_id(
     return found
 
 
-def fact_ads_by_id(
-    ads: DataFrame, bulk: DataFrame, null_safe: bool = False, broadcast_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
+def fact_ads_by_id(ads: DataFrame, bulk: DataFrame, null_safe: bool = False) -> DataFrame:
     """Daily ads fact by (date, campaign, product, sku); null keys form their own groups."""
     extra = {
         c: to_money0(c) if c in ads.columns else to_money0(F.lit(0))
@@ -70,7 +66,7 @@ def fact_ads_by_id(
     )
     measures = rows.columns[4:]
     return (
-        _with_campaign_id(rows, bulk, null_safe, broadcast_bytes)
+        _with_campaign_id(rows, bulk, null_safe)
         .groupBy("date_id", "campaign_id", "asin", "sku")
         .agg(*[F.sum(m).alias(m) for m in measures])
     )
@@ -83,9 +79,7 @@ def ads_by_product(fact: DataFrame) -> DataFrame:
     return fact.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
 
 
-def fact_terms_by_id(
-    terms: DataFrame, bulk: DataFrame, null_safe: bool = False, broadcast_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
+def fact_terms_by_id(terms: DataFrame, bulk: DataFrame, null_safe: bool = False) -> DataFrame:
     """Search-term fact by campaign id, one row per report row."""
     rows = terms.select(
         date_column(terms, "start_date").alias("date_id"),
@@ -99,7 +93,7 @@ def fact_terms_by_id(
         to_money0("total_sales_7d").alias("sales_7d"),
         to_long0("total_orders_7d").alias("orders_7d"),
     )
-    return _with_campaign_id(rows, bulk, null_safe, broadcast_bytes).select(
+    return _with_campaign_id(rows, bulk, null_safe).select(
         "date_id",
         "campaign_id",
         *[c for c in rows.columns if c not in ("date_id", "campaign_name")],

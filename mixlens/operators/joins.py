@@ -5,42 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension, by its measured content, that is sent to every executor.
-BROADCAST_BYTES = 64 * 1024 * 1024
 
-# What a value takes besides the characters of a string.
-_BYTES_PER_VALUE = 16
-
-
-def content_bytes(df: DataFrame) -> int:
-    """Size of the frame's content: one aggregate over it, of which one number reaches the driver."""
-    size = F.lit(_BYTES_PER_VALUE * len(df.columns))
-    for name, kind in df.dtypes:
-        if kind == "string":
-            size = size + F.coalesce(F.octet_length(name), F.lit(0))
-    return df.agg(F.sum(size.cast("bigint"))).first()[0] or 0
-
-
-def join_dimension(
-    rows: DataFrame,
-    dimension: DataFrame,
-    on: str,
-    how: str = "inner",
-    broadcast_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
+def join_dimension(rows: DataFrame, dimension: DataFrame, on: str, how: str = "inner") -> DataFrame:
     """Join rows to a dimension that has one row per key.
 
-    The dimension is measured first. Up to ``broadcast_bytes`` it is broadcast
-    and the rows are not shuffled at all; 0 never broadcasts.
-
-    Beyond it, both sides are shuffled and adaptive execution splits the
-    partitions of hot keys. It can do so only if both sides come straight from
-    a shuffle made for the join. A dimension that was just deduplicated by the
+    Nothing is measured beforehand: both sides come to the join by a shuffle, and
+    adaptive execution broadcasts the dimension instead if it turns out to be
+    below ``spark.sql.adaptive.autoBroadcastJoinThreshold``, or else splits the
+    partitions of hot keys. It can split only if both sides come straight from a
+    shuffle made for the join. A dimension that was just deduplicated by the
     same key would be joined as it lies; matching on the key's hash as well
     makes Spark shuffle it for the join.
     """
-    if broadcast_bytes and content_bytes(dimension) <= broadcast_bytes:
-        return rows.join(F.broadcast(dimension), on, how)
     hashed = F.xxhash64(on)
     joined = rows.withColumn("_hash", hashed).join(dimension.withColumn("_hash", hashed), [on, "_hash"], how)
     return joined.drop("_hash")

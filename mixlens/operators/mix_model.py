@@ -21,8 +21,8 @@ from mixlens.operators.mix import CHANNELS, Channel, adstock_over, hill
 SEASON = ("season_sin", "season_cos")
 TARGET = "total_sales"
 
-# Features whose correlation matrix is conditioned worse than this are not told apart.
-MAX_CONDITION = 1e10
+# Directions of the features' correlation matrix below this share of the largest are not told apart.
+LEAST_SHARE = 1e-10
 
 
 def model_features(channels: Sequence[Channel] = CHANNELS) -> list[str]:
@@ -31,43 +31,61 @@ def model_features(channels: Sequence[Channel] = CHANNELS) -> list[str]:
 
 
 def series_moments(df: DataFrame, features: Sequence[str], target: str, by: Sequence[str]) -> DataFrame:
-    """Row count, means and population covariances per series."""
+    """Row count, means and population covariances per series, over the rows that have every feature and the target."""
     names = [*features, target]
-    aggs = [F.count(F.lit(1)).alias("n")]
-    aggs += [F.avg(x).alias(f"mean_{i}") for i, x in enumerate(names)]
+    complete = F.lit(True)
+    for name in names:
+        complete = complete & F.col(name).isNotNull()
+    value = {x: F.when(complete, F.col(x)) for x in names}
+    aggs = [F.count_if(complete).alias("n")]
+    aggs += [F.avg(value[x]).alias(f"mean_{i}") for i, x in enumerate(names)]
     aggs += [
-        F.covar_pop(names[i], names[j]).alias(f"cov_{i}_{j}")
+        F.covar_pop(value[names[i]], value[names[j]]).alias(f"cov_{i}_{j}")
         for i in range(len(names))
         for j in range(i, len(names))
     ]
     return df.groupBy(*by).agg(*aggs)
 
 
-def _moment_solver() -> Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, str]]:
+def _moment_solver() -> Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
     """Make ``solve_moments``.
 
     A function made inside another is sent to the executors whole, so they need
     NumPy and pandas but not this package.
     """
+    least_share = LEAST_SHARE
 
-    def solve_moments(mean: np.ndarray, cov: np.ndarray) -> tuple[np.ndarray, str]:
-        """Intercept and coefficients from means and covariances; the target comes last.
+    def solve_moments(mean: np.ndarray, cov: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Intercepts and coefficients of a stack of problems from means and covariances; the target comes last.
 
-        Features are scaled to unit variance first. Constant or collinear features
-        leave all coefficients empty, with the reason as status.
+        Features are scaled to unit variance first. A constant feature gets the
+        coefficient 0. Features that can't be told apart share the effect: of all
+        least squares the smallest scaled coefficients are taken. The status tells
+        either case; without a complete row it is ``incomplete`` and nothing is
+        estimated.
         """
-        k = len(mean) - 1
-        empty = np.full(k + 1, np.nan)
-        if not (np.isfinite(mean).all() and np.isfinite(cov).all()):
-            return empty, "incomplete"
-        scale = np.sqrt(np.diag(cov)[:k])
-        if (scale <= 1e-12 * np.maximum(1.0, np.abs(mean[:k]))).any():
-            return empty, "constant feature"
-        correlation = cov[:k, :k] / np.outer(scale, scale)
-        if np.linalg.cond(correlation) > MAX_CONDITION:
-            return empty, "collinear features"
-        coef = np.linalg.solve(correlation, cov[:k, k] / scale) / scale
-        return np.concatenate([[mean[k] - coef @ mean[:k]], coef]), "ok"
+        k = mean.shape[1] - 1
+        beta = np.full((len(mean), k + 1), np.nan)
+        status = np.full(len(mean), "incomplete", dtype=object)
+        usable = np.isfinite(mean).all(axis=1) & np.isfinite(cov).all(axis=(1, 2))
+        if not usable.any():
+            return beta, status
+        mean, cov = mean[usable], cov[usable]
+        scale = np.sqrt(np.maximum(np.diagonal(cov, axis1=1, axis2=2)[:, :k], 0.0))
+        constant = scale <= 1e-12 * np.maximum(1.0, np.abs(mean[:, :k]))
+        inverse = np.where(constant, 0.0, 1.0 / np.where(constant, 1.0, scale))
+        correlation = cov[:, :k, :k] * inverse[:, :, None] * inverse[:, None, :]
+        values, vectors = np.linalg.eigh(correlation)
+        kept = values > least_share * np.maximum(values[:, -1:], 0.0)
+        pull = np.einsum("bij,bi->bj", vectors, cov[:, :k, k] * inverse)
+        pull = np.where(kept, pull / np.where(kept, values, 1.0), 0.0)
+        coef = np.einsum("bij,bj->bi", vectors, pull) * inverse
+        beta[usable] = np.column_stack([mean[:, k] - (coef * mean[:, :k]).sum(axis=1), coef])
+        collinear = kept.sum(axis=1) < (~constant).sum(axis=1)
+        status[usable] = np.where(
+            constant.any(axis=1), "constant feature", np.where(collinear, "collinear features", "ok")
+        )
+        return beta, status
 
     return solve_moments
 
@@ -84,8 +102,10 @@ def fit_ols(
 ) -> DataFrame:
     """Least squares with intercept, one model row per series.
 
-    Columns: the series, ``intercept``, one ``coef_<feature>`` each, ``n`` and
-    ``status``. ``digits`` rounds the coefficients, for models that are published.
+    Columns: the series, ``intercept``, one ``coef_<feature>`` each, ``n`` (the
+    rows that have every feature and the target) and ``status``: ``ok``,
+    ``constant feature`` (its coefficient is 0), ``collinear features`` (they share
+    the effect) or ``incomplete`` (no model). ``digits`` rounds the coefficients, for models that are published.
     """
     features = list(features or model_features())
     names = [*features, target]
@@ -101,13 +121,10 @@ def fit_ols(
         for pdf in batches:
             means = pdf[[f"mean_{i}" for i in range(width)]].to_numpy(float)
             covs = pdf[[f"cov_{i}_{j}" for i, j in zip(*upper)]].to_numpy(float)
-            rows, status = np.full((len(pdf), width), np.nan), []
-            for r in range(len(pdf)):
-                cov = np.zeros((width, width))
-                cov[upper] = covs[r]
-                cov = cov + np.triu(cov, 1).T
-                rows[r], state = solve_moments(means[r], cov)
-                status.append(state)
+            cov = np.zeros((len(pdf), width, width))
+            cov[:, upper[0], upper[1]] = covs
+            cov[:, upper[1], upper[0]] = covs
+            rows, status = solve_moments(means, cov)
             out = pdf[keys].copy()
             for i, name in enumerate(outputs):
                 out[name] = rows[:, i]
@@ -120,7 +137,7 @@ def fit_ols(
         (F.round(c, digits) if digits is not None else F.col(c)).alias(c) for c in outputs
     ]
     # NaN marks a missing coefficient inside numpy; SQL wants null.
-    solved = F.col("status") == "ok"
+    solved = F.col("status") != "incomplete"
     return model.select(
         *by, *[F.when(solved, c).alias(name) for c, name in zip(rounded, outputs)], "n", "status"
     )

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mixlens.functions.ratios import cut, label, round_to, safe_ratio
-from mixlens.operators.joins import BROADCAST_BYTES, join_dimension
+from mixlens.operators.joins import join_dimension
 
 
 def _sums(df: DataFrame, keys: list[str], measures: dict[str, str]) -> DataFrame:
@@ -58,9 +58,7 @@ _TERM_SUMS = {
 }
 
 
-def _term_performance(
-    fact_terms: DataFrame, dim_campaign: DataFrame, by_match_type: bool, broadcast_bytes: int
-) -> DataFrame:
+def _term_performance(fact_terms: DataFrame, dim_campaign: DataFrame, by_match_type: bool) -> DataFrame:
     """Search-term sums per campaign name and targeting type.
 
     The first sum is per campaign id, the second merges ids that share a name.
@@ -71,7 +69,7 @@ def _term_performance(
     per_id = _sums(fact_terms, ["campaign_id", *terms], _TERM_SUMS)
     again = {name: name for name in _TERM_SUMS.values()}
     return _sums(
-        join_dimension(per_id, campaigns, "campaign_id", broadcast_bytes=broadcast_bytes),
+        join_dimension(per_id, campaigns, "campaign_id"),
         [*terms, "campaign_name", "targeting_type"],
         again,
     )
@@ -84,7 +82,6 @@ def harvestable_terms(
     max_acos: float = 0.30,
     top: int = 5,
     exclude_existing_exact: bool = False,
-    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Broad and phrase terms that sell well enough to be targeted exactly.
 
@@ -94,16 +91,15 @@ def harvestable_terms(
     """
     targeted = dim_campaign.where(F.upper("targeting_type").isin("AUTO", "MANUAL"))
     open_match = fact_terms.where(F.col("match_type").isin("BROAD", "PHRASE"))
-    terms = _term_performance(open_match, targeted, True, broadcast_bytes)
+    terms = _term_performance(open_match, targeted, True)
     if exclude_existing_exact:
         exact = (
             fact_terms.where(F.col("match_type") == "EXACT")
             .select("campaign_id", "customer_search_term")
             .distinct()
         )
-        exact = join_dimension(
-            exact, targeted.select("campaign_id", "campaign_name"), "campaign_id", broadcast_bytes=broadcast_bytes
-        ).select("campaign_name", "customer_search_term")
+        exact = join_dimension(exact, targeted.select("campaign_id", "campaign_name"), "campaign_id")
+        exact = exact.select("campaign_name", "customer_search_term")
         terms = terms.join(exact, ["campaign_name", "customer_search_term"], "left_anti")
     best_first = Window.partitionBy("campaign_name").orderBy(
         F.col("sales").desc_nulls_last(), "customer_search_term", "match_type", "targeting_type"
@@ -137,10 +133,9 @@ def wasted_spend(
     dim_campaign: DataFrame,
     min_clicks: int = 15,
     limit: int = 50,
-    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Terms with many clicks and no or unprofitable sales: the ``limit`` most expensive ones."""
-    terms = _term_performance(fact_terms, dim_campaign, False, broadcast_bytes)
+    terms = _term_performance(fact_terms, dim_campaign, False)
     wasted = terms.where(
         (F.col("clicks") >= min_clicks) & ((F.col("orders") == 0) | (F.col("spend") > F.col("sales")))
     )

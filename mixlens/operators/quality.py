@@ -127,13 +127,14 @@ class ChecksFailed(AssertionError):
 def assert_checks(result: DataFrame) -> DataFrame:
     """Raise if an ``error`` check fails; return the failing ``warn`` checks.
 
-    The result has one row per check, so reading it on the driver is small.
+    The result has one row per check; it is computed once, on the driver, and
+    the warnings come back as a frame of those rows.
     """
-    failing = result.where(F.col("failing_rows") > 0)
-    errors = failing.where(F.col("severity") == "error").collect()
+    failing = result.where(F.col("failing_rows") > 0).collect()
+    errors = [r for r in failing if r["severity"] == "error"]
     if errors:
         raise ChecksFailed("; ".join(f"{r['check']}: {r['failing_rows']} rows" for r in errors))
-    return failing
+    return result.sparkSession.createDataFrame(failing, result.schema)
 
 
 # The checks the warehouse marts declare.

@@ -6,18 +6,26 @@ table expressions a statement names in front of it.
 
 from __future__ import annotations
 
+import math
 import re
 
-from mixlens.operators.anonymize import (
+from mixlens.plans.oracle_values import (
+    ADS,
+    ADS_GRAIN_CHECK,
     ADS_IDS,
+    ADS_OPTIONAL,
+    BULK,
     BULK_IDS,
+    BUSINESS,
     BUSINESS_IDS,
+    MART_CHECKS,
+    MIX_CHECKS,
+    PREFIXES,
+    STAR_CHECKS,
     TERM_IDS,
+    TERMS,
     TEXT_COLUMNS,
-    id_prefix,
 )
-from mixlens.operators.quality import ADS_GRAIN_CHECK, MART_CHECKS, MIX_CHECKS, STAR_RULES, checks_from_schema
-from mixlens.sources.reports import ADS, BULK, BUSINESS, TERMS
 
 
 def ratio(num: str, den: str) -> str:
@@ -60,7 +68,7 @@ PLACE = """
     'AG' || l_linenumber as ad_group_name"""
 
 _NONE = "cast(null as varchar)"
-_BULK_COLUMNS = [*BULK.columns.values(), "portfolio_name", "ingest_seq"]
+_BULK_COLUMNS = [*BULK.values(), "portfolio_name", "ingest_seq"]
 
 
 def _bulk_select(values: dict[str, str], source: str) -> str:
@@ -136,27 +144,81 @@ def _solve(source: str, keys: str, prefix: str) -> dict[str, str]:
         + [f"covar_pop({x}, total_sales) as c{i}" for i, x in enumerate(names)]
         + [f"covar_pop({names[i]}, {names[j]}) as a{i}_{j}" for i in range(n) for j in range(n + 1)]
     )
-    steps = {f"{prefix}step0": f"select {keys}, count(*) as n, {moments} from {source} group by {keys}"}
-    carried = ", ".join(f"m{i}, c{i}" for i in range(n + 1))
-    for p in range(n):
-        cells = []
-        for i in range(n):
-            for j in range(n + 1):
-                if i == p:
-                    cells.append(f"a{p}_{j} / a{p}_{p} as a{i}_{j}")
-                else:
-                    cells.append(f"a{i}_{j} - a{i}_{p} * a{p}_{j} / a{p}_{p} as a{i}_{j}")
-        steps[f"{prefix}step{p + 1}"] = f"select {keys}, n, {carried}, {', '.join(cells)} from {prefix}step{p}"
+    complete = " and ".join(f"{x} is not null" for x in names)
+    steps = {f"{prefix}step0": f"select {keys}, count(*) as n, {moments} from {source} where {complete} group by {keys}"}
+    steps |= _eliminate(keys, prefix, f"m{n}, c{n}, " + ", ".join(f"m{i}, c{i}" for i in range(n)))
     intercept = f"m{n} - (" + " + ".join(f"a{i}_{n} * m{i}" for i in range(n)) + ")"
     coefs = ", ".join(f"round(a{i}_{n}, 6) as coef_{x}" for i, x in enumerate(_X))
     explained = " + ".join(f"a{i}_{n} * c{i}" for i in range(n))
     steps[f"{prefix}model"] = (
-        f"select {keys}, round({intercept}, 6) as intercept, {coefs}, n, 'ok' as status, "
+        f"select {keys}, round({intercept}, 6) as intercept, {coefs}, n, "
+        f"case when least({', '.join(f's{i}' for i in range(n))}) = 0 then 'constant feature' else 'ok' end as status, "
         f"({explained}) / c{n} as r2 from {prefix}step{n}"
     )
     return steps
 
 
+def _eliminate(keys: str, prefix: str, carried: str) -> dict[str, str]:
+    """The elimination alone, from moments in ``<prefix>step0``; a feature that never varies gets the coefficient 0.
+
+    ``s<i>`` carries the variance of feature i.
+    """
+    n, steps = len(_X), {}
+    for p in range(n):
+        cells = []
+        for i in range(n):
+            for j in range(n + 1):
+                step = f"coalesce(a{p}_{j} / nullif(a{p}_{p}, 0), 0)"
+                cells.append(f"{step} as a{i}_{j}" if i == p else f"a{i}_{j} - a{i}_{p} * {step} as a{i}_{j}")
+        spread = ", ".join(f"a{i}_{i} as s{i}" if p == 0 else f"s{i}" for i in range(n))
+        steps[f"{prefix}step{p + 1}"] = (
+            f"select {keys}, n, {carried}, {spread}, {', '.join(cells)} from {prefix}step{p}"
+        )
+    return steps
+
+
+def _poisson() -> str:
+    """The Poisson(1) draw at u: how many cumulative probabilities it has passed, down to the step of u."""
+    terms, density, k = [], math.exp(-1.0), 0
+    cumulative = density
+    while 1.0 - cumulative > 2.0**-53:
+        terms.append(f"(u >= {cumulative!r}::double)::int")
+        k += 1
+        density = density / k
+        cumulative = cumulative + density
+    return " + ".join(terms)
+
+
+def _replicates() -> dict[str, str]:
+    """Fits of weighted weeks, one per series and replicate."""
+    n, names = len(_X), [*_X, "total_sales"]
+    moments = [f"sum(w * x{i}) / sum(w) as m{i}" for i in range(n + 1)]
+    moments += [
+        f"sum(w * x{i} * x{j}) / sum(w) - (sum(w * x{i}) / sum(w)) * (sum(w * x{j}) / sum(w)) as a{i}_{j}"
+        for i in range(n)
+        for j in range(n + 1)
+    ]
+    spends = [f"sum(w * spend_{c}) / sum(w) as spend{i}" for i, c in enumerate(_STOCK)]
+    centres = [f"any_value(centre{i}) as centre{i}" for i in range(n + 1)]
+    carried = [f"m{i}, centre{i}" for i in range(n + 1)] + [f"spend{i}" for i in range(len(_STOCK))]
+    hashed = "substr(md5(series || '|' || cast(week_start as varchar) || '|' || r), 1, 13)"
+    centred = ", ".join(f"{x} - centre{i} as x{i}, centre{i}" for i, x in enumerate(names))
+    return {
+        "centres": f"select series, {', '.join(f'avg({x}) as centre{i}' for i, x in enumerate(names))} from features group by 1",
+        "drawn": f"""select series, week_start, r, {centred}, {', '.join(f'spend_{c}' for c in _STOCK)},
+            ('0x' || {hashed})::bigint::double / 4503599627370496::double as u
+            from features join centres using (series), (select unnest(range(500)) as r) k""",
+        "weighted": f"select *, {_poisson()} as w from drawn",
+        "repstep0": f"select series, r, sum(w) as n, {', '.join(moments + spends + centres)} from weighted group by 1, 2 having sum(w) > {n}",
+        **_eliminate("series, r", "rep", ", ".join(carried)),
+        "rois": " union all ".join(
+            f"""select series, '{c}' as channel, a{i}_{n} * (m{i} + centre{i}) / spend{i} as roi,
+            100 * a{i}_{n} * (m{i} + centre{i}) / (m{n} + centre{n}) as share from repstep{n}"""
+            for i, c in enumerate(_STOCK)
+        ),
+    }
+
+
 _GRID = {"sp": (1500.0, 3000.0, 6000.0), "sb": (750.0, 1500.0, 3000.0), "dsp": (500.0, 1000.0, 2000.0)}
 _GRID_KEYS = "series, " + ", ".join(f"decay_{c}, half_saturation_{c}" for c in _GRID)
 
@@ -279,6 +341,7 @@ CTES: dict[str, str] = {
     )
     + " from stocked",
     **_solve("features", "series", ""),
+    **_replicates(),
     "pooled": "select 'all' as pool, * from features",
     **_solve("pooled", "pool", "all"),
     **{f"setting_{c}": _setting(c) for c in _GRID},
@@ -303,6 +366,12 @@ CTES: dict[str, str] = {
         cast(sum(case when event_type = 'click' then cast(value as decimal(18,4)) else 0 end) as double) as spend,
         cast(sum(case when event_type = 'purchase' then cast(value as decimal(18,4)) else 0 end) as double) as sales
         from events group by 1""",
+    "daily_in_time": """select cast(ts as date) as date_id, count(*) filter (where event_type = 'view') as impressions,
+        count(*) filter (where event_type = 'click') as clicks, count(*) filter (where event_type = 'purchase') as orders,
+        cast(sum(case when event_type = 'click' then cast(value as decimal(18,4)) else 0 end) as double) as spend,
+        cast(sum(case when event_type = 'purchase' then cast(value as decimal(18,4)) else 0 end) as double) as sales
+        from events where event_id % 10 <> 0 or cast(ts as date) + interval 1 day > (select max(ts) from events where event_id % 10 <> 0)
+        - interval 3 day group by 1""",
     "daily_early": """select cast(ts as date) as date_id, count(*) filter (where event_type = 'view') as impressions,
         count(*) filter (where event_type = 'click') as clicks, count(*) filter (where event_type = 'purchase') as orders,
         cast(sum(case when event_type = 'purchase' then cast(value as decimal(18,4)) else 0 end) as double) as sales
@@ -325,6 +394,17 @@ CTES["q1"] = f"""select campaign_name, portfolio_name, targeting_type, spend, ad
           cast(sum(orders_7d) as bigint) as orders from fact_ads join dim_campaign using (campaign_id) group by 1, 2, 3, 4) p,
          (select sum(ordered_product_sales) as total from fact_business) b) q where spend > 0"""
 
+# One series that never uses a channel, and a week of it without sales.
+CTES["odd_weekly"] = """select * replace (case when series = 'ASIA' then 0 else spend_dsp end as spend_dsp,
+    case when series = 'ASIA' and week_start = (select min(week_start) from weekly where series = 'ASIA') then null
+    else total_sales end as total_sales) from weekly"""
+CTES["odd_stocked"] = CTES["stocked"].replace("from weekly", "from odd_weekly")
+CTES["odd_features"] = CTES["features"].replace("from stocked", "from odd_stocked")
+CTES |= _solve("odd_features", "series", "odd")
+CTES |= {f"odd_setting_{c}": _setting(c).replace("from weekly", "from odd_weekly") for c in _GRID}
+CTES["odd_grid"] = re.sub(r"\b(stocked|setting_\w+)\b", r"odd_\1", CTES["grid"])
+CTES |= _solve("odd_grid", _GRID_KEYS, "oddgrid")
+
 
 def _harvest(extra: str = "") -> str:
     return f"""select customer_search_term, campaign_name, targeting_type, match_type, impressions, clicks,
@@ -457,14 +537,14 @@ def _hashed(x: str, prefix: str) -> str:
 
 def _masked(report, ids, source: str, optional: dict[str, str] | None = None, special: dict[str, str] | None = None) -> str:
     out = []
-    for header, column in {**report.columns, **(optional or {})}.items():
+    for header, column in {**report, **(optional or {})}.items():
         value = (special or {}).get(column, dbl(column) if column in _MONEY and source in ("ads", "terms") else column)
         if header in TEXT_COLUMNS and source != "business":
             value = _embedded(f"({_scrub(column)})")
         elif header in TEXT_COLUMNS:
             value = _embedded(f"({_scrub(value)})")
         if header in ids:
-            value = _hashed(value, id_prefix(header))
+            value = _hashed(value, PREFIXES[header])
         out.append(f'{value} as "{header}"')
     return _sql(f"select {', '.join(out)} from {source}")
 
@@ -474,15 +554,19 @@ _BUSINESS_STRINGS = {
     "page_views_total": "cast(page_views_total as varchar)",
     "units_ordered": "cast(units_ordered as varchar)",
     "unit_session_pct": "unit_session || '%'",
-    "ordered_product_sales": "cast(sales as varchar)",
+    "ordered_product_sales": (
+        "'$' || format('{:,}', cast(floor(sales) as bigint)) || '.' || "
+        "lpad(cast(cast(round((sales - floor(sales)) * 100) as int) as varchar), 2, '0')"
+    ),
     "total_order_items": "cast(items as varchar)",
 }
 
 
-def _business_staged(rename: dict[str, str] | None = None, where: str = "") -> str:
-    cols = ", ".join(
-        f"{_BUSINESS_STRINGS.get(c, c)} as {(rename or {}).get(c, c)}" for c in BUSINESS.columns.values()
-    )
+def _business_staged(
+    rename: dict[str, str] | None = None, where: str = "", strings: dict[str, str] | None = None
+) -> str:
+    values = {**_BUSINESS_STRINGS, **(strings or {})}
+    cols = ", ".join(f"{values.get(c, c)} as {(rename or {}).get(c, c)}" for c in BUSINESS.values())
     return _sql(f"select {cols} from business {where}")
 
 
@@ -563,12 +647,17 @@ def oracle_sql() -> dict[str, str]:
         units_ordered, unit_session_pct, {dbl('ordered_product_sales')} as ordered_product_sales, total_order_items from fact_business"""
     out["s1_k1_report_round_trip"] = _sql(masked_fact)
     out["s2_read_raw_landing"] = _sql(
-        "select parent_asin, product_title, cast(sessions_total as varchar) as sessions_total, session_pct_total, "
-        "unit_session || '%' as unit_session_pct from business"
+        "select "
+        + ", ".join(f"{_BUSINESS_STRINGS.get(c, c)} as {c}" for c in BUSINESS.values())
+        + " from business"
+    )
+    odd = "parent_asin is not null and cast(right(parent_asin, 1) as int) % 2 = 1"
+    out["s1_two_headers"] = _business_staged(
+        strings={"product_title": f"product_title || case when {odd} then chr(10) || '\"two\"' else '' end"}
     )
-    out["s3a_stage_bulk"] = _sql(f"select {', '.join(BULK.columns.values())} from bulk")
-    out["s3b_stage_ads"] = _pick(", ".join(ADS.columns.values()), "ads")
-    out["s3c_stage_terms"] = _pick(", ".join(TERMS.columns.values()), "terms")
+    out["s3a_stage_bulk"] = _sql(f"select {', '.join(BULK.values())} from bulk")
+    out["s3b_stage_ads"] = _pick(", ".join(ADS.values()), "ads")
+    out["s3c_stage_terms"] = _pick(", ".join(TERMS.values()), "terms")
     out["s3d_stage_business"] = _business_staged()
     mix_columns = (
         "series, week_start, spend_sp, spend_sb, spend_dsp, spend_total, impressions_total, clicks_total, "
@@ -585,7 +674,16 @@ def oracle_sql() -> dict[str, str]:
         "union all select date_id, impressions, clicks, orders, null as spend, sales from daily_early "
         "where date_id < date '2024-01-25' or date_id not in (select date_id from daily_all)"
     )
-    out["x1_stream_daily"] = _sql("select date_id, impressions, clicks, orders, spend, sales from daily_all")
+    out["k5_refresh_with_new_types"] = _sql(
+        "select date_id, impressions, clicks, orders, spend, sales from daily_all where date_id >= date '2024-01-25' "
+        "union all select date_id, impressions, clicks, orders, null as spend, floor(sales) as sales from daily_early "
+        "where date_id < date '2024-01-25' or date_id not in (select date_id from daily_all)"
+    )
+    out["k2_load_by_day"] = out["x1_stream_daily"] = _sql("select date_id, impressions, clicks, orders, spend, sales from daily_all")
+    # A day that ended three days before the first batch's last event is closed.
+    out["x1_stream_late_rows"] = _sql(
+        "select date_id, impressions, clicks, orders, spend, sales from daily_in_time"
+    )
 
     out["p1_scrub_terms"] = f"select doc_id, {_scrub('text')} as text from documents"
     out["p2_hash_embedded_ids"] = _sql(
@@ -607,7 +705,7 @@ def oracle_sql() -> dict[str, str]:
     bulk_extra = {"Portfolio Name (Informational only)": "portfolio_name", "ingest_seq": "ingest_seq"}
     out["p7_anonymize_bulk"] = _masked(BULK, BULK_IDS, "bulk", bulk_extra)
     out["p8_anonymize_terms"] = _masked(TERMS, TERM_IDS, "terms")
-    out["p9_anonymize_ads"] = _masked(ADS, ADS_IDS, "ads", ADS.optional)
+    out["p9_anonymize_ads"] = _masked(ADS, ADS_IDS, "ads", ADS_OPTIONAL)
     out["p10_anonymize_business"] = _masked(BUSINESS, BUSINESS_IDS, "business", special=_BUSINESS_STRINGS)
     overlap = (
         "(select count(distinct advertised_asin) from ads) as ids_a, (select count(distinct parent_asin) from business) as ids_b, "
@@ -630,6 +728,11 @@ def oracle_sql() -> dict[str, str]:
         case when l_quantity > 25 then l_quantity else 0 end as c10_default,
         case when l_quantity >= 40 then 'high' when l_quantity >= 20 then 'mid' else 'low' end as c11_label,
         substr(l_returnflag, 1, 60) as c12_cut, abs(l_quantity - 25) as c13_abs from lineitem"""
+    out["c6_report_dates"] = (
+        "select o_orderkey, case when o_orderkey % 17 = 0 then null else cast(o_orderdate as date) end as day, "
+        "(select count(*) from orders where o_orderkey % 17 = 0) as unreadable from orders"
+    )
+    out["c12_cut_texts"] = "select doc_id, substr(text, 1, 60) as start from documents"
     out["c14_c19_calendar"] = """select d, orders, cast(year(d) as int) as year, cast(month(d) as int) as month,
         cast(week(d) as int) as week, cast(isodow(d) as int) as iso_dow, cast(isodow(d) >= 6 as int) as is_weekend,
         cast(isoyear(d) as int) as iso_year, cast(day(d) as int) as day, cast(quarter(d) as int) as quarter,
@@ -769,7 +872,7 @@ def oracle_sql() -> dict[str, str]:
         'campaign_name' as "columns", 'warn' as severity, (select count(*) from ads_by_name where campaign_name not in
         (select campaign_name from dim_campaign)) as failing_rows) q where failing_rows > 0"""
     )
-    out["t6_checks_from_schema"] = _checks([c for n in STAR_RULES for c in checks_from_schema(n)], _STAR_TABLES)
+    out["t6_checks_from_schema"] = _checks(STAR_CHECKS, _STAR_TABLES)
     out["t7_schema_drift"] = """select * from (values
         ('o_channel', 'missing', 'string', null::bigint), ('o_orderpriority', 'unexpected', 'string', null),
         ('o_custkey', 'type', 'string -> bigint', null)) v("column", problem, detail, failing_rows)
@@ -878,6 +981,18 @@ def oracle_sql() -> dict[str, str]:
         f"""select {_GRID_KEYS}, round(r2, 6) as r2 from (select *, row_number() over (partition by series order by r2 desc) as rn
         from gridmodel) q where rn = 1"""
     )
+    out["m5_fit_incomplete"] = _sql("select * exclude (r2) from oddmodel")
+    # Settings of a channel without spend all fit alike; the first combination of the grid wins.
+    out["m20_grid_search_incomplete"] = _sql(
+        f"""select {_GRID_KEYS}, r2 from (select {_GRID_KEYS}, round(r2, 6) as r2, row_number() over (partition by series
+        order by round(r2, 9) desc, {", ".join(f"decay_{c}, half_saturation_{c}" for c in _GRID)}) as rn from oddgridmodel) q where rn = 1"""
+    )
+    stats = ", ".join(
+        f"round(avg({x}), 6) as {n}_mean, round(quantile_cont({x}, 0.5), 6) as {n}_median, "
+        f"round(quantile_cont({x}, {(1 - 0.9) / 2!r}), 6) as {n}_ci_lo, round(quantile_cont({x}, {1 - (1 - 0.9) / 2!r}), 6) as {n}_ci_hi"
+        for x, n in (("roi", "roi"), ("share", "contribution_pct"))
+    )
+    out["m22_roi_intervals"] = _sql(f"select series, channel, {stats}, count(*) as replicates_used from rois group by 1, 2")
     out["m21_saturating_form"] = _sql(
         "select series, week_start, " + ", ".join(f"round(saturated_{c}, 9) as transformed_spend_{c}" for c in _STOCK) + " from features"
     )

@@ -20,7 +20,7 @@ from mixlens.plans import tables as t
 from mixlens.session import scratch_path
 from mixlens.sources import reports as rep
 from mixlens.sources import warehouse as wh
-from mixlens.streaming.daily import daily_from_events, stream_daily
+from mixlens.streaming.daily import daily_from_events, events_since, stream_daily
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -80,9 +80,19 @@ def s2_read_raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "landing")
     wh.write_report(t.raw_business(spark, sf_dir), path, "parquet")
     landed = rep.read_raw(spark, path, "business_report", "parquet")
-    return rep.stage_business(landed).select(
-        "parent_asin", "product_title", "sessions_total", "session_pct_total", "unit_session_pct"
-    )
+    return rep.stage_business(landed)
+
+
+@query
+def s1_two_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one folder with their columns in another order, and titles with a line break, staged together."""
+    path = scratch_path(spark, "exports")
+    raw = t.raw_business(spark, sf_dir)
+    odd = F.coalesce(F.substring("(Parent) ASIN", -1, 1).cast("int") % 2 == 1, F.lit(False))
+    moved = raw.where(odd).withColumn("Title", F.concat("Title", F.lit('\n"two"')))
+    for part in (raw.where(~odd), moved.select(*[f"`{c}`" for c in reversed(raw.columns)])):
+        part.write.mode("append").option("header", True).option("escape", '"').csv(path)
+    return rep.stage_business(rep.read_raw(spark, path, "business_report"))
 
 
 @query
@@ -102,8 +112,7 @@ def s3c_stage_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def s3d_stage_business(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = t.business(spark, sf_dir)
-    return staged.withColumn("ordered_product_sales", F.regexp_replace("ordered_product_sales", "[$,]", ""))
+    return t.business(spark, sf_dir)
 
 
 @query
@@ -123,6 +132,14 @@ def k2_load_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wh.table_counts(wh.read_warehouse(spark, path))
 
 
+@query
+def k2_load_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily fact of the events, loaded with a folder per day and read back."""
+    path = scratch_path(spark, "warehouse")
+    paths = wh.load_warehouse({"fact_ads_daily": daily_from_events(t.table(spark, sf_dir, "events"))}, path)
+    return _decimals_as_doubles(spark.read.parquet(paths["fact_ads_daily"]))
+
+
 @query
 def k2_q1_from_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land the reports, build the warehouse from them and ask the first question of its tables."""
@@ -164,8 +181,19 @@ def k5_refresh_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = t.table(spark, sf_dir, "events")
     early = daily_from_events(events.where(F.col("value") < 50)).drop("spend")
     wh.write_incremental_base(early, path)
-    refreshed = wh.refresh_incremental(daily_from_events(events), path, AS_OF, lookback_days=3)
-    return _decimals_as_doubles(refreshed)
+    recent = daily_from_events(events_since(events, AS_OF, 3))
+    return _decimals_as_doubles(wh.refresh_incremental(recent, path, AS_OF, lookback_days=3))
+
+
+@query
+def k5_refresh_with_new_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An early state with whole-number sales, refreshed after sales have become amounts."""
+    path = scratch_path(spark, "daily")
+    events = t.table(spark, sf_dir, "events")
+    early = daily_from_events(events.where(F.col("value") < 50)).drop("spend")
+    wh.write_incremental_base(early.withColumn("sales", F.floor("sales").cast("bigint")), path)
+    recent = daily_from_events(events_since(events, AS_OF, 3))
+    return _decimals_as_doubles(wh.refresh_incremental(recent, path, AS_OF, lookback_days=3))
 
 
 @query
@@ -250,8 +278,7 @@ def p9_anonymize_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def p10_anonymize_business(spark: SparkSession, sf_dir: str) -> DataFrame:
-    masked = anon.anonymize_business(t.raw_business(spark, sf_dir), TERMS)
-    return masked.withColumn("Ordered Product Sales", F.regexp_replace("Ordered Product Sales", "[$,]", ""))
+    return anon.anonymize_business(t.raw_business(spark, sf_dir), TERMS)
 
 
 @query
@@ -293,6 +320,27 @@ def c1_c6_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def c6_report_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order dates in the spellings of exports, some of them unreadable, read back; and how many are unreadable."""
+    spellings = (
+        "M/d/yyyy", "MM/dd/yyyy", "yyyy/MM/dd", "MMM d, yyyy", "dd-MMM-yyyy", "M/d/yyyy H:mm", "yyyyMMdd",
+        "MMMM d, yyyy", "d MMM yyyy", "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "M-d-yyyy", "M/d/yyyy h:mm:ss a",
+    )
+    turn, day = F.col("o_orderkey") % len(spellings), F.col("o_orderdate").cast("timestamp")
+    text = F.when(F.col("o_orderkey") % 17 == 0, F.lit("13/13/2025"))
+    for i, spelling in enumerate(spellings):
+        text = text.when(turn == i, F.date_format(day, spelling))
+    orders = _kept(t.table(spark, sf_dir, "orders").select("o_orderkey", text.alias("raw")), "dates")
+    lost = cleaning.unreadable_dates(orders, "raw").select("unreadable").scalar()
+    return orders.select("o_orderkey", cleaning.date_column(orders, "raw").alias("day"), lost.alias("unreadable"))
+
+
+@query
+def c12_cut_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return t.table(spark, sf_dir, "documents").select("doc_id", ratios.cut("text", 60).alias("start"))
+
+
 @query
 def c7_c13_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
     price, qty = F.col("l_extendedprice").cast("decimal(18,4)"), F.col("l_quantity")
@@ -448,8 +496,7 @@ def f5_fact_terms_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def f6_fact_business(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = facts.fact_business(t.business(spark, sf_dir))
-    return fact.withColumn("sales", F.regexp_replace("sales", "[$,]", ""))
+    return facts.fact_business(t.business(spark, sf_dir))
 
 
 def _weekly_channel(spark: SparkSession, sf_dir: str, unique_names: bool) -> DataFrame:
@@ -718,6 +765,29 @@ def m5_fit_ols(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _model(t.weekly(spark, sf_dir))
 
 
+def _odd_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weekly series with one region that never uses a channel and has a week without sales."""
+    weekly = _weekly(spark, sf_dir)
+    asia = F.col("series") == "ASIA"
+    first = weekly.where(asia).agg(F.min("week_start")).scalar()
+    return weekly.withColumns(
+        {
+            "spend_dsp": F.when(asia, 0.0).otherwise(F.col("spend_dsp")),
+            "total_sales": F.when(~(asia & (F.col("week_start") == first)), F.col("total_sales")),
+        }
+    )
+
+
+@query
+def m5_fit_incomplete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _model(_odd_weekly(spark, sf_dir))
+
+
+@query
+def m20_grid_search_incomplete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(mix_search.grid_search(_odd_weekly(spark, sf_dir)).drop("sse"), 6, "r2")
+
+
 @query
 def m6_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     weekly = _weekly(spark, sf_dir)
@@ -870,7 +940,8 @@ def m21_saturating_form(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def m22_roi_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_search.roi_intervals(_features(t.weekly(spark, sf_dir)))
+    rows = mix_search.roi_intervals(_features(_weekly(spark, sf_dir)))
+    return _rounded(rows, 6, *[c for c in rows.columns if c.startswith(("roi_", "contribution_"))])
 
 
 # ---- continuous intake -------------------------------------------------------------------------
@@ -883,3 +954,17 @@ def x1_stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = stream_daily(spark, sf_dir, f"{path}/daily", f"{path}/state", glob="events.parquet")
     stream.awaitTermination()
     return _decimals_as_doubles(spark.read.parquet(f"{path}/daily"))
+
+
+@query
+def x1_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches: a tenth of the events comes later, and what is too late by then is left out."""
+    path = scratch_path(spark, "stream")
+    events = t.table(spark, sf_dir, "events").select("ts", "event_type", "value", "event_id")
+    for late in (False, True):
+        part = events.where((F.col("event_id") % 10 == 0) == late).drop("event_id")
+        # One file per batch; the stream takes files by age.
+        part.coalesce(1).write.mode("append").parquet(f"{path}/events")
+    stream = stream_daily(spark, f"{path}/events", f"{path}/daily", f"{path}/state", files_per_batch=1)
+    stream.awaitTermination()
+    return _decimals_as_doubles(spark.read.parquet(f"{path}/daily"))

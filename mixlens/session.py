@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
+#: Names the shared folder for sessions that were started without ``spark.checkpoint.dir``.
+SCRATCH = "mixlens.scratch.dir"
+
+
 def build_session(
     app_name: str = "mixlens", master: str | None = None, conf: dict[str, str] | None = None
 ) -> SparkSession:
@@ -36,12 +39,10 @@ def build_session(
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder below the cluster's shared checkpoint directory.
 
-    Only a local session, where all tasks run on one machine, may go without
-    the setting; it gets a temporary folder.
+    Every executor has to reach it, so there is no fallback to a local folder:
+    the session names one in ``spark.checkpoint.dir``. Its owner clears it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir is not set: name a folder that every executor can reach")
-        root = tempfile.mkdtemp(prefix="mixlens-")
+        raise ValueError("spark.checkpoint.dir is not set: name a folder that every executor can reach")
     return f"{root.rstrip('/')}/mixlens-{name}-{uuid.uuid4().hex}"

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -174,8 +176,9 @@ TRUTH_SCHEMA = "param string, value double, description string"
 def read_report(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """A processed report: CSV with a header line, columns by name of ``schema``.
 
-    The columns a file really has are looked up from its header line, so column
-    order and missing optional columns do not matter.
+    The columns a file really has are looked up from its own header line, so
+    column order and missing optional columns do not matter, also among the
+    files of one folder.
     """
     wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     raw = _csv_as_strings(spark, path)
@@ -214,15 +217,44 @@ def read_source(spark: SparkSession, name: str, location: str, fmt: str = "csv")
     return read_report(spark, path, MIX_SCHEMA if name == "weekly_synthetic" else TRUTH_SCHEMA)
 
 
-def _csv_as_strings(spark: SparkSession, path: str) -> DataFrame:
-    # Without schema inference every column is a string and only the header line is looked at.
-    return (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("multiLine", False)
-        .option("escape", '"')
-        .csv(path)
-    )
+def _header_line(spark: SparkSession, file: str) -> str:
+    """The first line of a file, through the file system that Spark reads it by."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    try:
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine() or ""
+    finally:
+        stream.close()
+
+
+def _csv_as_strings(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """CSV files with every column as a string, matched by name.
+
+    Spark reads all files of a folder by the header of one of them, so files are
+    grouped by their header line and each group is read by its own. The header
+    of each file is looked at on the driver; exports have few files. Values may
+    hold line breaks, for which a file is read by one task; ``multi_line=False``
+    splits large files that have none.
+    """
+
+    def read(files: list[str]) -> DataFrame:
+        # Without schema inference every column is a string and only the header line is looked at.
+        return (
+            spark.read.option("header", True)
+            .option("inferSchema", False)
+            .option("multiLine", multi_line)
+            .option("escape", '"')
+            .csv(files)
+        )
+
+    groups: dict[str, list[str]] = {}
+    for file in spark.read.text(path).inputFiles():
+        groups.setdefault(_header_line(spark, file), []).append(unquote(file))
+    if len(groups) < 2:
+        return read([path])
+    frames = [read(sorted(files)) for _, files in sorted(groups.items())]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def _plain(header: str) -> str:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Names of the warehouse tables.
 WAREHOUSE_TABLES = (
     "dim_date",
     "dim_campaign",
@@ -87,8 +88,8 @@ def materialize(name: str, df: DataFrame, kind: str = "view") -> DataFrame:
 
 def write_incremental_base(df: DataFrame, path: str, partition: str = "date_id") -> None:
     """First build of an incrementally refreshed table: every partition is written."""
-    _by_partition(df, partition).write.mode("overwrite").partitionBy(partition).parquet(path)
-    _save_schema(df, path)
+    _save_schema(df, path, 0)
+    _by_partition(df, partition).write.mode("overwrite").partitionBy(partition).parquet(_version_path(path, 0))
 
 
 def refresh_incremental(
@@ -102,38 +103,73 @@ def refresh_incremental(
 
     Older rows of ``df`` are ignored and older days of the table stay as they
     are. The table takes on the columns of ``df``: new ones are null in old
-    days, and columns ``df`` no longer has disappear.
+    days, and columns ``df`` no longer has disappear. If a column's type changes,
+    the new days go to a folder of their own, and old days are cast when read.
 
-    A task that is run again writes the same rows into the same partitions, so
-    a lost executor or a second run changes nothing.
+    The column list is written first: a refresh that fails after that is simply
+    run again. A task that is run again writes the same rows into the same
+    partitions, so a lost executor or a second run changes nothing.
     """
+    spark = df.sparkSession
     since = F.date_sub(F.lit(as_of).cast("date"), lookback_days)
     recent = df.where(F.col(partition) >= since)
+    versions = _schemas(spark, path)
+    last = max(versions)
+    old = {f.name: f.dataType for f in versions[last].fields}
+    changed = any(f.name in old and old[f.name] != f.dataType for f in df.schema.fields)
+    version = last + 1 if changed else last
+    _save_schema(df, path, version)
     (
         _by_partition(recent, partition)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
-        .parquet(path)
+        .parquet(_version_path(path, version))
     )
-    _save_schema(df, path)
-    return read_incremental(df.sparkSession, path)
-
-
-def read_incremental(spark: SparkSession, path: str) -> DataFrame:
-    """The table with the columns of its last refresh."""
-    saved = spark.read.text(f"{path}/{SCHEMA_FOLDER}", wholetext=True).first()[0]
-    return spark.read.schema(T.StructType.fromDDL(saved)).parquet(path)
-
-
-def _save_schema(df: DataFrame, path: str) -> None:
+    return read_incremental(spark, path, partition)
+
+
+def read_incremental(spark: SparkSession, path: str, partition: str = "date_id") -> DataFrame:
+    """The table with the columns of its last refresh; a day comes from the latest folder that has it."""
+    versions = _schemas(spark, path)
+    latest = max(versions)
+    wanted = versions[latest]
+    out = later_days = None
+    for version in sorted(versions, reverse=True):
+        table = spark.read.schema(versions[version]).parquet(_version_path(path, version))
+        rows = table.select(
+            *[
+                (F.col(f"`{f.name}`") if f.name in table.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in wanted.fields
+            ]
+        )
+        if out is not None:
+            rows = rows.join(later_days, rows[partition].eqNullSafe(later_days["_day"]), "left_anti")
+        out = rows if out is None else out.unionByName(rows)
+        # Days are folder names, so this reads no data.
+        days = table.select(F.col(partition).alias("_day")).distinct()
+        later_days = days if later_days is None else later_days.union(days)
+    return out
+
+
+def _version_path(path: str, version: int) -> str:
+    return f"{path.rstrip('/')}/types={version}"
+
+
+def _schemas(spark: SparkSession, path: str) -> dict[int, T.StructType]:
+    """The column list of each folder of the table."""
+    saved = spark.read.option("basePath", f"{path}/{SCHEMA_FOLDER}").text(f"{path}/{SCHEMA_FOLDER}/types=*", wholetext=True)
+    return {int(r["types"]): T.StructType.fromDDL(r["value"]) for r in saved.collect()}
+
+
+def _save_schema(df: DataFrame, path: str, version: int) -> None:
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     (
         df.sparkSession.range(1)
         .select(F.lit(ddl).alias("value"))
         .coalesce(1)
         .write.mode("overwrite")
-        .text(f"{path}/{SCHEMA_FOLDER}")
+        .text(f"{path}/{SCHEMA_FOLDER}/types={version}")
     )
 
 

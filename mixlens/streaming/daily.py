@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -9,6 +11,18 @@ from pyspark.sql.streaming import StreamingQuery
 from mixlens.functions.cleaning import MONEY
 
 
+def events_since(events: DataFrame, as_of: str, lookback_days: int = 3) -> DataFrame:
+    """The events a refresh needs: from midnight UTC, ``lookback_days`` before ``as_of``, on.
+
+    The condition is on the raw column, so it reaches the scan and a refresh
+    does not read the whole history.
+    """
+    midnight = datetime.fromisoformat(as_of).replace(tzinfo=timezone.utc) - timedelta(days=lookback_days)
+    if dict(events.dtypes)["ts"] == "timestamp_ntz":
+        return events.where(F.col("ts") >= F.lit(midnight.replace(tzinfo=None).isoformat(" ")).cast("timestamp_ntz"))
+    return events.where(F.col("ts") >= F.lit(midnight))
+
+
 def daily_from_events(events: DataFrame, lateness: str = "3 days") -> DataFrame:
     """Impressions, clicks, orders, spend and sales per UTC day; works on batches and on streams.
 
@@ -43,13 +57,17 @@ def stream_daily(
     schema: str = "ts timestamp, event_type string, value double",
     lateness: str = "3 days",
     glob: str = "*.parquet",
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Read all waiting event files and rewrite the days they touch.
 
     Every batch carries the full totals of its changed days, and a day is one
     partition, so a batch that is run again after a failure writes the same.
     """
-    events = spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(source)
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    events = reader.parquet(source)
 
     def rewrite_days(days: DataFrame, _batch: int) -> None:
         (

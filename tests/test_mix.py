@@ -1,10 +1,12 @@
-"""Mix operators: published numbers of the weekly example, and properties."""
+"""Mix operators on an invented series, against NumPy, and properties."""
 
 from __future__ import annotations
 
 import datetime as dt
 import itertools
+import math
 import random
+from hashlib import md5
 
 import numpy as np
 import pytest
@@ -12,13 +14,48 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from mixlens.operators import mix, mix_budget, mix_model, mix_search
-from mixlens.sources import reports as rep
+
+
+TRUE = {"baseline": 8000.0, "beta_sp": 3.5, "beta_sb": 2.0, "beta_dsp": 1.2}
+SCHEMA = (
+    "series string, week_start date, year int, week int, spend_sp double, spend_sb double, spend_dsp double, "
+    "spend_total double, impressions_total long, clicks_total long, ad_sales double, ad_orders long, "
+    "total_sales double, organic_sales double"
+)
+
+
+def invented(name="national", weeks=104, seed=3):
+    """Weekly rows whose sales follow the model with the true parameters and some noise."""
+    rng = np.random.default_rng(seed)
+    start, spend = dt.date(2023, 1, 2), {}
+    days = [start + dt.timedelta(weeks=i) for i in range(weeks)]
+    week = np.array([d.isocalendar()[1] for d in days])
+    for c, level in zip(mix.CHANNELS, (2600.0, 1300.0, 800.0)):
+        spend[c] = np.round(level * (1 + 0.5 * np.sin(week / 4 + level)) * rng.uniform(0.6, 1.4, weeks), 2)
+    sales = TRUE["baseline"] + 700 * np.sin(2 * np.pi * week / 52) + rng.normal(0, 150, weeks)
+    for c in mix.CHANNELS:
+        stocked = np.array(loop_adstock(spend[c], c.decay))
+        sales = sales + TRUE[f"beta_{c.name}"] * stocked**2 / (c.half_saturation**2 + stocked**2) * spend[c]
+    out = []
+    for i, d in enumerate(days):
+        parts = [float(spend[c][i]) for c in mix.CHANNELS]
+        total, value = round(sum(parts), 2), round(float(sales[i]), 2)
+        ads = round(0.4 * value, 2)
+        out.append((name, d, d.year, int(week[i]), *parts, total, int(total * 90), int(total * 0.8), ads, int(ads / 30), value, round(value - ads, 2)))
+    return out
 
 
 @pytest.fixture(scope="module")
-def weekly(spark, example):
-    report = rep.read_report(spark, example["weekly"], rep.MIX_SCHEMA)
-    return report.withColumn("series", F.lit("national")).cache()
+def weekly(spark):
+    return spark.createDataFrame(invented(), SCHEMA).cache()
+
+
+@pytest.fixture(scope="module")
+def solved(features):
+    """The same fit by NumPy: coefficients, features and target."""
+    pdf = features.toPandas().sort_values("week_start")
+    x, y = pdf[mix_model.model_features()].to_numpy(), pdf["total_sales"].to_numpy()
+    return lstsq(x, y)[0], x, y
 
 
 @pytest.fixture(scope="module")
@@ -70,35 +107,48 @@ def test_hill(spark):
     assert got[:3] == [0.0, 0.5, 0.8] and 0.999 < got[3] <= 1
 
 
-def test_coefficients(model):
+def test_coefficients(model, solved):
     m = model.first()
-    want = [8216.954562796, 3.6159084589, 1.8137176974, 0.7434901967, 691.6264996809, -1407.6997421036]
     got = [m["intercept"], *[m[f"coef_{f}"] for f in mix_model.model_features()]]
-    assert np.allclose(got, want, rtol=1e-9) and m["status"] == "ok" and m["n"] == 104
+    assert np.allclose(got, solved[0], rtol=1e-9) and m["status"] == "ok" and m["n"] == 104
 
 
-def test_metrics(features, model):
+def test_metrics(features, model, solved):
+    beta, x, y = solved
+    error = y - beta[0] - x @ beta[1:]
     got = mix_model.fit_metrics(mix_model.predict(features, model)).first()
-    assert np.allclose([got["r2"], got["mape"]], [0.9947566742, 0.0232247636], atol=1e-9)
+    assert np.allclose([got["r2"], got["mape"]], [1 - (error**2).mean() / y.var(), np.abs(error / y).mean()], atol=1e-9)
+    assert got["r2"] > 0.98
 
 
-def test_decomposition(features, model):
+def test_decomposition(features, model, solved):
+    beta, x, y = solved
     parts = mix_model.decompose(features, model)
     check = mix_model.decomposition_residual(parts).first()
     assert check["ok"] and check["max_residual"] < 1e-6
     shares = {r["source"]: r["share"] for r in mix_model.contribution_shares(parts).collect()}
-    want = {"baseline": 0.474466698, "sp": 0.417353739, "sb": 0.077857204, "dsp": 0.030322359}
-    assert all(abs(shares[k] - v) < 1e-8 for k, v in want.items()) and abs(shares["seasonality"]) < 1e-6
+    want = {"baseline": beta[0] * len(y), **{c.name: beta[1 + i] * x[:, i].sum() for i, c in enumerate(mix.CHANNELS)}}
+    assert all(abs(shares[k] - v / y.sum()) < 1e-9 for k, v in want.items())
 
 
 def test_returns_at_the_average(weekly, model):
+    m = model.first()
     got = {r["channel"]: r["marginal_return"] for r in mix_model.marginal_return(model, weekly).collect()}
-    assert np.allclose([got["sp"], got["sb"], got["dsp"]], [3.4047993, 1.6742209, 0.7006380], atol=1e-6)
     steady = {r["channel"]: r for r in mix_model.steady_state_response(model, weekly).collect()}
-    assert abs(steady["sp"]["mean_spend"] - 2643.8957692) < 1e-6
-    assert abs(sum(r["response"] for r in steady.values()) - 9056.26724647) < 1e-4
-    x = steady["dsp"]["mean_spend"]
-    assert abs(steady["dsp"]["adstock"] - loop_adstock([x] * 10, 0.7)[-1]) < 1e-9
+    for c in mix.CHANNELS:
+        mean = weekly.agg(F.avg(c.spend)).first()[0]
+        row = steady[c.name]
+        assert abs(row["mean_spend"] - mean) < 1e-9
+        assert abs(row["adstock"] - loop_adstock([mean] * 10, c.decay)[-1]) < 1e-9
+        saturation = row["adstock"] ** 2 / (c.half_saturation**2 + row["adstock"] ** 2)
+        assert abs(row["response"] - m[c.beta] * saturation * mean) < 1e-6
+
+        def response(level, spend, c=c):
+            return m[c.beta] * level**2 / (c.half_saturation**2 + level**2) * spend
+
+        step = 0.01 * mean
+        moved = response(row["adstock"] + step, mean + step) - row["response"]
+        assert abs(got[c.name] - moved / step) < 1e-6
 
 
 def test_response_curves(weekly, model):
@@ -117,11 +167,11 @@ def test_response_curves(weekly, model):
 def test_budget(weekly, model):
     best = mix_budget.optimize_budget(model, weekly)
     got = best.first()
-    assert abs(got["budget"] - 4691.2903846) < 1e-6
-    assert [got["optimal_sp"], got["optimal_sb"], got["optimal_dsp"]] == [got["budget"], 0, 0]
-    assert abs(got["optimal_response"] - 15387.1051) < 1e-2
+    parts = [got["optimal_sp"], got["optimal_sb"], got["optimal_dsp"]]
+    assert abs(got["budget"] - weekly.agg(F.avg("spend_total")).first()[0]) < 1e-6 and abs(sum(parts) - got["budget"]) < 1e-6
     report = {r["channel"]: r for r in mix_budget.allocation_report(best, model, weekly).collect()}
-    assert abs(report["DSP"]["change_pct"] + 100) < 1e-9 and abs(report["DSP"]["uplift_pct"] - 0.699) < 1e-3
+    current = sum(r["response"] for r in mix_model.steady_state_response(model, weekly).collect())
+    assert abs(report["DSP"]["uplift"] - (got["optimal_response"] - current)) < 1e-6 and report["DSP"]["uplift"] > 0
 
 
 @pytest.mark.parametrize("bounds", [{}, {"sp": (0.1, 0.4), "dsp": (0.2, 0.6)}, {"sp": (0.9, 1.0), "sb": (0.5, 1.0)}])
@@ -158,20 +208,22 @@ def test_budget_step_must_divide_one(weekly, model):
         mix_budget.optimize_budget(model, weekly, step=0.3)
 
 
-def test_recovery(spark, model, example):
-    truth = rep.read_report(spark, example["truth"], rep.TRUTH_SCHEMA)
+def test_recovery(spark, model):
+    truth = spark.createDataFrame([(k, v, "") for k, v in TRUE.items()], "param string, value double, description string")
+    m = model.first()
     got = {r["param"]: r["relative_error"] for r in mix_model.parameter_recovery(model, truth).collect()}
-    assert abs(got["baseline"] - (8216.954562796 / 8000 - 1)) < 1e-9
-    assert abs(got["beta_sp"] - (3.6159084589 / 3.5 - 1)) < 1e-9 and len(got) == 4
+    assert abs(got["baseline"] - abs(m["intercept"] / 8000 - 1)) < 1e-9 and len(got) == 4
+    assert got["baseline"] < 0.1 and got["beta_sp"] < 0.1
 
 
 def test_kpis(weekly):
-    bare = weekly.drop("roas", "tacos", "ctr")
-    both = mix.weekly_kpis(bare).select("week_start", "roas", "tacos").join(weekly.select("week_start", F.col("roas").alias("r"), F.col("tacos").alias("t")), "week_start")
-    # The example rounded its inputs after computing the ratios, so the last digit may differ.
-    assert both.where((F.abs(F.col("roas") - F.col("r")) > 0.0011) | (F.abs(F.col("tacos") - F.col("t")) > 0.0011)).count() == 0
-    assert abs(mix.kpi_total(bare).first()["tacos"] - 0.2708863778) < 1e-9
-    cards = rows(mix.scorecard_yoy(bare).select("year", "spend_yoy", "roas_yoy"), "year")
+    both = {r["week_start"]: r for r in mix.weekly_kpis(weekly).collect()}
+    for r in weekly.collect():
+        assert abs(both[r["week_start"]]["roas"] - r["ad_sales"] / r["spend_total"]) < 1e-3
+        assert abs(both[r["week_start"]]["tacos"] - r["spend_total"] / r["total_sales"]) < 1e-3
+    spend, sales = weekly.agg(F.sum("spend_total"), F.sum("total_sales")).first()
+    assert abs(mix.kpi_total(weekly).first()["tacos"] - spend / sales) < 1e-9
+    cards = rows(mix.scorecard_yoy(weekly).select("year", "spend_yoy", "roas_yoy"), "year")
     assert cards[0][1:] == (None, None) and cards[1][0] == 2024 and cards[1][1] is not None
 
 
@@ -184,12 +236,52 @@ def test_mix_shares_add_up(spark, weekly):
     assert all(abs(r["ad_share"] + r["organic_share"] - 1) < 1e-4 for r in split)
 
 
-def test_singular_series_has_a_reason_and_no_coefficients(spark, features):
-    flat = features.withColumn("series", F.lit("flat")).withColumn("transformed_spend_sp", F.lit(5.0))
+def test_constant_and_equal_features_still_give_a_model(spark, features, solved):
+    flat = features.withColumn("series", F.lit("flat")).withColumn("transformed_spend_sp", F.lit(0.0))
     twin = features.withColumn("series", F.lit("twin")).withColumn("transformed_spend_sb", F.col("transformed_spend_sp") * 2)
-    got = {r["series"]: r for r in mix_model.fit_ols(features.unionByName(flat).unionByName(twin)).collect()}
-    assert got["flat"]["status"] == "constant feature" and got["twin"]["status"] == "collinear features"
-    assert got["flat"]["intercept"] is None and got["national"]["status"] == "ok"
+    none = features.withColumn("series", F.lit("none")).withColumn("total_sales", F.lit(None).cast("double"))
+    every = features.unionByName(flat).unionByName(twin).unionByName(none)
+    got = {r["series"]: r for r in mix_model.fit_ols(every).collect()}
+    assert {k: r["status"] for k, r in got.items()} == {
+        "national": "ok", "flat": "constant feature", "twin": "collinear features", "none": "incomplete",
+    }
+    assert got["none"]["intercept"] is None and got["none"]["n"] == 0
+    _, x, y = solved
+    rest, _ = lstsq(x[:, 1:], y)
+    names = mix_model.model_features()
+    assert got["flat"]["coef_transformed_spend_sp"] == 0
+    assert np.allclose([got["flat"]["intercept"], *[got["flat"][f"coef_{f}"] for f in names[1:]]], rest, rtol=1e-7)
+    one, _ = lstsq(np.delete(x, 1, axis=1), y)
+    both = got["twin"]["coef_transformed_spend_sp"] + 2 * got["twin"]["coef_transformed_spend_sb"]
+    assert abs(both - one[1]) < 1e-7 * abs(one[1])
+
+
+def test_rows_without_sales_or_a_feature_are_left_out(spark, features, solved):
+    hole = (F.col("week_start") == "2023-03-06") | (F.col("week_start") == "2024-01-01")
+    gaps = features.withColumn("total_sales", F.when(~hole, F.col("total_sales")))
+    gaps = gaps.withColumn("transformed_spend_sb", F.when(F.col("week_start") != "2023-05-01", F.col("transformed_spend_sb")))
+    m = mix_model.fit_ols(gaps).first()
+    left = features.where(~hole & (F.col("week_start") != "2023-05-01"))
+    want = mix_model.fit_ols(left).first()
+    assert m["n"] == want["n"] == 101
+    assert all(abs(m[c] - want[c]) < 1e-7 * abs(want[c]) for c in ("intercept", "coef_transformed_spend_sp"))
+
+
+def test_search_keeps_series_without_a_channel_and_weeks_without_sales(spark, weekly):
+    odd = weekly.withColumn("series", F.lit("odd")).withColumn("spend_dsp", F.lit(0.0))
+    odd = odd.withColumn("total_sales", F.when(F.col("week_start") != "2023-03-06", F.col("total_sales")))
+    got = {r["series"]: r for r in mix_search.grid_search(weekly.unionByName(odd)).collect()}
+    assert set(got) == {"national", "odd"} and got["odd"]["r2"] > 0.5
+    assert got["odd"]["decay_dsp"] == mix_search.DECAYS[0]
+
+
+def test_search_over_many_combinations_of_one_series(spark, weekly):
+    decays = {c.name: [0.2, 0.4, 0.6] for c in mix.CHANNELS}
+    ks = {c.name: [c.half_saturation * f for f in (0.4, 0.6, 0.8, 1.0, 1.2, 1.5, 2.0, 3.0)] for c in mix.CHANNELS}
+    every = mix_search.grid_search(weekly, decays=decays, half_saturations=ks, keep="all")
+    assert every.count() == 24**3 and 24**3 > 3 * mix_search.STACK
+    best = mix_search.grid_search(weekly, decays=decays, half_saturations=ks).first()
+    assert best["sse"] == every.agg(F.min("sse")).first()[0]
 
 
 def many_series(spark, weekly, n=5):
@@ -245,22 +337,29 @@ def test_grid_contains_the_default_model(weekly, features, model):
     assert best["r2"] >= default - 1e-9
 
 
-def test_poisson_weights(spark):
-    w = spark.range(200_000).select(mix_search.poisson_weight(mix_search.uniform_hash(F.lit("s"), F.col("id"))).alias("w"))
-    mean, var, zero = w.select(F.avg("w"), F.var_pop("w"), F.avg((F.col("w") == 0).cast("int"))).first()
-    assert abs(mean - 1) < 0.01 and abs(var - 1) < 0.02 and abs(zero - np.exp(-1)) < 0.01
+def test_poisson_steps():
+    steps = mix_search.poisson_steps()
+    draws = np.searchsorted(steps, np.random.default_rng(1).random(200_000), side="right")
+    assert abs(draws.mean() - 1) < 0.01 and abs(draws.var() - 1) < 0.02 and abs((draws == 0).mean() - np.exp(-1)) < 0.01
+    assert len(steps) > 15 and 1 - steps[-1] < 1e-13
 
 
 def test_intervals_equal_weighted_fits(spark, weekly, features):
     n = 40
     got = {r["channel"]: r for r in mix_search.roi_intervals(features, replicates=n).collect()}
-    weights = features.select(
-        "week_start",
-        F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda r: mix_search.poisson_weight(mix_search.uniform_hash(F.lit("national"), F.col("week_start").cast("string"), r))).alias("w"),
-    )
-    pdf = features.join(weights, "week_start").toPandas().sort_values("week_start")
+    pdf = features.toPandas().sort_values("week_start")
     x, y = pdf[mix_model.model_features()].to_numpy(), pdf["total_sales"].to_numpy()
-    w = np.stack(pdf["w"].to_numpy()).astype(float)
+
+    def draw(*keys):
+        u, k, passed = int(md5("|".join(map(str, keys)).encode()).hexdigest()[:13], 16) / 16**13, 0, math.exp(-1)
+        p = passed
+        while u >= p:
+            k += 1
+            passed /= k
+            p += passed
+        return k
+
+    w = np.array([[draw("national", d, r) for r in range(n)] for d in pdf["week_start"]], float)
     roi = []
     for r in range(n):
         root = np.sqrt(w[:, r])

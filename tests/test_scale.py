@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from mixlens.operators import dimensions as dims
 from mixlens.operators import facts
 from mixlens.operators import performance as perf
-from mixlens.operators.joins import content_bytes, join_dimension
+from mixlens.operators.joins import join_dimension
 from mixlens.plans.queries import QUERIES
 
 
@@ -92,9 +92,9 @@ SMALL_SKEW = {
 def test_hot_campaign_is_split_beyond_the_broadcast_limit(spark):
     ads, bulk = hot_ads(spark), hot_bulk(spark)
     small_lookup = facts.fact_ads_by_id(ads, bulk)
-    assert "BroadcastHashJoin" in plan(small_lookup)
+    assert "BroadcastHashJoin" in plan(small_lookup, final=True)
     with settings(spark, **SMALL_SKEW):
-        shuffled = facts.fact_ads_by_id(ads, bulk, broadcast_bytes=0)
+        shuffled = facts.fact_ads_by_id(ads, bulk)
         assert "skew=true" in plan(shuffled, final=True)
         assert sorted(map(str, shuffled.collect())) == sorted(map(str, small_lookup.collect()))
 
@@ -116,18 +116,21 @@ def test_hot_campaign_with_many_terms_is_split(spark):
     )
     want = sorted(map(str, perf.harvestable_terms(terms, campaigns, max_acos=2).collect()))
     with settings(spark, **SMALL_SKEW):
-        split = perf.harvestable_terms(terms, campaigns, max_acos=2, broadcast_bytes=0)
+        split = perf.harvestable_terms(terms, campaigns, max_acos=2)
         assert "skew=true" in plan(split, final=True)
         assert sorted(map(str, split.collect())) == want and len(want) == 51 * 5
 
 
-def test_broadcast_is_measured(spark):
-    rows = spark.range(100).select((F.col("id") % 5).alias("k"))
-    dimension = spark.range(5).select(F.col("id").alias("k"), F.lit("x").alias("v"))
-    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
-        assert content_bytes(dimension) == 5 * (2 * 16 + 1) and content_bytes(dimension.where("k < 0")) == 0
-        assert "BroadcastHashJoin" in plan(join_dimension(rows, dimension, "k", broadcast_bytes=165))
-        assert "BroadcastHashJoin" not in plan(join_dimension(rows, dimension, "k", broadcast_bytes=164))
+def test_small_dimensions_are_broadcast_and_no_job_runs_for_it(spark, tmp_path):
+    path = str(tmp_path / "dimension")
+    spark.range(5).select(F.col("id").alias("k"), F.lit("x").alias("v")).write.parquet(path)
+    rows, dimension = spark.range(100).select((F.col("id") % 5).alias("k")), spark.read.parquet(path)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "")
+    joined = join_dimension(rows, dimension, "k")
+    assert "BroadcastHashJoin" in plan(joined) and not tracker.getJobIdsForGroup("planning")
+    spark.sparkContext.setJobGroup("other", "")
+    assert joined.count() == 100
 
 
 def below_exchange(text, node):
