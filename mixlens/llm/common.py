@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,9 +49,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of finished steps now; it does so when its driver collects garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Lets Spark delete the shuffle files of finished steps now; it does so when its driver collects garbage.
+
+    The first round frees what Python still held of them on the driver, the
+    second one finds it gone.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def kept_whole(docs: DataFrame, *columns: str) -> DataFrame:

@@ -10,7 +10,7 @@ around the diagonal. Everything here is Spark's own functions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mixlens.llm.common import release, text_of, written
@@ -37,24 +37,28 @@ def probes(edits: int) -> list[tuple[int, int, int]]:
     return found
 
 
-def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
-    """Start (from 1) and length of segment i of a line: all parts nearly equal, the last ones longer by one."""
-    base, more = F.floor(length / parts).cast("int"), F.pmod(length, F.lit(parts)).cast("int")
-    longer_before = F.greatest(F.lit(0), F.lit(i) - (parts - more))
-    own = base + F.when(F.lit(i) >= parts - more, 1).otherwise(0)
-    return base * i + longer_before + 1, own
+def keys(lines: DataFrame, edits: int) -> DataFrame:
+    """node, bucket and own (1: the line is indexed by the key, 0: it looks it up) for all keys of all lines.
 
-
-def keys(edits: int) -> Column:
-    """All keys of a row with ``line`` and ``len``; the last bit tells whether the line is indexed by the key."""
-    parts, out = edits + 1, []
-    for longer, i, shift in probes(edits):
-        length = F.col("len") - longer
-        start, size = _segment(length, i, parts)
-        key = F.xxhash64(F.lit(i), length, F.substring(F.col("line"), start + shift, size))
-        own = longer == 0 and shift == 0
-        out.append(key.bitwiseOR(F.lit(1)) if own else key.bitwiseAND(F.lit(-2)))
-    return F.array(*out)
+    A line of length l is cut into ``edits`` + 1 segments of nearly equal length,
+    the last ones longer by one. With four bytes a code point, a place in a line
+    is found without reading what stands before. The list of probes is unrolled
+    as rows, which keeps the code that Spark generates small.
+    """
+    parts = edits + 1
+    listed = F.array(*[F.struct(F.lit(d).alias("d"), F.lit(i).alias("i"), F.lit(s).alias("s")) for d, i, s in probes(edits)])
+    wide = lines.select("node", "len", F.encode("line", "UTF-32").alias("wide"))
+    rows = wide.select("node", "len", "wide", F.explode(listed).alias("p"))
+    rows = rows.select("node", "wide", "p.i", "p.d", "p.s", (F.col("len") - F.col("p.d")).alias("l"))
+    rows = rows.withColumns({"base": F.expr(f"int(l div {parts})"), "plain": F.expr(f"{parts} - l % {parts}")})
+    start = F.col("base") * F.col("i") + F.greatest(F.lit(0), F.col("i") - F.col("plain")) + F.col("s")
+    size = F.col("base") + F.when(F.col("i") >= F.col("plain"), 1).otherwise(0)
+    rows = rows.select("node", "i", "l", "d", "s", F.substring("wide", start * 4 + 1, size * 4).alias("part"))
+    return rows.select(
+        "node",
+        F.xxhash64("i", "l", "part").alias("bucket"),
+        F.when((F.col("d") == 0) & (F.col("s") == 0), 1).otherwise(0).alias("own"),
+    )
 
 
 def distinct_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
@@ -69,10 +73,10 @@ def distinct_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame
 
 def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     """Links (a, b) between lines within ``edits``, enough to connect all that are connected."""
-    rows = lines.select("node", F.explode(keys(edits)).alias("key"))
-    marked = rows.select("node", F.col("key").bitwiseAND(F.lit(-2)).alias("bucket"), F.col("key").bitwiseAND(F.lit(1)).alias("own"))
+    marked = keys(lines, edits)
     groups = marked.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.max("own").alias("own"))
     shared = written(groups.where("low < high and own = 1").select("bucket"), "line-keys")
+    release(lines.sparkSession)
     members = written(marked.select("bucket", "node").join(shared, "bucket").distinct(), "line-buckets")
     wanted = written(members.select("node").distinct(), "line-nodes")
     wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST else wanted
