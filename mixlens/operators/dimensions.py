@@ -123,6 +123,15 @@ def dim_product_outer(ads: DataFrame, business: DataFrame) -> DataFrame:
     return skus.join(titles, "asin", "full_outer").select("asin", "sku", "title")
 
 
+def product_titles(business: DataFrame) -> DataFrame:
+    """The title side of the product dimension: asin, title of the products in the business report."""
+    return (
+        business.where(F.col("parent_asin").isNotNull())
+        .groupBy(F.col("parent_asin").alias("asin"))
+        .agg(F.min("product_title").alias("title"))
+    )
+
+
 def dim_product_dedup(bulk: DataFrame) -> DataFrame:
     """Products by sku from the bulk file; a row with a product id wins over one without."""
     rows = bulk.where(F.col("sku").isNotNull()).select("sku", "asin")

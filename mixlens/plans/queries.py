@@ -572,8 +572,11 @@ def _q3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _q4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    products = dims.dim_product_outer(t.ads(spark, sf_dir), t.business(spark, sf_dir))
-    return perf.ads_vs_organic(_fact_ads(spark, sf_dir), _fact_business(spark, sf_dir), products)
+    # Of the product dimension only titles are asked for, and those come from the business report.
+    business = _kept(t.business(spark, sf_dir), "business")
+    return perf.ads_vs_organic(
+        _fact_ads(spark, sf_dir), facts.fact_business_snapshot(business), dims.product_titles(business)
+    )
 
 
 def _q5(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -656,10 +659,11 @@ def n7_mmm_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def t1_t4_mart_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All declared checks of the name-keyed marts, and the ads fact's real grain."""
-    ads = t.ads(spark, sf_dir)
+    ads_daily = _kept(facts.fact_ads_by_name(t.ads(spark, sf_dir)), "fact_ads_daily")
     marts = star.marts_by_name(
-        t.bulk(spark, sf_dir), ads, t.terms(spark, sf_dir), t.business(spark, sf_dir),
-        dims.dim_date_observed((ads, "start_date")), table=lambda name, df: _kept(df, name),
+        t.bulk(spark, sf_dir), t.ads(spark, sf_dir), t.terms(spark, sf_dir), t.business(spark, sf_dir),
+        dims.dim_date_observed((ads_daily, "date_id")),
+        table=lambda name, df: ads_daily if name == "fact_ads_daily" else _kept(df, name),
     )
     return quality.run_checks(marts, [*quality.MART_CHECKS, quality.ADS_GRAIN_CHECK])
 

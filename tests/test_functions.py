@@ -133,3 +133,18 @@ def test_ids_and_urls(spark):
     assert apply(spark, [url, " \t", "", None], text.hash_url("x")) == [
         "https://hashed-url.example/" + sha(url, 12), " \t", "", None,
     ]
+
+
+def test_dates_of_exports(spark):
+    day = dt.date(2025, 3, 1)
+    same = [
+        "2025-03-01", "3/1/2025", "03/01/2025", "2025/03/01", "Mar 1, 2025", "Mar 01, 2025", "01-Mar-25", "1-Mar-2025",
+        "3/1/2025 0:00", "3/1/2025 12:30:00 PM", "2025-03-01 10:00:00", "2025-03-01T10:00:00Z", "20250301", "3/1/25",
+        "March 1, 2025", "1 Mar 2025", " 3/1/2025 ", "3-1-2025",
+    ]
+    bad = ["13/13/2025", "soon", "", None, "2025-02-30", "3/1"]
+    df = column(spark, same + bad).withColumnRenamed("x", "start_date").orderBy("i")
+    got = [r[0] for r in df.select(cleaning.date_column(df, "start_date")).collect()]
+    assert got == [day] * len(same) + [None] * len(bad)
+    # Empty cells are missing, not unreadable.
+    assert [tuple(r) for r in cleaning.unreadable_dates(df, "start_date").collect()] == [("start_date", 4)]

@@ -172,6 +172,19 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     assert "unused" not in schema and "clicks" not in schema and "spend" in schema
 
 
+def test_a_refresh_reads_recent_events_only(spark, small):
+    from mixlens.plans.tables import table
+    from mixlens.streaming.daily import daily_from_events, events_since
+
+    text = plan(daily_from_events(events_since(table(spark, small, "events"), "2024-01-28", 3)))
+    assert re.search(r"PushedFilters: \[[^]]*GreaterThanOrEqual\(ts,2024-01-25", text)
+
+
+def test_each_report_is_scanned_once(spark, small):
+    assert plan(QUERIES["q4_ads_vs_organic"](spark, small)).count("lineitem.parquet") <= 2
+    assert plan(QUERIES["t1_t4_mart_checks"](spark, small)).count("lineitem.parquet") == 0
+
+
 def test_executors_do_not_need_the_package(small, tmp_path):
     """A driver that only extends its own path, in another folder: workers cannot import the package."""
     import os

@@ -127,3 +127,52 @@ def test_scratch_is_below_the_configured_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a.startswith(root) and a != b
+
+
+def two_exports(spark, path, headers, first, second, swapped):
+    """Two files of one folder; the second has two columns the other way round."""
+    order = list(headers)
+    i, j = order.index(swapped[0]), order.index(swapped[1])
+    order[i], order[j] = order[j], order[i]
+    schema = ", ".join(f"`{h}` string" for h in headers)
+    for rows_, columns in ((first, headers), (second, order)):
+        df = spark.createDataFrame(rows_, schema).select(*[f"`{c}`" for c in columns])
+        df.coalesce(1).write.mode("append").option("header", True).option("escape", '"').csv(path)
+
+
+def test_files_of_a_folder_are_read_by_their_own_headers(spark, tmp_path):
+    path, headers = str(tmp_path / "in put"), list(rep.BUSINESS.columns)
+    first = [tuple(f"a{i}" for i in range(len(headers)))]
+    second = [tuple([f"b{i}" if headers[i] != "Title" else 'two "lines"\nof, text' for i in range(len(headers))])]
+    two_exports(spark, path, headers, first, second, ("(Parent) ASIN", "Title"))
+    assert sorted(rows(rep.stage_business(rep.read_raw(spark, path, "business_report")))) == sorted(first + second)
+    assert sorted(rows(rep.read_report(spark, path, rep.BUSINESS.schema))) == sorted(first + second)
+
+
+def test_no_raw_id_survives_another_column_order(spark, tmp_path):
+    from mixlens.operators.anonymize import anonymize_bulk
+
+    path, headers = str(tmp_path / "bulk"), [*rep.BULK.columns, "Title"]
+
+    def row(sku):
+        return tuple(sku if h == "SKU" else "a name" if h == "Title" else None for h in headers)
+
+    two_exports(spark, path, headers, [row("SECRET-1")], [row("SECRET-2")], ("SKU", "Title"))
+    masked = anonymize_bulk(rep.read_raw(spark, path, "bulk_campaigns"), [])
+    out = str(tmp_path / "out")
+    wh.write_report(masked, out)
+    text = "\n".join(r[0] for r in spark.read.text(out).collect())
+    assert "SECRET" not in text and text.count("a name") == 2 and text.count("SKU_") == 2
+
+
+def test_refresh_with_another_type(spark, tmp_path):
+    path = str(tmp_path / "daily")
+    old = spark.createDataFrame([("2025-01-01", 5, "x"), ("2025-01-09", 7, "y")], "day string, sales long, gone string")
+    new = spark.createDataFrame([("2025-01-09", 7.5, 1), ("2025-01-01", 9.5, 1)], "day string, sales double, more int")
+    dated = [df.withColumn("date_id", F.col("day").cast("date")).drop("day") for df in (old, new)]
+    wh.write_incremental_base(dated[0], path)
+    got = wh.refresh_incremental(dated[1], path, "2025-01-10")
+    want = [(dt.date(2025, 1, 1), 5.0, None), (dt.date(2025, 1, 9), 7.5, 1)]
+    assert rows(got.select("date_id", "sales", "more"), "date_id") == want
+    again = wh.refresh_incremental(dated[1], path, "2025-01-10")
+    assert rows(again.select("date_id", "sales", "more"), "date_id") == want
