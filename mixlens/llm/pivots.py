@@ -66,8 +66,8 @@ def pivot_links(
             gone = chosen.select("bucket", F.col("pivot").alias("node"))
             members = members.join(gone, ["bucket", "node"], "left_anti")
         known = far if known is None else known.unionByName(far)
-        links = known.where(F.col("far") <= reach).select("a", "b")
-        groups = components(links)
+        if not far.where(F.col("far") <= reach).isEmpty():
+            groups = components(known.where(F.col("far") <= reach).select("a", "b"))
         rest = members.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
         mixed = rest.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
         members = members.join(mixed.where("low < high").select("bucket"), "bucket")
