@@ -370,7 +370,7 @@ CTES: dict[str, str] = {
         count(*) filter (where event_type = 'click') as clicks, count(*) filter (where event_type = 'purchase') as orders,
         cast(sum(case when event_type = 'click' then cast(value as decimal(18,4)) else 0 end) as double) as spend,
         cast(sum(case when event_type = 'purchase' then cast(value as decimal(18,4)) else 0 end) as double) as sales
-        from events where event_id % 10 <> 0 or cast(ts as date) + interval 1 day > (select max(ts) from events where event_id % 10 <> 0)
+        from events where event_id % 20 <> 10 or cast(ts as date) + interval 1 day > (select max(ts) from events where event_id % 10 <> 0)
         - interval 3 day group by 1""",
     "daily_early": """select cast(ts as date) as date_id, count(*) filter (where event_type = 'view') as impressions,
         count(*) filter (where event_type = 'click') as clicks, count(*) filter (where event_type = 'purchase') as orders,

@@ -962,11 +962,12 @@ def x1_stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def x1_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two batches: a tenth of the events comes later, and what is too late by then is left out."""
+    """Three batches of 90, 5 and 5 % of the events. The third meets the limit that the first has set: what is too late is left out."""
     path = scratch_path(spark, "stream")
     events = t.table(spark, sf_dir, "events").select("ts", "event_type", "value", "event_id")
-    for late in (False, True):
-        part = events.where((F.col("event_id") % 10 == 0) == late).drop("event_id")
+    batch = F.when(F.col("event_id") % 10 != 0, 1).when(F.col("event_id") % 20 == 0, 2).otherwise(3)
+    for number in (1, 2, 3):
+        part = events.where(batch == number).drop("event_id")
         # One file per batch; the stream takes files by age.
         part.coalesce(1).write.mode("append").parquet(f"{path}/events")
     stream = stream_daily(spark, f"{path}/events", f"{path}/daily", f"{path}/state", files_per_batch=1)
