@@ -38,8 +38,8 @@ WIDTH, LEAST = 5, 0.8
 BANDS, ROWS = 20, 4
 #: Document frequencies are counted in so many buckets of shingle hashes (bits), and tell from this share on.
 BUCKET_BITS, COMMON = 18, 0.01
-#: Documents with fewer common shingles than this are compared by weight, documents with more than that in full.
-BY_WEIGHT_BELOW, IN_FULL_FROM = 0.9, 0.8
+#: All documents are compared by weight, documents with at least such a share of common shingles in full as well.
+IN_FULL_FROM = 0.8
 #: Random triples of the sampling scheme per draw (bits), and steps of weights per doubling.
 POOL_BITS, STEPS = 15, 4
 
@@ -194,7 +194,7 @@ def _signing(idf: bytes) -> Callable:
                 columns = [part.column(0)]
                 digest = [hashlib.md5(data[a:b].tobytes()).digest() for a, b in zip(offsets[:-1], offsets[1:])]
                 columns.append(pa.array(digest, pa.binary()))
-                for weights, has in ((inverse, share < BY_WEIGHT_BELOW), (full, share >= IN_FULL_FROM)):
+                for weights, has in ((inverse, share >= 0), (full, share >= IN_FULL_FROM)):
                     has = has & (count > 0)
                     chosen = np.repeat(has, count)
                     begins = np.concatenate([[0], np.cumsum(count[has])])
