@@ -12,8 +12,8 @@ distance (1 - similarity) is a metric that rules out most other pairs.
 Shingles of more than a hundredth of all documents count less, so that passages
 that very many documents share don't make those alike. In a group of near copies
 of that size the copies' own words would count less than what tells them apart;
-so documents that consist of such shingles for the most part are sampled and
-compared once more, with all shingles counting in full.
+so all documents are sampled and compared once more, with all shingles counting
+in full. Either similarity makes a link.
 """
 
 from __future__ import annotations
@@ -38,8 +38,6 @@ WIDTH, LEAST = 5, 0.8
 BANDS, ROWS = 20, 4
 #: Document frequencies are counted in so many buckets of shingle hashes (bits), and tell from this share on.
 BUCKET_BITS, COMMON = 18, 0.01
-#: All documents are compared by weight, documents with at least such a share of common shingles in full as well.
-IN_FULL_FROM = 0.8
 #: Random triples of the sampling scheme per draw (bits), and steps of weights per doubling.
 POOL_BITS, STEPS = 15, 4
 
@@ -139,7 +137,7 @@ def sampled(pool, index, steps):
 
 
 def _signing(idf: bytes) -> Callable:
-    """doc_id, text key and band hashes of each row: by weight, and in full for documents of common shingles."""
+    """doc_id, text key and band hashes of each row: by weight, and in full."""
 
     def run(batches: Iterator) -> Iterator:
         import hashlib
@@ -188,14 +186,10 @@ def _signing(idf: bytes) -> Callable:
                 data, offsets = text_bytes(part.column(1))
                 shingles, times, ends = shingle_sets(data, offsets)
                 count = np.diff(ends)
-                rarity = inverse[(shingles >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
-                common = np.concatenate([[0], np.cumsum(rarity < 0)])
-                share = (common[ends[1:]] - common[ends[:-1]]) / np.maximum(count, 1)
                 columns = [part.column(0)]
                 digest = [hashlib.md5(data[a:b].tobytes()).digest() for a, b in zip(offsets[:-1], offsets[1:])]
                 columns.append(pa.array(digest, pa.binary()))
-                for weights, has in ((inverse, share >= 0), (full, share >= IN_FULL_FROM)):
-                    has = has & (count > 0)
+                for weights, has in ((inverse, count > 0), (full, count > 0)):
                     chosen = np.repeat(has, count)
                     begins = np.concatenate([[0], np.cumsum(count[has])])
                     own = shingles[chosen]

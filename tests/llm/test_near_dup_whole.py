@@ -58,3 +58,24 @@ def test_templated_pages_are_searched_by_weight(documents):
     got = classes(documents, docs)
     assert got[299] == 298 and len(set(got.values())) == 299
     assert got == brute(docs)
+
+
+def test_near_copies_with_a_shared_passage_are_searched_in_full(documents):
+    """Pairs that hold a passage of a third of all rows as 20 to 79 % of their shingles, with words of it changed."""
+    rng = random.Random(11)
+    passage, texts, pairs = named("p", 154), [], {}
+    for share in (0.2, 0.35, 0.5, 0.65, 0.75, 0.79):
+        for changes in (1, 3, 5, 8):
+            own = named(f"s{share}c{changes}w", round(150 / share) - 150)
+            other = list(passage)
+            for at in rng.sample(range(5, 149), changes):
+                other[at] = f"x{share}c{changes}a{at}"
+            pairs[share, changes] = len(texts)
+            texts += [passage + own, other + own]
+    texts += [passage + named(f"o{i}w", 200) for i in range(52)]
+    texts += [named(f"r{i}w", 90) for i in range(200)]
+    docs = [(i, " ".join(w)) for i, w in enumerate(texts)]
+    got = classes(documents, docs)
+    at = pairs[0.75, 3]
+    assert got[at + 1] == got[at] == at
+    assert got == brute(docs)
