@@ -36,14 +36,18 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WIDTH, LEAST = 5, 0.8
 #: Bands and draws in each. At similarity 0.8 a pair shares no band with probability 3e-5.
 BANDS, ROWS = 20, 4
-#: Document frequencies are counted in so many buckets of shingle hashes (bits), and tell from this share on.
-BUCKET_BITS, COMMON = 18, 0.01
+#: Document frequencies tell from this share of all documents on.
+COMMON = 0.01
+#: Counters that pick the shingles worth counting: so many a shingle that may be common, and bits of their number.
+SPARE, LEAST_BITS, MOST_BITS = 8, 12, 22
+#: Counters a row when tasks are summed, and exact counts a task holds before it gives them away.
+CHUNK, HELD = 1 << 11, 1 << 20
 #: Random triples of the sampling scheme per draw (bits), and steps of weights per doubling.
 POOL_BITS, STEPS = 15, 4
 
 
-def shingle_sets(data, offsets, width: int = WIDTH):
-    """(shingles, occurrences, offsets): the distinct shingles of each text, sorted by hash within the text.
+def shingles_of(data, offsets, width: int = WIDTH):
+    """(shingle, number of its text) of all windows of the texts, repeated ones too, in no order.
 
     A text of fewer words has one shingle, all its words; a text without words has none.
     """
@@ -57,62 +61,154 @@ def shingle_sets(data, offsets, width: int = WIDTH):
     if len(short):
         own = [np.add.reduce(words[bounds[i] : bounds[i + 1]] * keys(count[i], 211)) for i in short]
         windows, text = np.append(windows, mixed(np.array(own, np.uint64))), np.append(text, short)
+    return windows, text
+
+
+def distinct_shingles(windows, text):
+    """(shingles, texts, occurrences): each text's shingles once, sorted by text and hash."""
+    import numpy as np
+
     order = np.lexsort((windows, text))
     windows, text = windows[order], text[order]
     new = np.ones(len(windows), bool)
     new[1:] = (windows[1:] != windows[:-1]) | (text[1:] != text[:-1])
     at = np.flatnonzero(new)
-    times = np.diff(np.append(at, len(windows)))
-    return windows[at], times, np.searchsorted(text[at], np.arange(len(count) + 1))
+    return windows[at], text[at], np.diff(np.append(at, len(windows)))
 
 
-def steps_of(shingles, times, idf):
-    """Weights as whole steps: occurrences times the inverse frequency of the shingle's bucket, rounded to a grid."""
+def shingle_sets(data, offsets, width: int = WIDTH):
+    """(shingles, occurrences, offsets): the distinct shingles of each text, sorted by hash within the text."""
     import numpy as np
 
-    weight = np.log2(times) + idf[(shingles >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
-    return np.rint(weight * STEPS).astype(np.int64)
+    shingles, text, times = distinct_shingles(*shingles_of(data, offsets, width))
+    return shingles, times, np.searchsorted(text, np.arange(len(offsets)))
+
+
+def rarities(shingles, idf: bytes):
+    """Base-2 logarithm of each shingle's weight: what ``inverse_frequencies`` gave for it, and 0 for all others."""
+    import numpy as np
+
+    n = len(idf) // 12
+    common, weight = np.frombuffer(idf, np.uint64, n), np.frombuffer(idf, np.float32, n, 8 * n)
+    found = np.zeros(len(shingles), np.float32)
+    if n:
+        at = np.minimum(np.searchsorted(common, shingles), n - 1)
+        hit = common[at] == shingles
+        found[hit] = weight[at[hit]]
+    return found
+
+
+def steps_of(times, rarity):
+    """Weights as whole steps: occurrences times the inverse frequency, rounded to a grid."""
+    import numpy as np
 
+    return np.rint((np.log2(times) + rarity) * STEPS).astype(np.int64)
 
-def _counting() -> Callable:
-    """How many texts of the task hold a shingle of each bucket."""
+
+def _places(shingles, bits: int):
+    """Each shingle's counter in two rows of 2 ** bits counters, one after the other."""
+    import numpy as np
+
+    high = (shingles >> np.uint64(64 - bits)).astype(np.int64)
+    return high, (shingles & np.uint64((1 << bits) - 1)).astype(np.int64) + (1 << bits)
+
+
+def _bounding(bits: int) -> Callable:
+    """Counters of the task's shingles, repeated ones too: no shingle is in more texts than its counters say."""
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        total = np.zeros(1 << BUCKET_BITS, np.int64)
+        total = np.zeros(2 << bits, np.int64)
         for batch in batches:
             for part in slices(batch, 0):
-                shingles, _, _ = shingle_sets(*text_bytes(part.column(0)))
-                total += np.bincount((shingles >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=len(total))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["bucket", "df"])
+                for place in _places(shingles_of(*text_bytes(part.column(0)))[0], bits):
+                    total += np.bincount(place, minlength=len(total))
+        rows = np.minimum(total, (1 << 31) - 1).astype(np.int32).reshape(-1, CHUNK)
+        some = np.flatnonzero(rows.any(axis=1))
+        counters = pa.array([rows[i].tobytes() for i in some], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), counters], names=["chunk", "counters"])
+
+    return run
+
+
+def _summing(above: float) -> Callable:
+    """Which counters of a chunk are above the limit in all, as bits."""
+
+    def run(rows):
+        import numpy as np
+        import pyarrow as pa
+
+        total = np.zeros(CHUNK, np.int64)
+        for x in rows.column("counters"):
+            total += np.frombuffer(x.as_buffer(), np.int32)
+        bits = np.packbits(total > above).tobytes()
+        return pa.table({"chunk": rows.column("chunk")[:1], "above": pa.array([bits], pa.binary())})
+
+    return run
+
+
+def _counting(above: bytes, bits: int) -> Callable:
+    """How many texts of the task hold each shingle whose counters are above the limit."""
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        may = np.unpackbits(np.frombuffer(above, np.uint8)).astype(bool)
+        held, times = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        for batch in batches:
+            for part in slices(batch, 0):
+                windows, text = shingles_of(*text_bytes(part.column(0)))
+                high, low = _places(windows, bits)
+                wanted = may[high] & may[low]
+                new, _, _ = distinct_shingles(windows[wanted], text[wanted])
+                both, at = np.unique(np.append(held, new), return_inverse=True)
+                times = np.bincount(at, np.append(times, np.ones(len(new))), len(both)).astype(np.int64)
+                held = both
+                if len(held) > HELD:
+                    yield pa.RecordBatch.from_arrays([pa.array(held.view(np.int64)), pa.array(times)], names=["shingle", "df"])
+                    held, times = held[:0], times[:0]
+        yield pa.RecordBatch.from_arrays([pa.array(held.view(np.int64)), pa.array(times)], names=["shingle", "df"])
 
     return run
 
 
 def inverse_frequencies(docs: DataFrame) -> bytes:
-    """Base-2 logarithm of the weight of each shingle bucket, as 32-bit floats, for its document frequency.
-
-    Frequencies are counted over all rows, copies included. Up to ``COMMON`` of
-    all documents a shingle counts in full, from there the weight falls with the
-    square of the inverse frequency's logarithm, to a fiftieth for a shingle of
-    all documents. Only buckets above that share come to the driver; there are
-    fewer than shingles in an average document divided by the share, and
-    2 ** BUCKET_BITS at most.
+    """Common shingles, sorted, and the base-2 logarithms of their weights as 32-bit floats.
+
+    Frequencies are counted over all rows, copies included, each text once. Up to
+    ``COMMON`` of all documents a shingle counts in full, from there the weight
+    falls with the square of the inverse frequency's logarithm, to a fiftieth for
+    a shingle of all documents. The counts are exact: a first reading only bounds
+    them by two rows of counters, as many as documents are long, and a second one
+    counts the shingles whose bounds are above the share. Only common shingles
+    come to the driver; there are fewer than shingles in an average document
+    divided by the share.
     """
     import numpy as np
 
-    n = docs.count()
-    counts = docs.select(text_of().alias("text")).mapInArrow(_counting(), "bucket long, df long")
-    sums = counts.groupBy("bucket").agg(F.sum("df").alias("df"))
-    common = sums.where(F.col("df") > max(1.0, COMMON * n)).collect()
-    idf = np.zeros(1 << BUCKET_BITS, np.float32)
-    for r in common:
-        rare = math.log(min(1.0, r["df"] / n)) / math.log(COMMON)
-        idf[r["bucket"]] = math.log2(0.02 + 0.98 * max(0.0, min(1.0, rare)) ** 2)
-    return idf.tobytes()
+    n, size = docs.agg(F.count("*"), F.sum(F.octet_length(text_of()))).first()
+    if not n:
+        return b""
+    limit = max(1.0, COMMON * n)
+    # A word and the space behind it have some five bytes or more.
+    bits = math.ceil(math.log2(max(1.0, SPARE * size / 5 / n / COMMON)))
+    bits = min(MOST_BITS, max(LEAST_BITS, bits))
+    texts = docs.select(text_of().alias("text"))
+    counters = texts.mapInArrow(_bounding(bits), "chunk long, counters binary")
+    above = bytearray((2 << bits) // 8)
+    for r in counters.groupBy("chunk").applyInArrow(_summing(limit), "chunk long, above binary").collect():
+        above[r["chunk"] * CHUNK // 8 : (r["chunk"] + 1) * CHUNK // 8] = r["above"]
+    counts = texts.mapInArrow(_counting(bytes(above), bits), "shingle long, df long")
+    sums = counts.groupBy("shingle").agg(F.sum("df").alias("df"))
+    rows = sums.where(F.col("df") > limit).collect()
+    common = np.array([r["shingle"] for r in rows], np.int64).view(np.uint64)
+    rare = [math.log(min(1.0, r["df"] / n)) / math.log(COMMON) for r in rows]
+    weight = [math.log2(0.02 + 0.98 * max(0.0, min(1.0, x)) ** 2) for x in rare]
+    order = np.argsort(common)
+    return common[order].tobytes() + np.array(weight, np.float32)[order].tobytes()
 
 
 def _pool(draw: int):
@@ -137,7 +233,7 @@ def sampled(pool, index, steps):
 
 
 def _signing(idf: bytes) -> Callable:
-    """doc_id, text key and band hashes of each row: by weight, and in full."""
+    """doc_id, text key and band hashes of each row: by weight, and in full where that differs."""
 
     def run(batches: Iterator) -> Iterator:
         import hashlib
@@ -145,8 +241,6 @@ def _signing(idf: bytes) -> Callable:
         import numpy as np
         import pyarrow as pa
 
-        inverse = np.frombuffer(idf, np.float32)
-        full = np.zeros(1 << BUCKET_BITS, np.float32)
         pick = keys(BANDS * ROWS, 5)
         # Worker processes outlive tasks; the library's module holds the draws for the next task. Nearly all
         # weights are 1: for those, what each triple gives is kept ready.
@@ -158,27 +252,33 @@ def _signing(idf: bytes) -> Callable:
             kept[name] = [(p, sampled(p, every, np.zeros(len(every)))) for p in pools]
         draws = kept[name]
 
-        def sign(shingles, steps, ends) -> np.ndarray:
+        def banded(found) -> np.ndarray:
+            bands = np.zeros((len(found), BANDS), np.uint64)
+            weights = keys(ROWS, 6)
+            for b in range(BANDS):
+                low = found[:, b * ROWS : (b + 1) * ROWS] * weights
+                bands[:, b] = mixed(low.sum(axis=1, dtype=np.uint64) + pick[b])
+            return bands
+
+        def sign(shingles, steps, full, ends) -> tuple[np.ndarray, np.ndarray]:
+            """Bands for weights of both kinds; they part where a draw meets a shingle that weighs less."""
             begin = ends[:-1]
-            found = np.zeros((len(begin), BANDS * ROWS), np.uint64)
+            found = np.zeros((2, len(begin), BANDS * ROWS), np.uint64)
             if not len(begin):
-                return np.zeros((0, BANDS), np.uint64)
-            other = np.flatnonzero(steps)
-            weight = steps[other].astype(np.float64)
+                return banded(found[0]), banded(found[1])
+            other, less = np.flatnonzero(full), np.flatnonzero(steps != full)
             own = mixed(shingles) >> np.uint64(32)
             short = (shingles >> np.uint64(32)).astype(np.uint32)
             for k, (pool, ready) in enumerate(draws):
                 index = (short * np.uint32(pick[k] >> np.uint64(32) | np.uint64(1))) >> np.uint32(32 - POOL_BITS)
                 value = ready[index]
                 if len(other):
-                    value[other] = sampled(pool, index[other], weight)
-                found[:, k] = np.minimum.reduceat(value ^ own, begin)
-            bands = np.zeros((len(begin), BANDS), np.uint64)
-            weights = keys(ROWS, 6)
-            for b in range(BANDS):
-                low = found[:, b * ROWS : (b + 1) * ROWS] * weights
-                bands[:, b] = mixed(low.sum(axis=1, dtype=np.uint64) + pick[b])
-            return bands
+                    value[other] = sampled(pool, index[other], full[other].astype(np.float64))
+                found[1, :, k] = found[0, :, k] = np.minimum.reduceat(value ^ own, begin)
+                if len(less):
+                    value[less] = sampled(pool, index[less], steps[less].astype(np.float64))
+                    found[0, :, k] = np.minimum.reduceat(value ^ own, begin)
+            return banded(found[0]), banded(found[1])
 
         for batch in batches:
             # Small parts: what is done to them for each draw stays in the processor's cache.
@@ -186,16 +286,18 @@ def _signing(idf: bytes) -> Callable:
                 data, offsets = text_bytes(part.column(1))
                 shingles, times, ends = shingle_sets(data, offsets)
                 count = np.diff(ends)
+                rarity = rarities(shingles, idf)
+                common = np.concatenate([[0], np.cumsum(rarity < 0)])
+                has = count > 0
+                differs = common[ends[1:]] > common[ends[:-1]]
                 columns = [part.column(0)]
                 digest = [hashlib.md5(data[a:b].tobytes()).digest() for a, b in zip(offsets[:-1], offsets[1:])]
                 columns.append(pa.array(digest, pa.binary()))
-                for weights, has in ((inverse, count > 0), (full, count > 0)):
-                    chosen = np.repeat(has, count)
-                    begins = np.concatenate([[0], np.cumsum(count[has])])
-                    own = shingles[chosen]
-                    bands = sign(own, steps_of(own, times[chosen], weights), begins).view(np.int64)
-                    at = np.concatenate([[0], np.cumsum(has * BANDS)]).astype(np.int32)
-                    columns.append(pa.ListArray.from_arrays(at, pa.array(bands.ravel())))
+                begins = np.concatenate([[0], np.cumsum(count[has])])
+                both = sign(shingles, steps_of(times, rarity), steps_of(times, np.float32(0)), begins)
+                for bands, mine in zip(both, (has, differs)):
+                    at = np.concatenate([[0], np.cumsum(mine * BANDS)]).astype(np.int32)
+                    columns.append(pa.ListArray.from_arrays(at, pa.array(bands[mine[has]].view(np.int64).ravel())))
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "bands", "full_bands"])
 
     return run
@@ -208,11 +310,9 @@ def _comparing(idf: bytes) -> Callable:
         import numpy as np
         import pyarrow as pa
 
-        inverse = np.frombuffer(idf, np.float32)
-
         def sets(part, column: int) -> list:
             shingles, times, ends = shingle_sets(*text_bytes(part.column(column)))
-            weight = np.exp2(steps_of(shingles, times, inverse) / STEPS)
+            weight = np.exp2(steps_of(times, rarities(shingles, idf)) / STEPS)
             return [(shingles[a:b], weight[a:b]) for a, b in zip(ends[:-1], ends[1:])]
 
         for batch in batches:
@@ -262,18 +362,26 @@ def classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
     distinct = signed.groupBy("text_key", "bands", "full_bands")
     distinct = distinct.agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n_copies"))
     nodes = written(distinct.withColumn("node", F.monotonically_increasing_id()), "dup-nodes")
+    # Texts without common shingles have the same bands and similarities by weight and in full.
+    alike = F.size("full_bands") == 0
+    full = nodes.select("node", F.when(alike, F.col("bands")).otherwise(F.col("full_bands")).alias("bands"), alike.alias("alike"))
     members = []
-    for bands in ("bands", "full_bands"):
-        banded = nodes.select("node", F.explode(bands).alias("bucket"))
-        shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-        members.append(written(banded.join(shared, "bucket"), "dup-buckets"))
+    for banded in (nodes.select("node", F.lit(False).alias("alike"), F.explode("bands").alias("bucket")),
+                   full.select("node", "alike", F.explode("bands").alias("bucket"))):
+        counted = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.bool_and("alike").alias("done"))
+        shared = counted.where("n > 1 and not done").select("bucket")
+        members.append(written(banded.select("bucket", "node").join(shared, "bucket"), "dup-buckets"))
     either = members[0].select("node").union(members[1].select("node")).distinct()
     wanted = either.join(nodes.select("node", "text_key"), "node")
     keyed = rows.select(F.unhex(F.md5("text")).alias("text_key"), "text").join(wanted, "text_key")
     texts = written(keyed.groupBy("node").agg(F.first("text").alias("text")), "dup-texts")
     release(docs.sparkSession)
-    everything_counts = bytes(4 << BUCKET_BITS)
-    links = links_of(members[0], texts, idf, least).union(links_of(members[1], texts, everything_counts, least))
+    by_weight = written(links_of(members[0], texts, idf, least), "dup-links")
+    # A bucket whose members the first search has connected has nothing left to find.
+    named = members[1].join(components(by_weight), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    ends = named.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    left = members[1].join(ends.where("low < high").select("bucket"), "bucket")
+    links = by_weight.union(links_of(left, texts, b"", least))
     links = written(links.distinct(), "dup-links")
     found = components(links)
     ends = links.select(F.col("a").alias("node")).union(links.select("b"))

@@ -79,3 +79,27 @@ def test_near_copies_with_a_shared_passage_are_searched_in_full(documents):
     at = pairs[0.75, 3]
     assert got[at + 1] == got[at] == at
     assert got == brute(docs)
+
+
+def test_frequencies_are_exact_in_long_texts(documents):
+    """Long texts of shingles that occur once, and passages in a few of them: only those are common."""
+    rng = random.Random(12)
+    passages = [named(f"p{k}w", 30) for k in range(8)]
+    texts = []
+    for i in range(150):
+        words = [f"{i}-{rng.randrange(10**9)}" for _ in range(3000)]
+        for k in range(8):
+            if i % (k + 2) == 0 or i < k:
+                words += passages[k] * (1 + i % 2)
+        texts.append(" ".join(words))
+    idf = near_dup.inverse_frequencies(documents(list(enumerate(texts))))
+    df = Counter()
+    for text in texts:
+        data = np.frombuffer(text.encode(), np.uint8)
+        df.update(near_dup.shingle_sets(data, np.array([0, len(data)]))[0].tolist())
+    common = {g: k for g, k in df.items() if k > 1.5}
+    n = len(idf) // 12
+    got = dict(zip(np.frombuffer(idf, np.uint64, n).tolist(), np.frombuffer(idf, np.float32, n, 8 * n).tolist()))
+    rare = {g: math.log(k / 150) / math.log(0.01) for g, k in common.items()}
+    assert got == {g: float(np.float32(math.log2(0.02 + 0.98 * max(0, min(1, x)) ** 2))) for g, x in rare.items()}
+    assert 8 * 26 <= n < 2000
