@@ -17,7 +17,7 @@ from mixlens.llm.common import release, text_of, written
 from mixlens.llm.components import components
 from mixlens.llm.pivots import pivot_links
 
-#: Edits allowed, and the length from which a line takes part: shorter ones are like any other by chance.
+#: Edits allowed, and the length from which they are: shorter lines are like any other by chance.
 EDITS, LEAST_CHARS = 2, 20
 #: Up to so many ids are broadcast to pick the texts of candidates (8 bytes each); beyond, Spark joins as it sees fit.
 BROADCAST = 2_000_000
@@ -62,7 +62,7 @@ def keys(lines: DataFrame, edits: int) -> DataFrame:
 
 
 def distinct_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """node (a number), line, len, n (how often it occurs) of all lines that are long enough."""
+    """node (a number), line, len, n (how often it occurs) of all lines of ``least_chars`` and more."""
     lines = docs.select(F.explode(F.split(text_of(), "\n")).alias("line"))
     long = lines.where(F.length("line") >= least_chars)
     counted = long.groupBy("line").agg(F.count("*").alias("n"))
@@ -92,13 +92,15 @@ def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     return written(pivot_links(members, compare, float(edits)), "line-links")
 
 
-def remove_near_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
+def remove_near_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS, short_equal: bool = False) -> DataFrame:
     """Each row without the lines that an earlier line equals or nearly equals.
 
     Lines within ``edits`` of each other, and those that further lines connect,
     form a class; equal lines are of one class. The first line of a class, by
     doc_id and place in the text, stays; all others go. Lines of fewer than
-    ``least_chars`` code points stay and play no part, nor do other columns.
+    ``least_chars`` code points stay and play no part; with ``short_equal`` those
+    that aren't empty go if they equal an earlier line, without edits. Other
+    columns play no part.
 
     Gives doc_id, n_lines, n_links (verified links of the row's lines to other
     texts; links that follow from others are not all counted), n_removed, the
@@ -108,9 +110,10 @@ def remove_near_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LE
     null id comes last.
     """
     spark = docs.sparkSession
-    lines = distinct_lines(docs, least_chars)
+    lowest = 1 if short_equal else least_chars
+    lines = distinct_lines(docs, lowest)
     release(spark)
-    links = near_lines(lines, edits)
+    links = near_lines(lines.where(F.col("len") >= least_chars), edits)
     found = components(links)
     ends = links.select(F.col("a").alias("node")).union(links.select("b"))
     n_links = ends.groupBy("node").agg(F.count("*").alias("links"))
@@ -124,7 +127,7 @@ def remove_near_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LE
     release(spark)
     rows = docs.select("doc_id", text_of().alias("text"))
     places = rows.select("doc_id", F.xxhash64("text").alias("key"), F.posexplode(F.split("text", "\n")).alias("place", "line"))
-    places = places.where(F.length("line") >= least_chars).select("doc_id", "key", "place", *digest)
+    places = places.where(F.length("line") >= lowest).select("doc_id", "key", "place", *digest)
     members = written(places.join(some, ["h1", "h2"]).select("doc_id", "key", "place", "root", "links"), "line-places")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "place")
     firsts = members.groupBy("root").agg(F.min(order).alias("first"))

@@ -104,7 +104,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_near_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents without lines that equal an earlier one up to two edits."""
-    rows = lines.remove_near_lines(read(spark, sf_dir, "documents"))
+    """All documents without lines that equal an earlier one up to two edits, or short ones that equal it."""
+    rows = lines.remove_near_lines(read(spark, sf_dir, "documents"), short_equal=True)
     ids = F.array_join(F.col("first_ids").cast("array<string>"), ",").alias("first_ids")
     return rows.select("doc_id", "n_lines", "n_removed", ids, F.sha2("kept", 256).alias("kept_sha256"))

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import random
 
 import pytest
@@ -7,6 +8,7 @@ from names import CLASHING
 from test_near_dup import Groups
 
 from mixlens.llm import lines
+from mixlens.llm.queries import QUERIES
 
 
 def distance(a, b, most):
@@ -84,3 +86,14 @@ def test_edges(documents):
     assert result(documents(docs)) == [(1, 1, 0, long), (2, 1, 1, ""), (3, 1, 0, long[3:]), (4, 2, 1, "x" * 25 + "\r")]
     twice = [(7, "the very same line of text\nthe very same line of text")] * 2
     assert [r[2] for r in result(documents(twice))] == [1, 1]
+
+
+def test_short_lines_go_only_if_equal(spark, documents, tmp_path):
+    """The query removes short boilerplate that an earlier line equals; empty and merely similar lines stay."""
+    long = "a line of text that is long enough for edits"
+    docs = [(1, f"Read more\n{long}\n"), (2, f"Share this\n\nRead more\n{long}!"), (3, "Read mare\nShare this\nShare this\n")]
+    documents(docs).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in QUERIES["op10_near_lines"](spark, str(tmp_path)).collect()}
+    left = {1: docs[0][1], 2: "Share this\n", 3: "Read mare\n"}
+    assert {i: r.kept_sha256 for i, r in got.items()} == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in left.items()}
+    assert {i: (r.n_removed, r.first_ids or "") for i, r in got.items()} == {1: (0, ""), 2: (2, "1"), 3: (2, "2")}
