@@ -73,3 +73,15 @@ def test_edges(spark, documents):
     assert got == {(d, i, 4, 4) for d in (1, None, 4) for i in (7, None)} or got == {(d, 7, 4, 4) for d in (1, None, 4)}
     assert found(spark, documents([]), [(7, text)]) == set()
     assert found(spark, docs, []) == set()
+
+
+def test_items_without_an_id_are_found_and_short_ones_counted(spark, documents, caplog):
+    one, two = "one two three four five six seven eight", "red green blue black white grey brown"
+    docs = documents([(1, f"x {one} y"), (2, two), (3, "nothing of it"), (4, f"{one} {two}")], CLASHING)
+    items = [(None, one), (None, two), (5, two), (6, "one two"), (7, None)]
+    got = found(spark, docs, items)
+    assert got == {(1, None, 4, 4), (2, None, 3, 3), (2, 5, 3, 3), (4, None, 4, 4), (4, None, 3, 3), (4, 5, 3, 3)}
+    assert "2 items of under 5 words" in caplog.text
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    assert contamination.left_out(frame) == 2
+    assert [r.doc_id for r in contamination.clean(docs, frame.where("item_id is null")).collect()] == [3]
