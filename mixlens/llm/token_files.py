@@ -107,8 +107,14 @@ def encoding(tokenizer: str, by_word: bool, end_id: int, chunk_ids: int, block:
             split, found, new = [], [], set()
             for text in texts:
                 data = text.encode()
-                # Special tokens are the only strings whose case matters, and they begin so.
-                words = (data if b"<|" in data else data.lower()).split()
+                # Special tokens are the only strings whose case matters, and they begin so. A letter joins marks
+                # from U+0300 to U+036F before case is set aside, and some only join small letters.
+                if b"<|" in data:
+                    words = data.split()
+                elif b"\xcc" in data or b"\xcd" in data:
+                    words = [w.lower() if w.isascii() else w for w in data.split()]
+                else:
+                    words = data.lower().split()
                 ids_of = list(map(store.get, words))
                 if None in ids_of:
                     new.update([w for w, x in zip(words, ids_of) if x is None])

@@ -57,3 +57,12 @@ def test_repeated_ids_and_empty_table(documents, tmp_path):
     assert [r.doc_id for r in got] == [None, None, 3, 4, 4, 4]
     assert all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:]))
     assert result(documents([]), str(tmp_path / "e"), WORDS, by_word=True) == []
+
+
+def test_marks_that_only_join_small_letters(documents, tmp_path):
+    """The tokenizer joins marks before it sets case aside: a capital and its mark stay two."""
+    texts = ["T\u0308", "H\u0331a", "J\u030c.", "W\u030a", "Y\u030a", "Plain T\u05b0\u0308 Words", "E\u0301 t\u0308"]
+    got = result(documents(list(enumerate(texts))), str(tmp_path / "t"), WORDS, by_word=True)
+    model = Tokenizer.from_file(WORDS)
+    ids = [np.array([*model.encode(t, add_special_tokens=False).ids, 2], "<u4") for t in texts]
+    assert {r.doc_id: r.ids_crc32 for r in got} == {i: zlib.crc32(x.tobytes()) for i, x in enumerate(ids)}
