@@ -4,6 +4,7 @@ import datetime as dt
 
 from conftest import rows
 
+from mixlens.plans import queries
 from mixlens.streaming.daily import daily_from_events, stream_daily
 
 
@@ -30,3 +31,10 @@ def test_batch_numbers(spark):
     )
     got = [(r["date_id"].day, r["impressions"], r["clicks"], r["orders"], float(r["spend"]), float(r["sales"])) for r in daily_from_events(events).orderBy("date_id").collect()]
     assert got == [(1, 0, 1, 0, 1.25, 0.0), (2, 1, 0, 1, 0.0, 9.0)]
+
+
+def test_late_rows_keep_their_parallelism(spark, small, tmp_path, monkeypatch):
+    spark.read.parquet(f"{small}/events.parquet").repartition(4).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(queries, "scratch_path", lambda *_: str(tmp_path / "stream"))
+    assert queries.x1_stream_late_rows(spark, str(tmp_path)).count() > 0
+    assert len(list((tmp_path / "stream/events").glob("*.parquet"))) == 12
