@@ -9,6 +9,7 @@ share of good documents give each pattern its posterior probability.
 
 from __future__ import annotations
 
+import logging
 import math
 from dataclasses import dataclass
 
@@ -21,6 +22,8 @@ WINDOW = 5
 #: Punctuation that counts as a symbol.
 SYMBOLS = "#*$%&|<>"
 
+log = logging.getLogger(__name__)
+
 
 def _count(text: Column, others: str) -> Column:
     """Number of characters that the class ``others`` doesn't hold."""
@@ -154,7 +157,10 @@ def fit(votes: DataFrame, names: list[str], rounds: int = 30, close: float = 1e-
     Every round reads the patterns, at most 3 ** len(names) rows, and brings one
     row of sums to the driver. The starting rates stay in the estimate with the
     weight of ``belief`` of all documents, so that a rule that hardly votes
-    keeps them. An empty table gives the starting values.
+    keeps them; so does the starting share, which keeps the estimate off 0 and 1
+    (without belief, by a millionth) and else lets it follow the data. An empty
+    table gives the starting values. A warning goes to the log if the estimate
+    still moves by ``close`` or more after ``rounds``.
     """
     patterns = written(votes.groupBy(*names).agg(F.count("*").alias("n")).coalesce(1), "vote-patterns")
     model = Model(START[0], dict.fromkeys(names, START[1]), dict.fromkeys(names, START[2]))
@@ -178,7 +184,7 @@ def fit(votes: DataFrame, names: list[str], rounds: int = 30, close: float = 1e-
             )
 
         new = Model(
-            min(0.99, max(0.5, got["good"] / got["n"])),
+            min(1 - 1e-6, max(1e-6, (got["good"] + own * START[0]) / (got["n"] + own))),
             {n: rates(n, "up", START[1]) for n in names},
             {n: rates(n, "down", START[2]) for n in names},
         )
@@ -186,6 +192,8 @@ def fit(votes: DataFrame, names: list[str], rounds: int = 30, close: float = 1e-
         model = new
         if moved < close:
             break
+    else:
+        log.warning("the votes' rates still moved by %.2g after %d rounds", moved, rounds)
     return model
 
 

@@ -81,3 +81,19 @@ def test_edges(documents):
     kept = quality.keep_good(docs)
     assert kept.columns == docs.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 1]
     assert docs.select(quality.counts(text_of())["n_words"]).count() == 4
+
+
+def test_estimation_follows_a_corpus_of_few_good_documents(spark, caplog):
+    names = [f"r{i}" for i in range(5)]
+
+    def draw(salt):
+        return F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(10_000)) / 10_000
+
+    df = spark.range(20_000).withColumn("good", draw("class") < 0.3)
+    for n in names:
+        df = df.withColumn(n, F.when(draw(n) < F.when(F.col("good"), 0.9).otherwise(0.2), 1).otherwise(-1))
+    model = quality.fit(df, names, rounds=100)
+    assert model.share == pytest.approx(0.3, abs=0.05)
+    assert not caplog.text
+    quality.fit(df, names, rounds=2)
+    assert "after 2 rounds" in caplog.text
