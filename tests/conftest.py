@@ -35,9 +35,3 @@ def small():
     if not os.path.isdir(path):
         pytest.skip("the small tables are not here")
     return path
-
-
-def rows(df, *order):
-    """Rows as tuples, sorted by the given columns."""
-    got = df.orderBy(*order).collect() if order else df.collect()
-    return [tuple(r) for r in got]

@@ -10,7 +10,7 @@ from hashlib import md5
 
 import numpy as np
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from mixlens.operators import mix, mix_budget, mix_model, mix_search

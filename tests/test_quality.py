@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import types as T
 
 from mixlens.operators import quality as q

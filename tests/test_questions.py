@@ -8,7 +8,7 @@ from collections import defaultdict
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from mixlens.operators import derived

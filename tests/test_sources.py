@@ -4,7 +4,7 @@ import datetime as dt
 import os
 
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from mixlens.plans import tables as t

@@ -3,7 +3,7 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
-from conftest import rows
+from support import rows
 
 from mixlens.operators import dimensions as dims
 from mixlens.operators import facts

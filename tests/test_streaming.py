@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from conftest import rows
+from support import rows
 
 from mixlens.plans import queries
 from mixlens.streaming.daily import daily_from_events, stream_daily
