@@ -41,10 +41,13 @@ def hex_number(digest: Column, start: int, digits: int) -> Column:
     return F.conv(F.substring(digest, start, digits), 16, 10).cast("long")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The frame as a table in the shared scratch folder: cuts lineage, survives lost executors."""
+def written(df: DataFrame, name: str, *folders: str) -> DataFrame:
+    """The frame as a table in the shared scratch folder: cuts lineage, survives lost executors.
+
+    Rows of each value of ``folders``, the last columns, go to a folder of their own.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*folders).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

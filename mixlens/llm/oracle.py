@@ -1,7 +1,7 @@
 """SQL counterparts of the queries that SQL can express, for another engine.
 
-Op 3, 5, 6, 9 and the pipeline estimate, draw, encode or learn; op 10 needs an
-edit distance over code points, which that engine counts over bytes. Tests
+Op 3, 5, 6, 9, 13 and the pipeline estimate, draw, encode, learn or iterate;
+op 10 needs an edit distance over code points, which that engine counts over bytes. Tests
 compare those with brute force.
 """
 
@@ -104,10 +104,14 @@ def _descent(regions: int, name: str) -> str:
     from {name}_k, (select unnest(range(17)) as s) where s // 2 = rack group by key)"""
 
 
-OP7 = f"""
-with steps as (
+#: The 256 steps of CRC-32, as a list in a table of one row.
+STEPS = """
+steps as (
     select list_transform(range(256), lambda x: list_reduce(list_concat([x::bigint], [0, 0, 0, 0, 0, 0, 0, 0]),
-        lambda c, z: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t),
+        lambda c, z: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t)"""
+
+OP7 = f"""
+with {STEPS},
 d as (
     select doc_id, coalesce(doc_id::varchar, 'null') as key, octet_length(encode(coalesce(text, ''))) + 1 as size,
         xor(list_reduce(list_concat([4294967295::bigint], list_transform(range(octet_length(encode(coalesce(text, '')))),
@@ -136,10 +140,80 @@ select doc_id, item_id, count(*) as shared, any_value(size) as size
 from si join sd using (s) join n using (item_id) group by doc_id, item_id having count(*) >= 0.8 * any_value(size) - 1e-9
 """
 
+OP11 = """
+with v as (
+    select row_number() over () as id, vec_id, [floor(64 * c::double) for c in embedding] as x from embeddings
+    where embedding is not null and len([1 for c in embedding if c is not null and isfinite(c)]) = len(embedding)),
+p as (
+    select q.id, q.vec_id as query_id, v.vec_id, list_dot_product(q.x, v.x)::bigint as score
+    from v q join v on q.id <> v.id where q.vec_id % 20 = 0),
+r as (select *, row_number() over (partition by id order by score desc, vec_id nulls last) as place from p)
+select query_id, place::int as rank, vec_id, score from r where place <= 20
+"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(({value})::varchar) || ':' || ({value})::varchar, '-')"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """SQL for all nodes of trees over leaves (g, n, pos, h), from the leaves up."""
+    return f"""
+{name} as (
+    select g, n, 0 as lv, pos, h from {leaves}
+    union all
+    select g, n, lv + 1, pos // 2, sha256(string_agg(h, '' order by pos)) from {name} where n > (1::bigint << lv) group by g, n, lv, pos // 2)"""
+
+
+def _leaf(n_chars: str) -> str:
+    return f"sha256({' || '.join(_field(c) for c in ('doc_id', 'source', 'lang', n_chars, 'text'))})"
+
+
+OP12 = f"""
+with recursive {STEPS},
+d as (
+    select row_number() over () as id, doc_id, lang, {_leaf('n_chars')} as leaf, {_leaf('n_chars::hugeint + 1')} as tampered,
+        xor(list_reduce(list_concat([4294967295::bigint], [ord(c)::bigint for c in string_split(doc_id::varchar, '')]),
+            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 7 = 0 as chosen
+    from documents, steps),
+langs as (select lang, count(*) as n, row_number() over (order by lang nulls first) - 1 as g from d group by lang),
+leaves as (
+    select id, doc_id, g, n, row_number() over (partition by g order by doc_id nulls first, leaf) - 1 as pos, leaf as h,
+        case when chosen then tampered else leaf end as claimed
+    from d join langs on d.lang is not distinct from langs.lang),
+{_tree("nodes", "leaves")},
+subroots as (select 0 as g, count(*) over () as n, g as pos, h from nodes where pos = 0 and n <= (1::bigint << lv)),
+{_tree("tops", "subroots")},
+roots as (select h as root from tops where pos = 0 and n <= (1::bigint << lv)),
+steps_up as (
+    select l.id, 0 as stage, x.lv, s.h as sibling, (l.pos >> x.lv) & 1 = 1 as is_left
+    from leaves l, (select unnest(range(40)) as lv) x
+        left join nodes s on s.g = l.g and s.lv = x.lv and s.pos = xor(l.pos >> x.lv, 1)
+    where l.n > (1::bigint << x.lv)
+    union all
+    select l.id, 1, x.lv, s.h, (l.g >> x.lv) & 1 = 1
+    from leaves l join (select max(n) as groups from subroots) on true, (select unnest(range(40)) as lv) x
+        left join tops s on s.lv = x.lv and s.pos = xor(l.g >> x.lv, 1)
+    where groups > (1::bigint << x.lv)),
+path as (select *, row_number() over (partition by id order by stage, lv) as step from steps_up),
+folded as (
+    select id, 0::bigint as step, claimed as node from leaves
+    union all
+    select f.id, f.step + 1, sha256(case when is_left then coalesce(sibling, '') || node else node || coalesce(sibling, '') end)
+    from folded f join path p on p.id = f.id and p.step = f.step + 1),
+ends as (select id, arg_max(node, step) as folded_root from folded group by id),
+proofs as (select id, string_agg(sibling, '' order by step) as siblings from path group by id)
+select doc_id, l.h as leaf, s.h as subroot, root, sha256(coalesce(siblings, '')) as proof_sha256, folded_root,
+    folded_root = root as verified
+from leaves l join subroots s on s.pos = l.g join ends using (id) left join proofs using (id), roots
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_mix_sources": OP1,
     "op2_format_chats": OP2,
     "op4_substring_dedup": OP4,
     "op7_shard": OP7,
     "op8_decontaminate": OP8,
+    "op11_top_products": OP11,
+    "op12_merkle_manifest": OP12,
 }

@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mixlens.llm import chat, contamination, lines, mixing, near_dup, quality, sharding, substrings, token_files, toxicity
+from mixlens.llm import (
+    chat,
+    contamination,
+    lines,
+    merkle,
+    mixing,
+    near_dup,
+    quality,
+    sharding,
+    substrings,
+    token_files,
+    topk,
+    toxicity,
+    vectors,
+    whitening,
+)
 from mixlens.llm.common import read, written
 from mixlens.session import scratch_path
 
@@ -108,3 +123,36 @@ def op10_near_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = lines.remove_near_lines(read(spark, sf_dir, "documents"), short_equal=True)
     ids = F.array_join(F.col("first_ids").cast("array<string>"), ",").alias("first_ids")
     return rows.select("doc_id", "n_lines", "n_removed", ids, F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op11_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 greatest inner products of every twentieth embedding with all others."""
+    rows = vectors.on_grid(read(spark, sf_dir, "embeddings"), 64)
+    return topk.top_k(rows, F.col("vec_id") % 20 == 0, 20)
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their proofs in a manifest by language, a seventh of them tampered with before they are verified."""
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    docs = read(spark, sf_dir, "documents").select(*columns)
+    more = (F.col("n_chars").cast("decimal(20,0)") + 1).alias("n_chars")
+    tampered = merkle.leaf_digest(*[more if c == "n_chars" else F.col(c) for c in columns])
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    claimed = docs.withColumn("tampered", F.when(chosen & F.col("n_chars").isNotNull(), tampered))
+    leaf = merkle.leaf_digest(*[F.col(c) for c in columns])
+    made = merkle.proofs(merkle.manifest(claimed, "lang", ["doc_id"], leaf, ["doc_id", "tampered"]))
+    root = merkle.folded(F.coalesce("row.tampered", "leaf"), F.col("path"))
+    found = made.select(
+        "row.doc_id", "leaf", "subroot", "root", merkle.path_digest(F.col("path")).alias("proof_sha256"), root.alias("folded_root")
+    )
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query
+def op13_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings on the four leading components of their covariance, whitened."""
+    rows = read(spark, sf_dir, "embeddings")
+    whitened = whitening.whiten(rows, whitening.fit(rows))
+    return whitened.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
