@@ -39,7 +39,7 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
         return tuple(edges.agg(F.count("*"), F.sum(spread)).first())
 
     edges = written(links.select("a", "b").where("a <> b").distinct(), "links")
-    before = mark(edges)
+    before = None
     for _ in range(rounds):
         edges = written(step(step(edges, False), True), "links")
         after = mark(edges)

@@ -7,7 +7,8 @@ similarity. Rows of draws form bands; documents that share a band meet in a
 bucket and are verified by their exact weighted similarity.
 
 In a bucket nobody meets everybody: members are compared with pivots, and the
-distance (1 - similarity) is a metric that rules out most other pairs.
+distance (1 - similarity) is a metric that rules out most other pairs. What a
+text of a crowded bucket shares with no other one rules out most of the rest.
 
 Shingles of more than a hundredth of all documents count less, so that passages
 that very many documents share don't make those alike. In a group of near copies
@@ -44,6 +45,10 @@ SPARE, LEAST_BITS, MOST_BITS = 8, 12, 22
 CHUNK, HELD = 1 << 11, 1 << 20
 #: Random triples of the sampling scheme per draw (bits), and steps of weights per doubling.
 POOL_BITS, STEPS = 15, 4
+#: Buckets of so many texts are searched only as far as what their texts share allows.
+CROWD = 8
+
+SIGNATURE = ["doc_id", "text_key", "bands", "full_bands", "total", "full_total"]
 
 
 def shingles_of(data, offsets, width: int = WIDTH):
@@ -105,6 +110,13 @@ def steps_of(times, rarity):
     return np.rint((np.log2(times) + rarity) * STEPS).astype(np.int64)
 
 
+def weights_of(times, rarity):
+    """The weights that the steps stand for."""
+    import numpy as np
+
+    return np.exp2(steps_of(times, rarity) / STEPS)
+
+
 def _places(shingles, bits: int):
     """Each shingle's counter in two rows of 2 ** bits counters, one after the other."""
     import numpy as np
@@ -298,7 +310,12 @@ def _signing(idf: bytes) -> Callable:
                 for bands, mine in zip(both, (has, differs)):
                     at = np.concatenate([[0], np.cumsum(mine * BANDS)]).astype(np.int32)
                     columns.append(pa.ListArray.from_arrays(at, pa.array(bands[mine[has]].view(np.int64).ravel())))
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "bands", "full_bands"])
+                for weight in (weights_of(times, rarity), weights_of(times, np.float32(0))):
+                    total = np.zeros(len(count))
+                    if len(weight):
+                        total[has] = np.add.reduceat(weight, ends[:-1][has])
+                    columns.append(pa.array(total))
+                yield pa.RecordBatch.from_arrays(columns, names=SIGNATURE)
 
     return run
 
@@ -311,9 +328,12 @@ def _comparing(idf: bytes) -> Callable:
         import pyarrow as pa
 
         def sets(part, column: int) -> list:
-            shingles, times, ends = shingle_sets(*text_bytes(part.column(column)))
-            weight = np.exp2(steps_of(times, rarities(shingles, idf)) / STEPS)
-            return [(shingles[a:b], weight[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+            # A pivot's text comes many times.
+            named = part.column(column).dictionary_encode()
+            shingles, times, ends = shingle_sets(*text_bytes(named.dictionary))
+            weight = weights_of(times, rarities(shingles, idf))
+            each = [(shingles[a:b], weight[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+            return [each[i] for i in named.indices.to_pylist()]
 
         for batch in batches:
             for part in slices(batch, 2, 1 << 21):
@@ -330,10 +350,57 @@ def _comparing(idf: bytes) -> Callable:
     return run
 
 
+def _weighing(idf: bytes) -> Callable:
+    """Each text's distinct shingles with their weights."""
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            for part in slices(batch, 1, 1 << 21):
+                shingles, times, ends = shingle_sets(*text_bytes(part.column(1)))
+                weight = weights_of(times, rarities(shingles, idf))
+                of = part.column(0).take(pa.array(np.repeat(np.arange(len(ends) - 1), np.diff(ends))))
+                yield pa.RecordBatch.from_arrays([of, pa.array(shingles.view(np.int64)), pa.array(weight)], names=["node", "shingle", "weight"])
+
+    return run
+
+
+def narrowed(members: DataFrame, texts: DataFrame, idf: bytes, least: float = LEAST) -> DataFrame:
+    """Members with weight, room and lean as ``pivot_links`` has them, without those that nothing in their bucket can resemble.
+
+    What only one text of all crowded buckets holds can't be shared. Similar
+    texts share ``least`` / (1 + ``least``) of both weights together; so what a
+    text doesn't have alone limits the weight of the texts it may resemble, and
+    if it has more than 1 - ``least`` alone, there are none. This tells apart the
+    members of a large group of near copies that differ too much, each of
+    which would have to be compared with all others.
+    """
+    crowded = written(members.where(F.col("n") >= CROWD).select("node").distinct(), "crowded-nodes")
+    shingles = texts.join(crowded, "node").select("node", "text").mapInArrow(_weighing(idf), "node long, shingle long, weight double")
+    held = shingles.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node"), F.min("weight").alias("weight"))
+    own = written(held.where("n = 1").groupBy("node").agg(F.sum("weight").alias("own")), "own-weights")
+    known = members.join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0.0)))
+    shared = F.col("total") - F.col("own")
+    # Weights are sums of floats: so much rounding lets a pair through, never out.
+    slack = F.col("total") * 1e-9
+    possible = known.where((F.col("n") < CROWD) | (shared >= least * F.col("total") - slack))
+    in_crowd = F.col("n") >= CROWD
+    return possible.select(
+        "bucket",
+        "node",
+        F.when(in_crowd, F.col("total")).alias("weight"),
+        F.when(in_crowd, shared * (1 + least) / least - F.col("total") + 4 * slack).alias("room"),
+        F.when(in_crowd, F.col("own") / F.col("total")).alias("lean"),
+    )
+
+
 def links_of(members: DataFrame, texts: DataFrame, idf: bytes, least: float = LEAST) -> DataFrame:
     """Links between similar nodes that share a bucket, enough of them to connect all that are connected.
 
-    ``members`` has bucket and node, ``texts`` node and text.
+    ``members`` has bucket and its number n of members, node and its weight
+    total; ``texts`` has node and text.
     """
 
     def compare(pairs: DataFrame) -> DataFrame:
@@ -341,7 +408,7 @@ def links_of(members: DataFrame, texts: DataFrame, idf: bytes, least: float = LE
         both = first.join(texts.withColumnsRenamed({"node": "b", "text": "text_b"}), "b")
         return both.select("a", "b", "text_a", "text_b").mapInArrow(_comparing(idf), "a long, b long, far double")
 
-    return pivot_links(members, compare, 1.0 - least + 1e-9)
+    return pivot_links(narrowed(members, texts, idf, least), compare, 1.0 - least + 1e-9, growth=32)
 
 
 def classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
@@ -356,21 +423,22 @@ def classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
     rows = docs.select("doc_id", text_of().alias("text"))
     idf = inverse_frequencies(rows)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, text_key binary, bands array<long>, full_bands array<long>"
+    schema = f"doc_id {kind}, text_key binary, bands array<long>, full_bands array<long>, total double, full_total double"
     signed = written(rows.mapInArrow(_signing(idf), schema), "dup-signatures")
     # Bands follow from the text, so equal texts fall together; the node's number is fixed by writing it.
     distinct = signed.groupBy("text_key", "bands", "full_bands")
-    distinct = distinct.agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n_copies"))
+    totals = [F.min(c).alias(c) for c in ("total", "full_total")]
+    distinct = distinct.agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n_copies"), *totals)
     nodes = written(distinct.withColumn("node", F.monotonically_increasing_id()), "dup-nodes")
     # Texts without common shingles have the same bands and similarities by weight and in full.
     alike = F.size("full_bands") == 0
-    full = nodes.select("node", F.when(alike, F.col("bands")).otherwise(F.col("full_bands")).alias("bands"), alike.alias("alike"))
+    full = F.when(alike, F.col("bands")).otherwise(F.col("full_bands"))
     members = []
-    for banded in (nodes.select("node", F.lit(False).alias("alike"), F.explode("bands").alias("bucket")),
-                   full.select("node", "alike", F.explode("bands").alias("bucket"))):
+    for total, done, bands in (("total", F.lit(False), F.col("bands")), ("full_total", alike, full)):
+        banded = nodes.select("node", F.col(total).alias("total"), done.alias("alike"), F.explode(bands).alias("bucket"))
         counted = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.bool_and("alike").alias("done"))
-        shared = counted.where("n > 1 and not done").select("bucket")
-        members.append(written(banded.select("bucket", "node").join(shared, "bucket"), "dup-buckets"))
+        shared = counted.where("n > 1 and not done").select("bucket", "n")
+        members.append(written(banded.select("bucket", "node", "total").join(shared, "bucket"), "dup-buckets"))
     either = members[0].select("node").union(members[1].select("node")).distinct()
     wanted = either.join(nodes.select("node", "text_key"), "node")
     keyed = rows.select(F.unhex(F.md5("text")).alias("text_key"), "text").join(wanted, "text_key")
@@ -380,7 +448,7 @@ def classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
     # A bucket whose members the first search has connected has nothing left to find.
     named = members[1].join(components(by_weight), "node", "left").withColumn("root", F.coalesce("root", "node"))
     ends = named.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    left = members[1].join(ends.where("low < high").select("bucket"), "bucket")
+    left = written(members[1].join(ends.where("low < high").select("bucket"), "bucket"), "dup-buckets")
     links = by_weight.union(links_of(left, texts, b"", least))
     links = written(links.distinct(), "dup-links")
     found = components(links)

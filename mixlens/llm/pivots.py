@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mixlens.llm.common import written
+from mixlens.llm.common import release, written
 from mixlens.llm.components import components
 
 
@@ -20,6 +20,10 @@ def pivot_links(
     distance ``far``, a metric, to pairs (a, b); beyond twice ``reach`` it may
     give any number above that. Pairs within ``reach`` are similar.
 
+    Members may also have the doubles ``weight``, ``room`` and ``lean``: two of
+    them can be similar only if the weight of each fits into the other's room, a
+    null fits always; those that lean least become pivots first.
+
     Every round each bucket picks pivots and compares its other members with
     them; a pivot then leaves its bucket. Pairs that can't matter are skipped:
     members that links connect already, and members whose distances to the
@@ -32,11 +36,16 @@ def pivot_links(
     """
     spark = members.sparkSession
     groups = spark.createDataFrame([], "node long, root long")
-    members = written(members.withColumn("d0", F.lit(None).cast("double")), "bucket-members")
+    some = [c if c in members.columns else F.lit(None).cast("double").alias(c) for c in ("weight", "room", "lean", "d0")]
+    members = written(members.select("bucket", "node", *some), "bucket-members")
+    carried = [c for c in members.columns if c != "d0"]
     known: DataFrame | None = None
     pivots = 1
     while not members.isEmpty():
-        named = members.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        # A pair that shares several buckets is met in the first of them only.
+        places = members.groupBy("node").agg(F.sort_array(F.collect_list("bucket")).alias("buckets"))
+        named = members.join(places, "node").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        named = written(named, "bucket-names")
         if known is None:
             candidates = named
         else:
@@ -44,24 +53,26 @@ def pivot_links(
             largest = sizes.groupBy("bucket").agg(F.max(F.struct("size", "root")).alias("top"))
             candidates = named.join(largest, "bucket").where("root <> top.root")
         part = F.pmod(F.xxhash64("node"), F.lit(pivots)).alias("part")
-        chosen = candidates.groupBy("bucket", part).agg(F.min(F.struct("node", "root", "d0")).alias("p"))
-        chosen = chosen.select(
-            "bucket", F.col("p.node").alias("pivot"), F.col("p.root").alias("pivot_root"), F.col("p.d0").alias("pivot_d0")
-        )
+        order = F.struct(F.coalesce("lean", F.lit(0.0)).alias("lean"), "node", "root", "d0", "weight", "room", "buckets")
+        chosen = candidates.groupBy("bucket", part).agg(F.min(order).alias("p")).select("bucket", "p.*")
+        chosen = chosen.withColumnsRenamed({"node": "pivot", **{c: f"pivot_{c}" for c in ("root", "d0", "weight", "room", "buckets")}}).drop("lean")
         chosen = written(chosen, "pivots")
         tried = named.join(chosen, "bucket").where("node <> pivot and root <> pivot_root")
         near = F.abs(F.col("d0") - F.col("pivot_d0")) <= reach
         tried = tried.where(F.col("d0").isNull() | F.col("pivot_d0").isNull() | near)
+        fits = (F.col("weight") <= F.col("pivot_room")) & (F.col("pivot_weight") <= F.col("room"))
+        tried = tried.where(F.coalesce(fits, F.lit(True)))
+        tried = tried.where(F.array_min(F.array_intersect("buckets", "pivot_buckets")) == F.col("bucket"))
         pairs = tried.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
         if known is not None:
             pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
         far = written(compare(pairs).select("a", "b", "far"), "pair-distances")
         if known is None:
-            # All were compared with the bucket's first pivot; its distances serve all later rounds.
+            # Distances to the bucket's first pivot serve all later rounds.
             first = chosen.select("bucket", F.col("pivot").alias("p0"))
             with_first = members.drop("d0").join(first, "bucket").where("node <> p0")
             ends = {"a": F.least("node", "p0"), "b": F.greatest("node", "p0")}
-            members = with_first.withColumns(ends).join(far, ["a", "b"]).select("bucket", "node", F.col("far").alias("d0"))
+            members = with_first.withColumns(ends).join(far, ["a", "b"], "left").select(*carried, F.col("far").alias("d0"))
         else:
             gone = chosen.select("bucket", F.col("pivot").alias("node"))
             members = members.join(gone, ["bucket", "node"], "left_anti")
@@ -71,7 +82,8 @@ def pivot_links(
         rest = members.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
         mixed = rest.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
         members = members.join(mixed.where("low < high").select("bucket"), "bucket")
-        members = written(members.select("bucket", "node", "d0"), "bucket-members")
+        members = written(members.select(*carried, "d0"), "bucket-members")
+        release(spark)
         pivots *= growth
     if known is None:
         return members.select(F.col("node").alias("a"), F.col("node").alias("b"))
