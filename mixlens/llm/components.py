@@ -32,7 +32,7 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
             linked = joined.select(F.col("v").alias("a"), F.col("m").alias("b")).union(least.select("u", "m"))
         else:
             linked = joined.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        return linked.where("a <> b").distinct()
+        return linked.where("a <> b")
 
     def mark(edges: DataFrame) -> tuple:
         spread = F.xxhash64("a", "b").cast("decimal(38,0)")
@@ -41,7 +41,7 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
     edges = written(links.select("a", "b").where("a <> b").distinct(), "links")
     before = None
     for _ in range(rounds):
-        edges = written(step(step(edges, False), True), "links")
+        edges = written(step(step(edges, False).distinct(), True).distinct(), "links")
         after = mark(edges)
         if after == before:
             break

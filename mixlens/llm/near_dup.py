@@ -396,11 +396,13 @@ def narrowed(members: DataFrame, texts: DataFrame, idf: bytes, least: float = LE
     )
 
 
-def links_of(members: DataFrame, texts: DataFrame, idf: bytes, least: float = LEAST) -> DataFrame:
+def links_of(
+    members: DataFrame, texts: DataFrame, idf: bytes, least: float = LEAST, links: DataFrame | None = None
+) -> DataFrame:
     """Links between similar nodes that share a bucket, enough of them to connect all that are connected.
 
     ``members`` has bucket and its number n of members, node and its weight
-    total; ``texts`` has node and text.
+    total; ``texts`` has node and text. What ``links`` connect isn't searched again.
     """
 
     def compare(pairs: DataFrame) -> DataFrame:
@@ -408,7 +410,7 @@ def links_of(members: DataFrame, texts: DataFrame, idf: bytes, least: float = LE
         both = first.join(texts.withColumnsRenamed({"node": "b", "text": "text_b"}), "b")
         return both.select("a", "b", "text_a", "text_b").mapInArrow(_comparing(idf), "a long, b long, far double")
 
-    return pivot_links(narrowed(members, texts, idf, least), compare, 1.0 - least + 1e-9, growth=32)
+    return pivot_links(narrowed(members, texts, idf, least), compare, 1.0 - least + 1e-9, 32, links)
 
 
 def classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
@@ -449,7 +451,7 @@ def classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
     named = members[1].join(components(by_weight), "node", "left").withColumn("root", F.coalesce("root", "node"))
     ends = named.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     left = written(members[1].join(ends.where("low < high").select("bucket"), "bucket"), "dup-buckets")
-    links = by_weight.union(links_of(left, texts, b"", least))
+    links = by_weight.union(links_of(left, texts, b"", least, by_weight))
     links = written(links.distinct(), "dup-links")
     found = components(links)
     ends = links.select(F.col("a").alias("node")).union(links.select("b"))

@@ -12,7 +12,7 @@ from mixlens.llm.components import components
 
 
 def pivot_links(
-    members: DataFrame, compare: Callable[[DataFrame], DataFrame], reach: float, growth: int = 4
+    members: DataFrame, compare: Callable[[DataFrame], DataFrame], reach: float, growth: int = 4, links: DataFrame | None = None
 ) -> DataFrame:
     """Links (a, b) that connect all members that similar pairs connect.
 
@@ -22,7 +22,8 @@ def pivot_links(
 
     Members may also have the doubles ``weight``, ``room`` and ``lean``: two of
     them can be similar only if the weight of each fits into the other's room, a
-    null fits always; those that lean least become pivots first.
+    null fits always; those that lean least become pivots first. What ``links``
+    (a, b) connect already needn't be found again; they are not given back.
 
     Every round each bucket picks pivots and compares its other members with
     them; a pivot then leaves its bucket. Pairs that can't matter are skipped:
@@ -35,56 +36,58 @@ def pivot_links(
     times as many pivots, so that rounds stay few.
     """
     spark = members.sparkSession
-    groups = spark.createDataFrame([], "node long, root long")
+    given = links.select("a", "b") if links is not None else spark.createDataFrame([], "a long, b long")
     some = [c if c in members.columns else F.lit(None).cast("double").alias(c) for c in ("weight", "room", "lean", "d0")]
-    members = written(members.select("bucket", "node", *some), "bucket-members")
-    carried = [c for c in members.columns if c != "d0"]
-    known: DataFrame | None = None
+    members = members.select("bucket", "node", *some)
+    carried = members.columns
+
+    def left(members: DataFrame, groups: DataFrame) -> DataFrame:
+        """Members of buckets with more than one group, with their root and all buckets they are left in."""
+        named = members.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        mixed = named.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        rest = named.join(mixed.where("low < high").select("bucket"), "bucket").select(*carried, "root")
+        places = rest.groupBy("node").agg(F.sort_array(F.collect_list("bucket")).alias("buckets"))
+        found = written(rest.join(places, "node"), "bucket-members")
+        release(spark)
+        return found
+
+    members = left(members, components(given))
+    known = spark.createDataFrame([], "a long, b long, far double")
     pivots = 1
     while not members.isEmpty():
-        # A pair that shares several buckets is met in the first of them only.
-        places = members.groupBy("node").agg(F.sort_array(F.collect_list("bucket")).alias("buckets"))
-        named = members.join(places, "node").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        named = written(named, "bucket-names")
-        if known is None:
-            candidates = named
-        else:
-            sizes = named.groupBy("bucket", "root").agg(F.count("*").alias("size"))
+        candidates = members
+        if pivots > 1:
+            sizes = members.groupBy("bucket", "root").agg(F.count("*").alias("size"))
             largest = sizes.groupBy("bucket").agg(F.max(F.struct("size", "root")).alias("top"))
-            candidates = named.join(largest, "bucket").where("root <> top.root")
+            candidates = members.join(largest, "bucket").where("root <> top.root")
         part = F.pmod(F.xxhash64("node"), F.lit(pivots)).alias("part")
         order = F.struct(F.coalesce("lean", F.lit(0.0)).alias("lean"), "node", "root", "d0", "weight", "room", "buckets")
         chosen = candidates.groupBy("bucket", part).agg(F.min(order).alias("p")).select("bucket", "p.*")
-        chosen = chosen.withColumnsRenamed({"node": "pivot", **{c: f"pivot_{c}" for c in ("root", "d0", "weight", "room", "buckets")}}).drop("lean")
-        chosen = written(chosen, "pivots")
-        tried = named.join(chosen, "bucket").where("node <> pivot and root <> pivot_root")
+        chosen = chosen.withColumnsRenamed({"node": "pivot", **{c: f"pivot_{c}" for c in ("root", "d0", "weight", "room", "buckets")}})
+        chosen = written(chosen.drop("lean"), "pivots")
+        tried = members.join(chosen, "bucket").where("node <> pivot and root <> pivot_root")
         near = F.abs(F.col("d0") - F.col("pivot_d0")) <= reach
-        tried = tried.where(F.col("d0").isNull() | F.col("pivot_d0").isNull() | near)
         fits = (F.col("weight") <= F.col("pivot_room")) & (F.col("pivot_weight") <= F.col("room"))
-        tried = tried.where(F.coalesce(fits, F.lit(True)))
+        tried = tried.where(F.coalesce(near, F.lit(True)) & F.coalesce(fits, F.lit(True)))
+        # A pair that shares several buckets is met in the first of them only.
         tried = tried.where(F.array_min(F.array_intersect("buckets", "pivot_buckets")) == F.col("bucket"))
         pairs = tried.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-        if known is not None:
+        if pivots > 1:
             pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
         far = written(compare(pairs).select("a", "b", "far"), "pair-distances")
-        if known is None:
+        if pivots == 1:
             # Distances to the bucket's first pivot serve all later rounds.
             first = chosen.select("bucket", F.col("pivot").alias("p0"))
-            with_first = members.drop("d0").join(first, "bucket").where("node <> p0")
-            ends = {"a": F.least("node", "p0"), "b": F.greatest("node", "p0")}
-            members = with_first.withColumns(ends).join(far, ["a", "b"], "left").select(*carried, F.col("far").alias("d0"))
+            rest = members.drop("d0").join(first, "bucket").where("node <> p0")
+            rest = rest.withColumns({"a": F.least("node", "p0"), "b": F.greatest("node", "p0")})
+            rest = rest.join(far, ["a", "b"], "left").withColumn("d0", F.col("far"))
         else:
-            gone = chosen.select("bucket", F.col("pivot").alias("node"))
-            members = members.join(gone, ["bucket", "node"], "left_anti")
-        known = far if known is None else known.unionByName(far)
-        if not far.where(F.col("far") <= reach).isEmpty():
-            groups = components(known.where(F.col("far") <= reach).select("a", "b"))
-        rest = members.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed = rest.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        members = members.join(mixed.where("low < high").select("bucket"), "bucket")
-        members = written(members.select(*carried, "d0"), "bucket-members")
-        release(spark)
+            rest = members.join(chosen.select("bucket", F.col("pivot").alias("node")), ["bucket", "node"], "left_anti")
+        known = known.unionByName(far)
+        if far.where(F.col("far") <= reach).isEmpty():
+            groups = members.select("node", "root").distinct()
+        else:
+            groups = components(given.union(known.where(F.col("far") <= reach).select("a", "b")))
+        members = left(rest.select(*carried), groups)
         pivots *= growth
-    if known is None:
-        return members.select(F.col("node").alias("a"), F.col("node").alias("b"))
     return known.where(F.col("far") <= reach).select("a", "b")
