@@ -8,7 +8,8 @@ bucket and are verified by their exact weighted similarity.
 
 In a bucket nobody meets everybody: members are compared with pivots, and the
 distance (1 - similarity) is a metric that rules out most other pairs. What a
-text of a crowded bucket shares with no other one rules out most of the rest.
+text of a crowded bucket shares with no other one rules out more of them, and
+a longer sketch of draws tells most of the rest that are not similar enough.
 
 Shingles of more than a hundredth of all documents count less, so that passages
 that very many documents share don't make those alike. In a group of near copies
@@ -19,12 +20,13 @@ in full. Either similarity makes a link.
 
 from __future__ import annotations
 
+import functools
 import math
 import sys
 from collections.abc import Callable, Iterator
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mixlens.llm.common import kept_whole, release, text_of, written
@@ -47,6 +49,10 @@ CHUNK, HELD = 1 << 11, 1 << 20
 POOL_BITS, STEPS = 15, 4
 #: Buckets of so many texts are searched only as far as what their texts share allows.
 CROWD = 8
+#: Draws in the sketches of their texts, bits kept of each, and triples (sets of them) that the draws take by turns.
+DRAWS, BITS, POOLS = 512, 2, 8
+#: Probability that sketches rule out a pair that is only just similar.
+MISS = 1e-6
 
 SIGNATURE = ["doc_id", "text_key", "bands", "full_bands", "total", "full_total"]
 
@@ -367,15 +373,84 @@ def _weighing(idf: bytes) -> Callable:
     return run
 
 
+def most_apart(least: float = LEAST, draws: int = DRAWS, bits: int = BITS, miss: float = MISS) -> int:
+    """In so many places the sketches of similar texts may differ; in more they do with probability ``miss`` at most."""
+    # A draw differs with probability 1 - similarity, and the bits kept of it may agree by chance.
+    p = (1.0 - least) * (1.0 - 0.5**bits)
+    if p <= 0.0:
+        return 0
+    tail = 0.0
+    for k in range(draws, 0, -1):
+        ways = math.lgamma(draws + 1) - math.lgamma(k + 1) - math.lgamma(draws - k + 1)
+        tail += math.exp(ways + k * math.log(p) + (draws - k) * math.log1p(-p))
+        if tail > miss:
+            return k
+    return 0
+
+
+def _sketching(idf: bytes) -> Callable:
+    """Each text's sketch: a few bits of many draws, those of equal rank together in 64-bit words."""
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        kept = np.__dict__.setdefault("_kept_draws", {})
+        name = ("sketch", POOLS, POOL_BITS, STEPS)
+        if name not in kept:
+            pools, every = [_pool(5000 + k) for k in range(POOLS)], np.arange(1 << POOL_BITS)
+            kept[name] = [(p, sampled(p, every, np.zeros(len(every)))) for p in pools]
+        draws, pick = kept[name], keys(DRAWS, 12)
+        for batch in batches:
+            for part in slices(batch, 1, 1 << 19):
+                shingles, times, ends = shingle_sets(*text_bytes(part.column(1)))
+                steps = steps_of(times, rarities(shingles, idf))
+                count = np.diff(ends)
+                has = count > 0
+                places = np.zeros((len(count), DRAWS), np.uint8)
+                own, other = mixed(shingles) >> np.uint64(32), np.flatnonzero(steps)
+                weight = steps[other].astype(np.float64)
+                for k in range(DRAWS if len(shingles) else 0):
+                    pool, ready = draws[k % POOLS]
+                    index = (shingles * pick[k] >> np.uint64(64 - POOL_BITS)).astype(np.int64)
+                    value = ready[index]
+                    if len(other):
+                        value[other] = sampled(pool, index[other], weight)
+                    found = np.minimum.reduceat(value ^ own, ends[:-1][has])
+                    places[has, k] = (mixed(found + pick[k]) >> np.uint64(64 - BITS)).astype(np.uint8)
+                planes = [np.packbits(places >> bit & 1, axis=1) for bit in range(BITS)]
+                words = np.concatenate(planes, axis=1).view(np.int64)
+                at = np.arange(len(count) + 1, dtype=np.int32) * words.shape[1]
+                sketch = pa.ListArray.from_arrays(at, pa.array(words.ravel()))
+                yield pa.RecordBatch.from_arrays([part.column(0), sketch], names=["node", "sketch"])
+
+    return run
+
+
+def unlike(least: float = LEAST) -> Callable[[Column, Column], Column]:
+    """Whether two sketches differ in more places than those of similar texts."""
+    words, most = DRAWS // 64, most_apart(least)
+
+    def told(one: Column, other: Column) -> Column:
+        differ = F.lit(0)
+        for w in range(words):
+            places = [one[w + words * bit].bitwiseXOR(other[w + words * bit]) for bit in range(BITS)]
+            differ = differ + F.bit_count(functools.reduce(Column.bitwiseOR, places))
+        return differ > most
+
+    return told
+
+
 def narrowed(members: DataFrame, texts: DataFrame, idf: bytes, least: float = LEAST) -> DataFrame:
-    """Members with weight, room and lean as ``pivot_links`` has them, without those that nothing in their bucket can resemble.
+    """Members with what ``pivot_links`` tells them apart by, without those that nothing in their bucket can resemble.
 
     What only one text of all crowded buckets holds can't be shared. Similar
     texts share ``least`` / (1 + ``least``) of both weights together; so what a
     text doesn't have alone limits the weight of the texts it may resemble, and
     if it has more than 1 - ``least`` alone, there are none. This tells apart the
     members of a large group of near copies that differ too much, each of
-    which would have to be compared with all others.
+    which would have to be compared with all others. Those that lack words
+    rather than have others hold little alone; they get a sketch.
     """
     crowded = written(members.where(F.col("n") >= CROWD).select("node").distinct(), "crowded-nodes")
     shingles = texts.join(crowded, "node").select("node", "text").mapInArrow(_weighing(idf), "node long, shingle long, weight double")
@@ -387,12 +462,15 @@ def narrowed(members: DataFrame, texts: DataFrame, idf: bytes, least: float = LE
     slack = F.col("total") * 1e-9
     possible = known.where((F.col("n") < CROWD) | (shared >= least * F.col("total") - slack))
     in_crowd = F.col("n") >= CROWD
-    return possible.select(
+    some = texts.join(possible.where(in_crowd).select("node").distinct(), "node").select("node", "text")
+    sketches = written(some.mapInArrow(_sketching(idf), "node long, sketch array<long>"), "text-sketches")
+    return possible.join(sketches, "node", "left").select(
         "bucket",
         "node",
         F.when(in_crowd, F.col("total")).alias("weight"),
         F.when(in_crowd, shared * (1 + least) / least - F.col("total") + 4 * slack).alias("room"),
         F.when(in_crowd, F.col("own") / F.col("total")).alias("lean"),
+        "sketch",
     )
 
 
@@ -410,7 +488,7 @@ def links_of(
         both = first.join(texts.withColumnsRenamed({"node": "b", "text": "text_b"}), "b")
         return both.select("a", "b", "text_a", "text_b").mapInArrow(_comparing(idf), "a long, b long, far double")
 
-    return pivot_links(narrowed(members, texts, idf, least), compare, 1.0 - least + 1e-9, 32, links)
+    return pivot_links(narrowed(members, texts, idf, least), compare, 1.0 - least + 1e-9, 32, links, unlike(least))
 
 
 def classes(docs: DataFrame, least: float = LEAST) -> DataFrame:

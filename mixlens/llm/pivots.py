@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mixlens.llm.common import release, written
@@ -12,7 +12,12 @@ from mixlens.llm.components import components
 
 
 def pivot_links(
-    members: DataFrame, compare: Callable[[DataFrame], DataFrame], reach: float, growth: int = 4, links: DataFrame | None = None
+    members: DataFrame,
+    compare: Callable[[DataFrame], DataFrame],
+    reach: float,
+    growth: int = 4,
+    links: DataFrame | None = None,
+    unlike: Callable[[Column, Column], Column] | None = None,
 ) -> DataFrame:
     """Links (a, b) that connect all members that similar pairs connect.
 
@@ -22,8 +27,10 @@ def pivot_links(
 
     Members may also have the doubles ``weight``, ``room`` and ``lean``: two of
     them can be similar only if the weight of each fits into the other's room, a
-    null fits always; those that lean least become pivots first. What ``links``
-    (a, b) connect already needn't be found again; they are not given back.
+    null fits always; those that lean least become pivots first. A column
+    ``sketch`` goes with ``unlike``, which tells from two sketches that their
+    members aren't similar; a null leaves it open. What ``links`` (a, b) connect
+    already needn't be found again; they are not given back.
 
     Every round each bucket picks pivots and compares its other members with
     them; a pivot then leaves its bucket. Pairs that can't matter are skipped:
@@ -38,8 +45,10 @@ def pivot_links(
     spark = members.sparkSession
     given = links.select("a", "b") if links is not None else spark.createDataFrame([], "a long, b long")
     some = [c if c in members.columns else F.lit(None).cast("double").alias(c) for c in ("weight", "room", "lean", "d0")]
+    some += ["sketch"] if unlike else []
     members = members.select("bucket", "node", *some)
     carried = members.columns
+    told_by = [c for c in ("root", "d0", "weight", "room", "buckets", "sketch") if c in (*carried, "root", "buckets")]
 
     def left(members: DataFrame, groups: DataFrame) -> DataFrame:
         """Members of buckets with more than one group, with their root and all buckets they are left in."""
@@ -61,14 +70,16 @@ def pivot_links(
             largest = sizes.groupBy("bucket").agg(F.max(F.struct("size", "root")).alias("top"))
             candidates = members.join(largest, "bucket").where("root <> top.root")
         part = F.pmod(F.xxhash64("node"), F.lit(pivots)).alias("part")
-        order = F.struct(F.coalesce("lean", F.lit(0.0)).alias("lean"), "node", "root", "d0", "weight", "room", "buckets")
+        order = F.struct(F.coalesce("lean", F.lit(0.0)).alias("lean"), "node", *told_by)
         chosen = candidates.groupBy("bucket", part).agg(F.min(order).alias("p")).select("bucket", "p.*")
-        chosen = chosen.withColumnsRenamed({"node": "pivot", **{c: f"pivot_{c}" for c in ("root", "d0", "weight", "room", "buckets")}})
+        chosen = chosen.withColumnsRenamed({"node": "pivot", **{c: f"pivot_{c}" for c in told_by}})
         chosen = written(chosen.drop("lean"), "pivots")
         tried = members.join(chosen, "bucket").where("node <> pivot and root <> pivot_root")
         near = F.abs(F.col("d0") - F.col("pivot_d0")) <= reach
         fits = (F.col("weight") <= F.col("pivot_room")) & (F.col("pivot_weight") <= F.col("room"))
         tried = tried.where(F.coalesce(near, F.lit(True)) & F.coalesce(fits, F.lit(True)))
+        if unlike:
+            tried = tried.where(~F.coalesce(unlike(F.col("sketch"), F.col("pivot_sketch")), F.lit(False)))
         # A pair that shares several buckets is met in the first of them only.
         tried = tried.where(F.array_min(F.array_intersect("buckets", "pivot_buckets")) == F.col("bucket"))
         pairs = tried.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()

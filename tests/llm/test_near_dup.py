@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from names import CLASHING
+from pyspark.sql import functions as F
 
 from mixlens.llm import near_dup
 from mixlens.llm.components import components
@@ -134,6 +135,41 @@ def test_draws_agree_as_often_as_sets_are_similar():
     assert equal / 600 == pytest.approx(similarity, abs=0.07)
 
 
+def test_sketches_part_pairs_by_their_similarity(spark):
+    """They differ as often as the draws' law says: similar pairs pass, those far below the limit don't."""
+    rows, similarity = [], []
+    for i, replaced in enumerate([0, 1, 5, 12, 13, 40, 60] * 40):
+        words = [f"q{i}w{k}" for k in range(120)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[: 120 - replaced] + [f"z{i}w{k}" for k in range(replaced)]))]
+        similarity.append((116 - replaced) / (116 + replaced))
+    texts = spark.createDataFrame(rows, "node long, text string")
+    sketches = texts.mapInArrow(near_dup._sketching(b""), "node long, sketch array<long>")
+    pairs = sketches.where("node % 2 = 0").selectExpr("node div 2 as i", "sketch as one")
+    pairs = pairs.join(sketches.where("node % 2 = 1").selectExpr("node div 2 as i", "sketch as other"), "i")
+    told = {r.i: r.told for r in pairs.select("i", near_dup.unlike()(F.col("one"), F.col("other")).alias("told")).collect()}
+    assert len(told) == 280
+    for i, s in enumerate(similarity):
+        assert not told[i] if s >= 0.8 else told[i] or s > 0.55
+    assert near_dup.most_apart(1.0) == 0 and near_dup.most_apart(0.8) == 118
+
+
+def test_sketches_follow_weights(spark):
+    """Common shingles weigh less in the draws as well: texts whose rare words agree pass, in full they don't."""
+    common, own = [f"c{k}" for k in range(130)], [f"o{k}" for k in range(64)]
+    other = [f"d{k}" for k in range(130)]
+    both = [(0, " ".join(own + common)), (1, " ".join(own + other))]
+    data = [np.frombuffer(" ".join(x).encode(), np.uint8) for x in (common, other)]
+    shingles = np.unique(np.concatenate([near_dup.shingle_sets(d, np.array([0, len(d)]))[0] for d in data]))
+    idf = shingles.tobytes() + np.full(len(shingles), math.log2(0.02), np.float32).tobytes()
+    texts = spark.createDataFrame(both, "node long, text string")
+    told = []
+    for weights in (idf, b""):
+        rows = texts.mapInArrow(near_dup._sketching(weights), "node long, sketch array<long>").orderBy("node").collect()
+        pair = spark.createDataFrame([(rows[0].sketch, rows[1].sketch)], "one array<long>, other array<long>")
+        told.append(pair.select(near_dup.unlike()(F.col("one"), F.col("other"))).first()[0])
+    assert told == [False, True]
+
+
 def test_one_of_each(documents):
     docs = corpus(2, 120)
     want = sorted(set(brute(docs).values()))
