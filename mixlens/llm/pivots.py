@@ -60,7 +60,8 @@ def pivot_links(
         release(spark)
         return found
 
-    members = left(members, components(given))
+    groups = components(given)
+    members = left(members, groups)
     known = spark.createDataFrame([], "a long, b long, far double")
     pivots = 1
     while not members.isEmpty():
@@ -95,10 +96,10 @@ def pivot_links(
         else:
             rest = members.join(chosen.select("bucket", F.col("pivot").alias("node")), ["bucket", "node"], "left_anti")
         known = known.unionByName(far)
-        if far.where(F.col("far") <= reach).isEmpty():
-            groups = members.select("node", "root").distinct()
-        else:
-            groups = components(given.union(known.where(F.col("far") <= reach).select("a", "b")))
+        found = far.where(F.col("far") <= reach).select("a", "b")
+        if not found.isEmpty():
+            # The groups so far, as stars, say the same as all links before.
+            groups = components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found))
         members = left(rest.select(*carried), groups)
         pivots *= growth
     return known.where(F.col("far") <= reach).select("a", "b")
