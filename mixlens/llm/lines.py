@@ -6,14 +6,23 @@ indexed by their segments, with length and number of the segment, and probe the
 index of their own and slightly smaller lengths with the substrings that can
 meet each segment. What shares a key is verified by the edit distance in a band
 around the diagonal. Everything here is Spark's own functions.
+
+Lines of one template share most segments and yet may be many edits apart. An
+edit changes a few pairs of neighbouring code points only; so one bit for each
+class of pairs, whether the line has an odd number of them, tells most lines
+that are too far apart without comparing them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import functools
+import operator
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mixlens.llm.common import release, text_of, written
+from mixlens.llm.common import let, release, text_of, written
 from mixlens.llm.components import components
 from mixlens.llm.pivots import pivot_links
 
@@ -21,6 +30,8 @@ from mixlens.llm.pivots import pivot_links
 EDITS, LEAST_CHARS = 2, 20
 #: Up to so many ids are broadcast to pick the texts of candidates (8 bytes each); beyond, Spark joins as it sees fit.
 BROADCAST = 2_000_000
+#: 64-bit words of a line's sketch, and how many times as many pivots each round takes.
+WORDS, GROWTH = 4, 16
 
 
 def probes(edits: int) -> list[tuple[int, int, int]]:
@@ -71,6 +82,42 @@ def distinct_lines(docs: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame
     )
 
 
+def sketch(line: Column, words: int = WORDS) -> Column:
+    """64 * ``words`` bits: for each class of neighbouring code points, by hash, whether the line has an odd number of them."""
+    places = F.when(F.length(line) > 1, F.sequence(F.lit(0), F.length(line) - 2)).otherwise(F.array().cast("array<int>"))
+
+    def bits(hashes: Column) -> Column:
+        def word(w: int) -> Column:
+            def flip(have: Column, h: Column) -> Column:
+                own = F.pmod(F.shiftrightunsigned(h, 6), F.lit(words)) == w
+                # Only the last six bits of a hash shift.
+                bit = F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(63).cast("int"))
+                return F.when(own, have.bitwiseXOR(bit)).otherwise(have)
+
+            return F.aggregate(hashes, F.lit(0).cast("long"), flip)
+
+        return F.array(*[word(w) for w in range(words)])
+
+    def hashed(wide: Column) -> Column:
+        return let(F.transform(places, lambda i: F.xxhash64(F.substring(wide, i * 4 + 1, F.lit(8)))), bits)
+
+    return let(F.encode(line, "UTF-32"), hashed)
+
+
+def unlike(edits: int, words: int = WORDS) -> Callable[[Column, Column], Column]:
+    """Whether two sketches differ in more bits than ``edits`` can change.
+
+    Whatever the edit, at most two pairs of code points go and two come, so it
+    changes four bits at most. No two lines within ``edits`` are told apart.
+    """
+
+    def told(one: Column, other: Column) -> Column:
+        differ = [F.bit_count(one[w].bitwiseXOR(other[w])) for w in range(words)]
+        return functools.reduce(operator.add, differ) > 4 * edits
+
+    return told
+
+
 def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     """Links (a, b) between lines within ``edits``, enough to connect all that are connected."""
     marked = keys(lines, edits)
@@ -89,7 +136,9 @@ def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
         far = F.levenshtein("line_a", "line_b", 2 * edits)
         return both.select("a", "b", F.when(far < 0, 2 * edits + 1).otherwise(far).cast("double").alias("far"))
 
-    return written(pivot_links(members, compare, float(edits)), "line-links")
+    sketches = written(texts.select("node", sketch(F.col("line")).alias("sketch")), "line-sketches")
+    links = pivot_links(members.join(sketches, "node"), compare, float(edits), GROWTH, None, unlike(edits))
+    return written(links, "line-links")
 
 
 def remove_near_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS, short_equal: bool = False) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 
 import pytest
 from names import CLASHING
+from pyspark.sql import functions as F
 from test_near_dup import Groups
 
 from mixlens.llm import lines
@@ -88,6 +89,56 @@ def test_edges(documents):
     assert [r[2] for r in result(documents(twice))] == [1, 1]
 
 
+@pytest.mark.parametrize("edits", [0, 1, 2, 4])
+def test_sketches_never_part_similar_lines(spark, edits):
+    """Few edits leave few bits changed, for any code points and lengths; many edits are told nearly always."""
+    rng = random.Random(edits)
+    letters = "abcdef é😀中"
+    pairs = []
+    for length in [0, 1, 2, 3, *[rng.randrange(4, 110) for _ in range(120)]]:
+        for most in (edits, 60):
+            b = a = [rng.choice(letters) for _ in range(length)]
+            for _ in range(most):
+                at = rng.randrange(len(b) + 1)
+                b = b[:at] + rng.choice([[], [rng.choice(letters)], [rng.choice(letters)] + b[at : at + 1]]) + b[at + 1 :]
+            pairs.append(("".join(a), "".join(b), most == edits))
+    frame = spark.createDataFrame(pairs, "a string, b string, near boolean")
+    told = lines.unlike(edits)(lines.sketch(F.col("a")), lines.sketch(F.col("b")))
+    got = frame.select("a", "b", "near", told.alias("apart")).collect()
+    assert not any(r.apart for r in got if r.near)
+    exact = [distance(r.a, r.b, 25) for r in got]
+    assert not any(r.apart for r, far in zip(got, exact) if far <= edits)
+    told = [r.apart for r, far in zip(got, exact) if far > 4 * edits + 8]
+    assert len(told) > 20 and sum(told) > 0.9 * len(told)
+
+
+def test_a_template_with_many_fillings_needs_few_comparisons(spark, documents, monkeypatch):
+    """Lines that share most segments but differ by a word each are told apart without the edit distance."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(9)) for _ in range(150)]
+    base = [" ".join(rng.choice(words) for _ in range(30)) for _ in range(3)]
+    docs = []
+    for d in range(240):
+        text = base[d % 3].split(" ")
+        text[rng.randrange(30)] = "".join(rng.choice("qrstuvwxyz") for _ in range(9))
+        docs.append((d, " ".join(text)))
+    docs.append((900, docs[0][1][:40] + "Q" + docs[0][1][41:]))
+    compared = []
+    searched = lines.pivot_links
+
+    def counted(members, compare, *args):
+        def also(pairs):
+            compared.append(pairs.count())
+            return compare(pairs)
+
+        return searched(members, also, *args)
+
+    monkeypatch.setattr(lines, "pivot_links", counted)
+    # A word of other letters takes more edits than are allowed, so only the last line has a near one.
+    assert result(documents(docs)) == sorted([*((d, 1, 0, t) for d, t in docs[:-1]), (900, 1, 1, "")], key=str)
+    assert sum(compared) < 1000
+
+
 def test_short_lines_go_only_if_equal(spark, documents, tmp_path):
     """The query removes short boilerplate that an earlier line equals; empty and merely similar lines stay."""
     long = "a line of text that is long enough for edits"
