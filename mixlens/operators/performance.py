@@ -225,6 +225,10 @@ def daily_trend(
     daily = _sums(
         fact_ads, [*keys, "date_id"], {"spend": "spend", "sales_7d": "sales", "orders_7d": "orders"}
     )
+    if by:
+        # Ranges of series serve the windows and the order of the result; sorting windows by ranges of their
+        # own would compute them a second time, for Spark's sample of the ranges.
+        daily = daily.repartitionByRange(by)
     ordered = Window.partitionBy(*keys).orderBy("date_id")
     frame = ordered.rowsBetween(-(window - 1), 0)
     rolling_spend = F.sum("spend").over(frame)

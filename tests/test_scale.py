@@ -152,6 +152,14 @@ def test_ranked_terms_are_limited_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan(perf.harvestable_terms(terms, campaigns))
 
 
+def test_windows_of_a_trend_are_computed_once(spark, small):
+    text = plan(QUERIES["q5_daily_trend_by_campaign"](spark, small))
+    # What is above an exchange by range is not computed for the sample of its ranges.
+    assert text.count("rangepartitioning") == 1 and text.index("Window") < text.index("rangepartitioning")
+    rows = [(r["campaign_id"], r["date_id"]) for r in QUERIES["q5_daily_trend_by_campaign"](spark, small).collect()]
+    assert rows == sorted(rows) and len(rows) > 100
+
+
 def test_sums_are_combined_before_the_shuffle_and_before_the_join(spark):
     fact = facts.fact_ads_by_id(hot_ads(spark), hot_bulk(spark))
     text = plan(perf.campaign_roas_tacos(
