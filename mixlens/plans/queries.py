@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -150,8 +151,8 @@ def k2_q1_from_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
         "search_terms": t.raw_terms(spark, sf_dir),
         "business_report": t.raw_business(spark, sf_dir),
     }
-    for name, df in raw.items():
-        wh.write_report(df, f"{landing}/{rep.SOURCES[name]}", "parquet")
+    landed = {name: f"{landing}/{rep.SOURCES[name]}" for name in raw}
+    wh.at_once(spark, [partial(wh.write_report, df, landed[name], "parquet") for name, df in raw.items()])
     tables = runs.build_warehouse(spark, landing, warehouse, fmt="parquet", partitions={})
     return _decimals_as_doubles(runs.standing_questions(tables)["campaign_roas_tacos"])
 

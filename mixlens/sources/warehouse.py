@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from functools import reduce
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +28,18 @@ PARTITIONS = {"fact_ads_daily": "date_id", "fact_search_term": "date_id"}
 SCHEMA_FOLDER = "_columns"
 
 
+def at_once(spark: SparkSession, steps: Sequence[Callable[[], object]]) -> None:
+    """Run steps that don't need each other at the same time: the last tasks of one leave no core idle.
+
+    The first error is raised when all steps have ended.
+    """
+    inherited = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max(1, len(steps))) as pool:
+        running = [pool.submit(inherited(step)) for step in steps]
+    for step in running:
+        step.result()
+
+
 def write_report(df: DataFrame, path: str, fmt: str = "csv") -> None:
     """Write an anonymised report, replacing what is there."""
     writer = df.write.mode("overwrite")
@@ -58,14 +72,18 @@ def load_warehouse(
     unknown = set(tables) - set(WAREHOUSE_TABLES)
     if unknown:
         raise ValueError(f"not warehouse tables: {sorted(unknown)}")
-    paths = {}
-    for name, df in tables.items():
-        paths[name] = f"{path.rstrip('/')}/{name}"
-        partition = partitions.get(name)
+    paths = {name: f"{path.rstrip('/')}/{name}" for name in tables}
+
+    def write(name: str) -> None:
+        df, partition = tables[name], partitions.get(name)
         if partition:
             _by_partition(df, partition).write.mode("overwrite").partitionBy(partition).parquet(paths[name])
         else:
             df.write.mode("overwrite").parquet(paths[name])
+
+    if tables:
+        spark = next(iter(tables.values())).sparkSession
+        at_once(spark, [partial(write, name) for name in tables])
     return paths
 
 

@@ -176,3 +176,30 @@ def test_refresh_with_another_type(spark, tmp_path):
     assert rows(got.select("date_id", "sales", "more"), "date_id") == want
     again = wh.refresh_incremental(dated[1], path, "2025-01-10")
     assert rows(again.select("date_id", "sales", "more"), "date_id") == want
+
+
+def test_warehouse_tables_are_written_at_once(spark):
+    import threading
+
+    both = threading.Barrier(2, timeout=20)
+
+    class Waiting:
+        """A table whose write ends only while another one is being written."""
+
+        sparkSession = spark
+
+        @property
+        def write(self):
+            return self
+
+        def mode(self, _mode):
+            return self
+
+        def parquet(self, path):
+            both.wait()
+            if path.endswith("dim_product"):
+                raise ValueError(path)
+
+    wh.load_warehouse({"dim_date": Waiting(), "dim_campaign": Waiting()}, "w", partitions={})
+    with pytest.raises(ValueError, match="w/dim_product"):
+        wh.load_warehouse({"dim_date": Waiting(), "dim_product": Waiting()}, "w", partitions={})
