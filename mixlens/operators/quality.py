@@ -98,11 +98,23 @@ def _orphans(child: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
     return values.join(known, "value", "left_anti").agg(F.sum("count").alias("failing_rows"))
 
 
+def columns_read(checks: Iterable[Check | list[Check]]) -> dict[str, list[str]]:
+    """The columns of each table that the checks look at, parents' columns included."""
+    found: dict[str, dict[str, None]] = {}
+    for check in _flat(checks):
+        found.setdefault(check.table, {}).update(dict.fromkeys(check.columns))
+        if check.parent:
+            found.setdefault(check.parent[0], {})[check.parent[1]] = None
+    return {table: list(columns) for table, columns in found.items()}
+
+
+def _flat(checks: Iterable[Check | list[Check]]) -> list[Check]:
+    return [one for c in checks for one in (c if isinstance(c, list) else [c])]
+
+
 def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check | list[Check]]) -> DataFrame:
     """One row per check: check, table, columns, severity, failing_rows."""
-    flat: list[Check] = []
-    for c in checks:
-        flat.extend(c if isinstance(c, list) else [c])
+    flat = _flat(checks)
     results = []
     for table in dict.fromkeys(c.table for c in flat if c.kind == "not_null"):
         own = [c for c in flat if c.kind == "not_null" and c.table == table]

@@ -45,6 +45,11 @@ def test_every_kind(tables):
         q.assert_checks(result)
 
 
+def test_columns_read_by_checks():
+    checks = [*q.not_null("child", "id", "kind"), q.relationship("child", "parent_id", "parent", "pid"), q.unique("child", "id")]
+    assert q.columns_read([checks[:2], *checks[2:]]) == {"child": ["id", "kind", "parent_id"], "parent": ["pid"]}
+
+
 def test_warnings_do_not_raise(tables):
     result = q.run_checks(tables, [q.unique("parent", "pid", severity="warn"), q.not_null("child", "parent_id", severity="warn")])
     assert rows(q.assert_checks(result).select("check"), "check") == [("not_null_child_parent_id",), ("unique_parent_pid",)]

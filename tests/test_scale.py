@@ -193,6 +193,13 @@ def test_each_report_is_scanned_once(spark, small):
     assert plan(QUERIES["t1_t4_mart_checks"](spark, small)).count("lineitem.parquet") == 0
 
 
+def test_marts_of_several_checks_are_made_once_and_hold_what_checks_read(spark, small):
+    text = plan(QUERIES["t1_t4_mart_checks"](spark, small))
+    assert "sum(spend" not in text
+    for path in set(re.findall(r"file:[^\],]*mixlens-fact_search_term-[0-9a-f]+", text)):
+        assert spark.read.parquet(path).columns == ["date_id", "campaign_name", "customer_search_term"]
+
+
 def test_executors_do_not_need_the_package(small, tmp_path):
     """A driver that only extends its own path, in another folder: workers cannot import the package."""
     import os
