@@ -69,8 +69,16 @@ def _counting(stems: tuple[int, ...]) -> Callable:
     return run
 
 
-def _scoring(scores: dict[str, float], cost: float, stems: tuple[int, ...] = STEMS) -> Callable:
-    """Adds to each batch the number of words, all maximal-scoring segments (first and last word, score) and single scores."""
+#: So many different words' scores are remembered by a task before it starts anew.
+REMEMBERED = 200_000
+
+
+def _scoring(scores: dict[str, float], cost: float, stems: tuple[int, ...] = STEMS, single: bool = True) -> Callable:
+    """Adds to each batch the number of words, all maximal-scoring segments (first and last word, score) and single scores.
+
+    A word's score is looked up once per task, so that the time hardly depends on how many words score.
+    Without ``single`` the single scores are left out.
+    """
 
     def run(batches: Iterator) -> Iterator:
         import re
@@ -89,6 +97,15 @@ def _scoring(scores: dict[str, float], cost: float, stems: tuple[int, ...] = STE
                     return scores[word[:k] + "*"]
             return 0.0
 
+        class Known(dict):
+            """Words and their scores, null for words that begin like no known one."""
+
+            def __missing__(self, word: str) -> float | None:
+                self[word] = score = value(word) if word[:least] in begin else None
+                return score
+
+        known = Known()
+
         def maximal(hits: list[tuple[int, float]]) -> list[tuple[int, int, float]]:
             # Candidates with the sums before and after them; each new one is merged to the left while that gains.
             found: list[tuple[int, int, float, float]] = []
@@ -110,23 +127,38 @@ def _scoring(scores: dict[str, float], cost: float, stems: tuple[int, ...] = STE
                 found.append((first, i, left, right))
             return [(a, b, r - l) for a, b, l, r in found]
 
-        segment = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("score", pa.float64())]))
+        def lists(ends: list[int], values: pa.Array) -> pa.Array:
+            return pa.ListArray.from_arrays(pa.array([0, *ends], pa.int32()), values)
+
         for batch in batches:
-            n, segments, values = [], [], []
+            n, ends, firsts, lasts, gains, single_ends, values = [], [], [], [], [], [], []
             for text in batch.column(batch.num_columns - 1).to_pylist():
                 tokens = words(text.lower())
                 n.append(len(tokens))
-                hits = [(i, value(w)) for i, w in enumerate(tokens) if w[:least] in begin]
-                values.append([s for _, s in hits])
-                segments.append([{"first": a, "last": b, "score": s} for a, b, s in maximal(hits)])
+                hits = [(i, s) for i, s in enumerate(map(known.__getitem__, tokens)) if s is not None]
+                if single:
+                    values += [s for _, s in hits]
+                    single_ends.append(len(values))
+                for first, last, gain in maximal(hits):
+                    firsts.append(first)
+                    lasts.append(last)
+                    gains.append(gain)
+                ends.append(len(firsts))
+                if len(known) > REMEMBERED:
+                    known.clear()
+            fields = [pa.array(firsts, pa.int32()), pa.array(lasts, pa.int32()), pa.array(gains, pa.float64())]
+            segments = pa.StructArray.from_arrays(fields, names=["first", "last", "score"])
             columns = [batch.column(i) for i in range(batch.num_columns - 1)]
-            columns += [pa.array(n, pa.int64()), pa.array(segments, segment), pa.array(values, pa.list_(pa.float64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "n", "segments", "hits"])
+            columns += [pa.array(n, pa.int64()), lists(ends, segments)]
+            if single:
+                columns.append(lists(single_ends, pa.array(values, pa.float64())))
+            names = [*batch.schema.names[:-1], "n", "segments", *(["hits"] if single else [])]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
 
-SEGMENTS = "n long, segments array<struct<first: int, last: int, score: double>>, hits array<double>"
+SEGMENTS = "n long, segments array<struct<first: int, last: int, score: double>>"
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFrame:
@@ -226,7 +258,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
     rows = written(training_rows(docs, labels, most), "toxic-training")
     scores = word_scores(rows.where("half = 0"))
     second = rows.where("half = 1").select("toxic", "text")
-    found = written(second.mapInArrow(_scoring(scores, COST), f"toxic int, {SEGMENTS}"), "toxic-segments")
+    found = written(second.mapInArrow(_scoring(scores, COST), f"toxic int, {SEGMENTS}, hits array<double>"), "toxic-segments")
     rate = decay_rate(found.where("toxic = 0"))
     top = F.coalesce(F.array_max(F.transform("segments", lambda s: s["score"])), F.lit(0.0))
     clean = found.where("toxic = 0").agg(
@@ -248,7 +280,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """
     texts = docs.select("doc_id", text_of().alias("text"))
     kind = texts.schema["doc_id"].dataType.simpleString()
-    found = texts.mapInArrow(_scoring(model.scores, COST), f"doc_id {kind}, {SEGMENTS}")
+    found = texts.mapInArrow(_scoring(model.scores, COST, single=False), f"doc_id {kind}, {SEGMENTS}")
     given = found.withColumn("evidence", evidence(model.rate, model.scale))
     odds = model.intercept + model.slope * F.least(F.lit(ENOUGH), F.col("evidence"))
-    return given.withColumn("score", 1 / (1 + F.exp(-odds))).drop("hits")
+    return given.withColumn("score", 1 / (1 + F.exp(-odds)))

@@ -93,3 +93,22 @@ def test_edges(spark, documents):
     odd = spark.createDataFrame([(1, None), (None, 1), (2, 1), (2, 1), (2, 0), (9, 1)], schema)
     got = toxicity.score(docs, toxicity.fit(docs, odd)).collect()
     assert len(got) == 4 and all(0 <= r.score <= 1 for r in got)
+
+
+def test_words_are_looked_up_once_and_single_scores_left_out():
+    class Counting(dict):
+        asked = 0
+
+        def __contains__(self, word):
+            Counting.asked += 1
+            return super().__contains__(word)
+
+    table = Counting({"vile": 2.0, "good": -1.5, "vilif*": 1.25, "goodly": 0.0})
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices(["vile", "good", "vilified", "goodly", "goodness", "plain"], k=400)) for _ in range(20)] + [""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    (short,) = toxicity._scoring(table, 0.1, single=False)(iter([batch]))
+    assert Counting.asked < 50 and short.schema.names == ["doc_id", "n", "segments"]
+    (long,) = toxicity._scoring(table, 0.1)(iter([batch]))
+    assert short.column(1).to_pylist() == long.column(1).to_pylist() and long.schema.names[-1] == "hits"
+    assert short.column(2).to_pylist() == long.column(2).to_pylist() and short.column(2)[0].as_py()
