@@ -14,6 +14,8 @@ from mixlens.session import scratch_path
 #: ASCII white space; everything else belongs to a word.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
+#: Up to so many small rows (ids, sketches; no texts) are one task's share; more are dealt out.
+SHARE = 50_000
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +53,20 @@ def written(df: DataFrame, name: str, *folders: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shared_out(df: DataFrame, rows: int) -> DataFrame:
+    """The frame, in one partition if its rows are no more than one task's share.
+
+    Spark then groups and joins it without dealing it out to all shuffle
+    partitions, which takes longer and more files than the work itself.
+    """
+    return df.coalesce(1) if rows <= SHARE else df
+
+
+def looked_up(df: DataFrame, rows: int) -> DataFrame:
+    """The frame as the side of a join that is looked up: broadcast if its rows are no more than one task's share."""
+    return F.broadcast(df) if rows <= SHARE else df
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark delete the shuffle files of finished steps now; it does so when its driver collects garbage.
 

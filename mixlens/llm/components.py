@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mixlens.llm.common import written
+from mixlens.llm.common import shared_out, written
 
 
 def components(links: DataFrame, rounds: int = 50) -> DataFrame:
@@ -17,7 +17,8 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
     its smaller neighbours are. Both keep the components, and the graph ends as
     stars around the least nodes after a few rounds. A hub shows up in as many
     rows as it has links; minima are taken by combining aggregates and the join
-    can be split, so no task holds all links of a hub.
+    can be split, so no task holds all links of a hub. Links that are no more
+    than one task's share, at the start or later, are not dealt out any more.
     """
 
     def step(edges: DataFrame, smaller: bool) -> DataFrame:
@@ -38,15 +39,17 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
         spread = F.xxhash64("a", "b").cast("decimal(38,0)")
         return tuple(edges.agg(F.count("*"), F.sum(spread)).first())
 
-    edges = written(links.select("a", "b").where("a <> b").distinct(), "links")
-    before = None
+    edges = written(links.select("a", "b").where("a <> b"), "links")
+    before = mark(edges)
+    edges = shared_out(edges, before[0])
     for _ in range(rounds):
         edges = written(step(step(edges, False).distinct(), True).distinct(), "links")
         after = mark(edges)
+        edges = shared_out(edges, after[0])
         if after == before:
             break
         before = after
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return nodes.union(edges.select("b", "b").distinct())
+    return shared_out(nodes.union(edges.select("b", "b").distinct()), after[0])

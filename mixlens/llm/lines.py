@@ -137,7 +137,7 @@ def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
         return both.select("a", "b", F.when(far < 0, 2 * edits + 1).otherwise(far).cast("double").alias("far"))
 
     sketches = written(texts.select("node", sketch(F.col("line")).alias("sketch")), "line-sketches")
-    links = pivot_links(members.join(sketches, "node"), compare, float(edits), GROWTH, None, unlike(edits))
+    links = pivot_links(members.join(sketches, "node"), compare, float(edits), GROWTH, None, unlike(edits), members.count())
     return written(links, "line-links")
 
 

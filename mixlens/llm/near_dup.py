@@ -488,7 +488,8 @@ def links_of(
         both = first.join(texts.withColumnsRenamed({"node": "b", "text": "text_b"}), "b")
         return both.select("a", "b", "text_a", "text_b").mapInArrow(_comparing(idf), "a long, b long, far double")
 
-    return pivot_links(narrowed(members, texts, idf, least), compare, 1.0 - least + 1e-9, 32, links, unlike(least))
+    narrow = narrowed(members, texts, idf, least)
+    return pivot_links(narrow, compare, 1.0 - least + 1e-9, 32, links, unlike(least), members.count())
 
 
 def classes(docs: DataFrame, least: float = LEAST) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mixlens.llm.common import release, written
+from mixlens.llm.common import SHARE, looked_up, release, shared_out, written
 from mixlens.llm.components import components
 
 
@@ -18,6 +18,7 @@ def pivot_links(
     growth: int = 4,
     links: DataFrame | None = None,
     unlike: Callable[[Column, Column], Column] | None = None,
+    rows: int = SHARE + 1,
 ) -> DataFrame:
     """Links (a, b) that connect all members that similar pairs connect.
 
@@ -32,6 +33,8 @@ def pivot_links(
     members aren't similar; a null leaves it open. What ``links`` (a, b) connect
     already needn't be found again; they are not given back.
 
+    ``rows``: there are no more members than that, if it is known.
+
     Every round each bucket picks pivots and compares its other members with
     them; a pivot then leaves its bucket. Pairs that can't matter are skipped:
     members that links connect already, and members whose distances to the
@@ -40,42 +43,48 @@ def pivot_links(
     the bucket's largest group, and a bucket of one group is done. A group of
     copies thus costs a few comparisons a member. Members that nothing tells
     apart and nothing connects have to be compared; each round takes ``growth``
-    times as many pivots, so that rounds stay few.
+    times as many pivots, so that rounds stay few. Members that are no more than
+    one task's share are grouped by one task; their pivots are then broadcast,
+    and the comparisons always spread over tasks.
     """
     spark = members.sparkSession
-    given = links.select("a", "b") if links is not None else spark.createDataFrame([], "a long, b long")
     some = [c if c in members.columns else F.lit(None).cast("double").alias(c) for c in ("weight", "room", "lean", "d0")]
     some += ["sketch"] if unlike else []
     members = members.select("bucket", "node", *some)
     carried = members.columns
     told_by = [c for c in ("root", "d0", "weight", "room", "buckets", "sketch") if c in (*carried, "root", "buckets")]
 
-    def left(members: DataFrame, groups: DataFrame) -> DataFrame:
-        """Members of buckets with more than one group, with their root and all buckets they are left in."""
-        named = members.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    def left(members: DataFrame, groups: DataFrame, rows: int) -> tuple[DataFrame, int]:
+        """Members (at most ``rows``) of buckets with more than one group, with their root and all buckets they are left in; their number."""
+        members = shared_out(members, rows)
+        named = members.join(looked_up(groups, n_links), "node", "left").withColumn("root", F.coalesce("root", "node"))
         mixed = named.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        rest = named.join(mixed.where("low < high").select("bucket"), "bucket").select(*carried, "root")
+        rest = named.join(looked_up(mixed.where("low < high").select("bucket"), rows), "bucket").select(*carried, "root")
         places = rest.groupBy("node").agg(F.sort_array(F.collect_list("bucket")).alias("buckets"))
-        found = written(rest.join(places, "node"), "bucket-members")
+        found = rest.join(looked_up(places, rows), "node")
+        if rows <= SHARE:
+            found = found.repartition(spark.sparkContext.defaultParallelism)
+        found = written(found, "bucket-members")
         release(spark)
-        return found
+        return found, found.count()
 
-    groups = components(given)
-    members = left(members, groups)
-    known = spark.createDataFrame([], "a long, b long, far double")
+    groups = components(links.select("a", "b")) if links is not None else spark.createDataFrame([], "node long, root long")
+    n_links = links.count() if links is not None else 0
+    members, rows = left(members, groups, rows)
+    known, n_known = spark.createDataFrame([], "a long, b long, far double"), 0
     pivots = 1
-    while not members.isEmpty():
-        candidates = members
+    while rows:
+        every = candidates = shared_out(members, rows)
         if pivots > 1:
-            sizes = members.groupBy("bucket", "root").agg(F.count("*").alias("size"))
+            sizes = every.groupBy("bucket", "root").agg(F.count("*").alias("size"))
             largest = sizes.groupBy("bucket").agg(F.max(F.struct("size", "root")).alias("top"))
-            candidates = members.join(largest, "bucket").where("root <> top.root")
+            candidates = every.join(looked_up(largest, rows), "bucket").where("root <> top.root")
         part = F.pmod(F.xxhash64("node"), F.lit(pivots)).alias("part")
         order = F.struct(F.coalesce("lean", F.lit(0.0)).alias("lean"), "node", *told_by)
         chosen = candidates.groupBy("bucket", part).agg(F.min(order).alias("p")).select("bucket", "p.*")
         chosen = chosen.withColumnsRenamed({"node": "pivot", **{c: f"pivot_{c}" for c in told_by}})
         chosen = written(chosen.drop("lean"), "pivots")
-        tried = members.join(chosen, "bucket").where("node <> pivot and root <> pivot_root")
+        tried = members.join(looked_up(chosen, rows), "bucket").where("node <> pivot and root <> pivot_root")
         near = F.abs(F.col("d0") - F.col("pivot_d0")) <= reach
         fits = (F.col("weight") <= F.col("pivot_room")) & (F.col("pivot_weight") <= F.col("room"))
         tried = tried.where(F.coalesce(near, F.lit(True)) & F.coalesce(fits, F.lit(True)))
@@ -83,23 +92,27 @@ def pivot_links(
             tried = tried.where(~F.coalesce(unlike(F.col("sketch"), F.col("pivot_sketch")), F.lit(False)))
         # A pair that shares several buckets is met in the first of them only.
         tried = tried.where(F.array_min(F.array_intersect("buckets", "pivot_buckets")) == F.col("bucket"))
-        pairs = tried.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+        tried = tried.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+        tried = written(tried, "pairs")
+        n_pairs = tried.count()
+        pairs = shared_out(tried, n_pairs).distinct()
         if pivots > 1:
-            pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
-        far = written(compare(pairs).select("a", "b", "far"), "pair-distances")
+            pairs = pairs.join(looked_up(known.select("a", "b"), n_known), ["a", "b"], "left_anti")
+        far = written(compare(looked_up(pairs, n_pairs)).select("a", "b", "far"), "pair-distances")
         if pivots == 1:
             # Distances to the bucket's first pivot serve all later rounds.
             first = chosen.select("bucket", F.col("pivot").alias("p0"))
-            rest = members.drop("d0").join(first, "bucket").where("node <> p0")
+            rest = every.drop("d0").join(looked_up(first, rows), "bucket").where("node <> p0")
             rest = rest.withColumns({"a": F.least("node", "p0"), "b": F.greatest("node", "p0")})
-            rest = rest.join(far, ["a", "b"], "left").withColumn("d0", F.col("far"))
+            rest = rest.join(looked_up(far, n_pairs), ["a", "b"], "left").withColumn("d0", F.col("far"))
         else:
-            rest = members.join(chosen.select("bucket", F.col("pivot").alias("node")), ["bucket", "node"], "left_anti")
-        known = known.unionByName(far)
+            gone = chosen.select("bucket", F.col("pivot").alias("node"))
+            rest = every.join(looked_up(gone, rows), ["bucket", "node"], "left_anti")
+        known, n_known, n_links = known.unionByName(far), n_known + n_pairs, n_links + n_pairs
         found = far.where(F.col("far") <= reach).select("a", "b")
         if not found.isEmpty():
             # The groups so far, as stars, say the same as all links before.
             groups = components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found))
-        members = left(rest.select(*carried), groups)
+        members, rows = left(rest.select(*carried), groups, rows)
         pivots *= growth
     return known.where(F.col("far") <= reach).select("a", "b")

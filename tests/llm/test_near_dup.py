@@ -199,6 +199,32 @@ def test_components(spark):
     assert {r.node: r.root for r in components(frame).collect()} == {x: groups.find(x) for x in list(groups)}
 
 
+@pytest.mark.parametrize("share", [None, 0])
+def test_few_links_are_one_tasks_share(spark, monkeypatch, share):
+    from mixlens.llm import common
+
+    if share is not None:
+        monkeypatch.setattr(common, "SHARE", share)
+    links = [(x, x + 1) for x in range(40)] + [(100, 102), (101, 102)]
+    context, held = spark.sparkContext, {"spark.sql.shuffle.partitions": "211", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    context.setJobGroup(f"few-links-{share}", "")
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        found = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert found == {**{x: 0 for x in range(41)}, **{x: 100 for x in (100, 101, 102)}}
+    told = context.statusTracker()
+    jobs = [told.getJobInfo(j) for j in told.getJobIdsForGroup(f"few-links-{share}")]
+    stages = [told.getStageInfo(s) for j in jobs for s in j.stageIds]
+    # Dealt out to all shuffle partitions, each round takes some hundred tasks.
+    assert (max(s.numTasks for s in stages if s) < 211) == (share is None)
+
+
 def test_pivots_lose_no_link(spark):
     """Points on a line in random buckets: everything that close pairs connect is connected."""
     rng = random.Random(6)
