@@ -247,3 +247,25 @@ def test_pivots_lose_no_link(spark):
                 want.join(a, b)
     assert {i: got.find(i) for i in points} == {i: want.find(i) for i in points}
     assert len({got.find(i) for i in points}) < 100
+
+
+def test_a_crowd_that_nothing_tells_apart_meets_each_pair_once(spark, monkeypatch):
+    """All members are pivots in the end, and share buckets; nobody is near anybody."""
+    from mixlens.llm import pivots
+
+    tables = []
+
+    def noted(df, name, *folders):
+        found = real(df, name, *folders)
+        tables.append((name, found))
+        return found
+
+    real = pivots.written
+    monkeypatch.setattr(pivots, "written", noted)
+    members = [(b, i) for b in (1, 2, 3) for i in range(60) if b < 3 or i % 2]
+    frame = spark.createDataFrame(members, "bucket long, node long")
+    assert pivot_links(frame, lambda pairs: pairs.withColumn("far", F.lit(1.0)), 0.2, 8).count() == 0
+    met = Counter((r.a, r.b) for name, t in tables if name == "pairs" for r in t.collect())
+    assert set(met.values()) == {1} and len(met) == 60 * 59 // 2
+    # 1, 8 and 64 pivots: the last round takes all that are left.
+    assert sum(name == "pivots" for name, _ in tables) == 3
