@@ -49,7 +49,7 @@ CHUNK, HELD = 1 << 11, 1 << 20
 POOL_BITS, STEPS = 15, 4
 #: Buckets of so many texts are searched only as far as what their texts share allows.
 CROWD = 8
-#: Draws in the sketches of their texts, bits kept of each, and triples (sets of them) that the draws take by turns.
+#: Draws in the sketches of their texts, bits kept of each, and triples (sets of them) that all draws take by turns.
 DRAWS, BITS, POOLS = 512, 2, 8
 #: Probability that sketches rule out a pair that is only just similar.
 MISS = 1e-6
@@ -261,12 +261,12 @@ def _signing(idf: bytes) -> Callable:
 
         pick = keys(BANDS * ROWS, 5)
         # Worker processes outlive tasks; the library's module holds the draws for the next task. Nearly all
-        # weights are 1: for those, what each triple gives is kept ready.
+        # weights are 1: for those, what each triple gives is kept ready. A band's draws are of different pools;
+        # draws of one pool differ in the triples that they give a shingle.
         kept = np.__dict__.setdefault("_kept_draws", {})
-        name = (BANDS * ROWS, POOL_BITS, STEPS)
+        name = ("bands", POOLS, POOL_BITS, STEPS)
         if name not in kept:
-            pools = [_pool(k) for k in range(BANDS * ROWS)]
-            every = np.arange(1 << POOL_BITS)
+            pools, every = [_pool(k) for k in range(POOLS)], np.arange(1 << POOL_BITS)
             kept[name] = [(p, sampled(p, every, np.zeros(len(every)))) for p in pools]
         draws = kept[name]
 
@@ -287,7 +287,8 @@ def _signing(idf: bytes) -> Callable:
             other, less = np.flatnonzero(full), np.flatnonzero(steps != full)
             own = mixed(shingles) >> np.uint64(32)
             short = (shingles >> np.uint64(32)).astype(np.uint32)
-            for k, (pool, ready) in enumerate(draws):
+            for k in range(BANDS * ROWS):
+                pool, ready = draws[k % POOLS]
                 index = (short * np.uint32(pick[k] >> np.uint64(32) | np.uint64(1))) >> np.uint32(32 - POOL_BITS)
                 value = ready[index]
                 if len(other):

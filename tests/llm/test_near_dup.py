@@ -269,3 +269,24 @@ def test_a_crowd_that_nothing_tells_apart_meets_each_pair_once(spark, monkeypatc
     assert set(met.values()) == {1} and len(met) == 60 * 59 // 2
     # 1, 8 and 64 pivots: the last round takes all that are left.
     assert sum(name == "pivots" for name, _ in tables) == 3
+
+
+def test_draws_of_all_bands_take_few_tables():
+    """The tables that a Python worker keeps, and bands that meet as often as the law says, for sets of similarity 0.8 and 0.4."""
+    import pyarrow as pa
+
+    texts, n = [], 400
+    for i in range(n):
+        words = [f"m{i}w{k}" for k in range(184)]
+        for changed in (20, 77):
+            texts += [" ".join(words), " ".join(words[: 184 - changed] + [f"z{i}c{changed}w{k}" for k in range(changed)])]
+    np.__dict__.pop("_kept_draws", None)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    bands = [np.array(x) for out in near_dup._signing(b"")([batch]) for x in out.column(2).to_pylist()]
+    held = [x for tables in np.__dict__.pop("_kept_draws").values() for pool, ready in tables for x in (*pool, ready)]
+    assert sum(x.nbytes for x in held) < 16 << 20
+    for start, similarity in ((0, 160 / 200), (2, 103 / 257)):
+        same = np.array([bands[4 * i + start] == bands[4 * i + start + 1] for i in range(n)])
+        assert same.mean() == pytest.approx(similarity**near_dup.ROWS, abs=0.03)
+        missed = (1 - similarity**near_dup.ROWS) ** near_dup.BANDS
+        assert (~same.any(axis=1)).mean() == pytest.approx(missed, abs=0.08 if missed > 0.01 else 0.005)
