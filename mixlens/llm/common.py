@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import gc
-import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mixlens.session import release as release
 from mixlens.session import scratch_path
 
 #: ASCII white space; everything else belongs to a word.
@@ -67,18 +66,6 @@ def looked_up(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= SHARE else df
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of finished steps now; it does so when its driver collects garbage.
-
-    The first round frees what Python still held of them on the driver, the
-    second one finds it gone.
-    """
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.2)
-
-
 def kept_whole(docs: DataFrame, *columns: str) -> DataFrame:
     """The given columns and ``row``, the whole row as a struct, whose names can clash with no others."""
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *columns)

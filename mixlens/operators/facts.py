@@ -30,12 +30,15 @@ from mixlens.operators.joins import join_dimension
 SNAPSHOT_DATE = "2025-03-11"
 
 
-def _with_campaign_id(rows: DataFrame, bulk: DataFrame, null_safe: bool) -> DataFrame:
+def _with_campaign_id(
+    rows: DataFrame, bulk: DataFrame, null_safe: bool, lookup: DataFrame | None = None
+) -> DataFrame:
     """Add the campaign id by name; rows of unknown campaigns disappear.
 
     ``null_safe`` lets rows without a campaign name match a nameless campaign.
+    ``lookup`` is the written ``campaign_lookup`` of the bulk file, where there is one.
     """
-    lookup = campaign_lookup(bulk).where(F.col("campaign_id").isNotNull())
+    lookup = (campaign_lookup(bulk) if lookup is None else lookup).where(F.col("campaign_id").isNotNull())
     found = join_dimension(rows, lookup, "campaign_name")
     if null_safe:
         nameless = bulk.where((F.col("entity") == "Campaign") & F.col("campaign_name").isNull())
@@ -45,7 +48,9 @@ def _with_campaign_id(rows: DataFrame, bulk: DataFrame, null_safe: bool) -> Data
     return found
 
 
-def fact_ads_by_id(ads: DataFrame, bulk: DataFrame, null_safe: bool = False) -> DataFrame:
+def fact_ads_by_id(
+    ads: DataFrame, bulk: DataFrame, null_safe: bool = False, lookup: DataFrame | None = None
+) -> DataFrame:
     """Daily ads fact by (date, campaign, product, sku); null keys form their own groups."""
     extra = {
         c: to_money0(c) if c in ads.columns else to_money0(F.lit(0))
@@ -66,7 +71,7 @@ def fact_ads_by_id(ads: DataFrame, bulk: DataFrame, null_safe: bool = False) ->
     )
     measures = rows.columns[4:]
     return (
-        _with_campaign_id(rows, bulk, null_safe)
+        _with_campaign_id(rows, bulk, null_safe, lookup)
         .groupBy("date_id", "campaign_id", "asin", "sku")
         .agg(*[F.sum(m).alias(m) for m in measures])
     )
@@ -79,7 +84,9 @@ def ads_by_product(fact: DataFrame) -> DataFrame:
     return fact.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
 
 
-def fact_terms_by_id(terms: DataFrame, bulk: DataFrame, null_safe: bool = False) -> DataFrame:
+def fact_terms_by_id(
+    terms: DataFrame, bulk: DataFrame, null_safe: bool = False, lookup: DataFrame | None = None
+) -> DataFrame:
     """Search-term fact by campaign id, one row per report row."""
     rows = terms.select(
         date_column(terms, "start_date").alias("date_id"),
@@ -93,7 +100,7 @@ def fact_terms_by_id(terms: DataFrame, bulk: DataFrame, null_safe: bool = False)
         to_money0("total_sales_7d").alias("sales_7d"),
         to_long0("total_orders_7d").alias("orders_7d"),
     )
-    return _with_campaign_id(rows, bulk, null_safe).select(
+    return _with_campaign_id(rows, bulk, null_safe, lookup).select(
         "date_id",
         "campaign_id",
         *[c for c in rows.columns if c not in ("date_id", "campaign_name")],

@@ -18,7 +18,7 @@ from mixlens.operators import performance as perf
 from mixlens.operators.joins import join_dimension
 from mixlens.plans import runs, star
 from mixlens.plans import tables as t
-from mixlens.session import scratch_path
+from mixlens.session import release, scratch_path
 from mixlens.sources import reports as rep
 from mixlens.sources import warehouse as wh
 from mixlens.streaming.daily import daily_from_events, events_since, stream_daily
@@ -159,8 +159,12 @@ def k2_q1_from_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
         "search_terms": t.raw_terms(spark, sf_dir),
         "business_report": t.raw_business(spark, sf_dir),
     }
-    landed = {name: f"{landing}/{rep.SOURCES[name]}" for name in raw}
-    wh.at_once(spark, [partial(wh.write_report, df, landed[name], "parquet") for name, df in raw.items()])
+    steps = {name: partial(wh.write_report, df, f"{landing}/{rep.SOURCES[name]}", "parquet") for name, df in raw.items()}
+    # The largest report has no join: it comes when the shuffle files of the others are gone.
+    largest = steps.pop("advertised_products")
+    wh.at_once(spark, list(steps.values()))
+    release(spark)
+    largest()
     tables = runs.build_warehouse(spark, landing, warehouse, fmt="parquet", partitions={})
     return _decimals_as_doubles(runs.standing_questions(tables)["campaign_roas_tacos"])
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from mixlens.operators import anonymize as anon
 from mixlens.operators import mix, mix_budget, mix_model
 from mixlens.operators import performance as perf
+from mixlens.operators.dimensions import campaign_lookup
 from mixlens.operators.facts import SNAPSHOT_DATE, allocate_snapshot, weekly_actuals
 from mixlens.plans.star import star_by_id
 from mixlens.sources import reports as rep
@@ -20,6 +21,9 @@ from mixlens.sources import warehouse as wh
 
 Terms = Sequence[tuple[str, str]]
 
+# The folder name starts with "_", so it isn't taken for a table.
+LOOKUP_FOLDER = "_campaign_lookup"
+
 _ANONYMIZERS: dict[str, Callable[[DataFrame, Terms], DataFrame]] = {
     "bulk_campaigns": anon.anonymize_bulk,
     "advertised_products": anon.anonymize_ads,
@@ -45,16 +49,26 @@ def build_warehouse(
     fmt: str = "csv",
     partitions: Mapping[str, str] = wh.PARTITIONS,
 ) -> dict[str, DataFrame]:
-    """Build the id-keyed star schema from processed reports and return the written tables."""
+    """Build the id-keyed star schema from processed reports and return the written tables.
+
+    The lookup of campaigns is written first, below the warehouse: both facts
+    read it, and Spark knows the size of files and so needn't shuffle the facts'
+    rows to find out that it can be broadcast.
+    """
     reports = {name: rep.read_source(spark, name, processed, fmt) for name in rep.REPORTS}
+    bulk = rep.stage_bulk(reports["bulk_campaigns"], optional=True)
+    lookup = f"{warehouse.rstrip('/')}/{LOOKUP_FOLDER}"
+    campaign_lookup(bulk).write.mode("overwrite").parquet(lookup)
     tables = star_by_id(
-        rep.stage_bulk(reports["bulk_campaigns"], optional=True),
+        bulk,
         rep.stage_ads(reports["advertised_products"], optional=True),
         rep.stage_terms(reports["search_terms"]),
         rep.stage_business(reports["business_report"]),
         snapshot_date,
+        spark.read.parquet(lookup),
     )
-    wh.load_warehouse(tables, warehouse, partitions)
+    # CSV is parsed whole for every slice; of Parquet only the columns that a fact needs are read.
+    wh.load_warehouse(tables, warehouse, partitions, {} if fmt == "csv" else wh.SLICED)
     return wh.read_warehouse(spark, warehouse)
 
 

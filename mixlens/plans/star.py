@@ -33,14 +33,18 @@ def star_by_id(
     terms: DataFrame,
     business: DataFrame,
     snapshot_date: str = SNAPSHOT_DATE,
+    lookup: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """The id-keyed warehouse: six tables, ready for ``load_warehouse``."""
+    """The id-keyed warehouse: six tables, ready for ``load_warehouse``.
+
+    ``lookup`` is the ``campaign_lookup`` of the bulk file, if it was written before.
+    """
     return {
         "dim_date": dim_date_observed((ads, "start_date"), (terms, "start_date")),
         "dim_campaign": dim_campaign_entity(bulk),
         "dim_product": dim_product_outer(ads, business),
-        "fact_ads_daily": fact_ads_by_id(ads, bulk),
-        "fact_search_term": fact_terms_by_id(terms, bulk),
+        "fact_ads_daily": fact_ads_by_id(ads, bulk, lookup=lookup),
+        "fact_search_term": fact_terms_by_id(terms, bulk, lookup=lookup),
         "fact_business_report": fact_business_snapshot(business, snapshot_date),
     }
 

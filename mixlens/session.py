@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -46,3 +48,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not root:
         raise ValueError("spark.checkpoint.dir is not set: name a folder that every executor can reach")
     return f"{root.rstrip('/')}/mixlens-{name}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished steps now; it does so when its driver collects garbage.
+
+    The first round frees what Python still held of them on the driver, the
+    second one finds it gone.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)

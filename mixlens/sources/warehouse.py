@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mixlens.session import release
+
 # Names of the warehouse tables.
 WAREHOUSE_TABLES = (
     "dim_date",
@@ -24,6 +26,14 @@ WAREHOUSE_TABLES = (
 # Tables that are written partitioned by day.
 PARTITIONS = {"fact_ads_daily": "date_id", "fact_search_term": "date_id"}
 
+# Facts that are large, and the columns by whose hash their rows are dealt to slices. Filters on
+# these columns reach the scan of the report, past the sum and the join with campaigns.
+SLICED = {"fact_ads_daily": ("date_id", "sku"), "fact_search_term": ("date_id",)}
+
+# A fact that shuffles its rows is written in a slice for every so many bytes of its sources, in so many at
+# most: every slice reads the sources again.
+SLICE_BYTES, SLICES = 128 << 20, 4
+
 # The folder name starts with "_", so readers of the table skip it.
 SCHEMA_FOLDER = "_columns"
 
@@ -47,7 +57,7 @@ def write_report(df: DataFrame, path: str, fmt: str = "csv") -> None:
         # Doubling quotes is how spreadsheet tools and read_report escape them.
         writer.option("header", True).option("escape", '"').csv(path)
     elif fmt == "parquet":
-        writer.parquet(path)
+        writer.option("compression", "zstd").parquet(path)
     else:
         raise ValueError(f"reports are written as csv or parquet, not {fmt!r}")
 
@@ -62,12 +72,49 @@ def _by_partition(df: DataFrame, column: str) -> DataFrame:
     return df.hint("rebalance", column)
 
 
+def _source_bytes(df: DataFrame) -> int:
+    """Bytes of the files that the frame reads; sources of unknown size count as none."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < 2**63 - 1)
+
+
+def _slices(df: DataFrame, partition: str | None = None) -> int:
+    """In how many slices a fact is written: one if it is small or moves no rows between tasks."""
+    wanted = min(SLICES, -(-_source_bytes(df) // SLICE_BYTES))
+    if wanted < 2:
+        return 1
+    written = _by_partition(df, partition) if partition else df
+    return wanted if "Exchange hashpartitioning" in written._jdf.queryExecution().executedPlan().toString() else 1
+
+
+def _write_slices(df: DataFrame, path: str, slices: int, by: Sequence[str], partition: str | None) -> None:
+    """Write the frame slice by slice: the shuffle files of one are gone before the next one's are made.
+
+    A row's slice is a hash of its columns ``by``, so the slices are the whole
+    frame. The mark of success comes with the last one.
+    """
+    for i in range(slices):
+        part = df.where(F.pmod(F.xxhash64(*by), F.lit(slices)) == i) if slices > 1 else df
+        writer = (_by_partition(part, partition) if partition else part).write.mode("append" if i else "overwrite")
+        writer = writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", i == slices - 1)
+        writer = writer.option("compression", "zstd")
+        (writer.partitionBy(partition) if partition else writer).parquet(path)
+        if slices > 1:
+            release(df.sparkSession)
+
+
 def load_warehouse(
-    tables: Mapping[str, DataFrame], path: str, partitions: Mapping[str, str] = PARTITIONS
+    tables: Mapping[str, DataFrame],
+    path: str,
+    partitions: Mapping[str, str] = PARTITIONS,
+    sliced: Mapping[str, Sequence[str]] = SLICED,
 ) -> dict[str, str]:
     """Write every table below ``path`` from scratch; running it again gives the same tables.
 
-    ``partitions`` names the column by which a table gets one folder per value.
+    ``partitions`` names the column by which a table gets one folder per value,
+    ``sliced`` the columns by which a large table is dealt to slices. Tables in
+    slices are written one after another, the others at the same time.
     """
     unknown = set(tables) - set(WAREHOUSE_TABLES)
     if unknown:
@@ -81,9 +128,26 @@ def load_warehouse(
         else:
             df.write.mode("overwrite").parquet(paths[name])
 
+    def dealt_by(name: str) -> list[str]:
+        # All rows of a day go to the same files, so they stay in one slice.
+        wanted = [partitions[name]] if name in partitions else sliced[name]
+        return [c for c in wanted if c in tables[name].columns]
+
+    facts = {name: dealt_by(name) for name in tables if name in sliced}
+    slices = {name: _slices(tables[name], partitions.get(name)) if by else 1 for name, by in facts.items()}
+
+    def write_fact(name: str) -> None:
+        _write_slices(tables[name], paths[name], slices[name], facts[name], partitions.get(name))
+
+    def write_in_turn(names: Sequence[str]) -> None:
+        for name in names:
+            write_fact(name)
+
     if tables:
         spark = next(iter(tables.values())).sparkSession
-        at_once(spark, [partial(write, name) for name in tables])
+        in_turn = [name for name in facts if slices[name] > 1]
+        steps = [partial(write_fact if name in facts else write, name) for name in tables if name not in in_turn]
+        at_once(spark, [*steps, *([partial(write_in_turn, in_turn)] if in_turn else [])])
     return paths
 
 

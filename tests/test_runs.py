@@ -63,3 +63,24 @@ def test_fit_mix_has_every_result(spark):
     results = runs.fit_mix(weekly)
     assert results["model"].where("status = 'ok'").count() == 5
     assert results["budget"].count() == 15 and results["curves"].count() == 4500 and results["metrics"].count() == 5
+
+
+def test_rows_of_facts_are_not_shuffled_to_find_campaigns(spark, small, tmp_path, monkeypatch):
+    """The written lookup's size is known, so the join with campaigns needs no shuffle of the facts' rows."""
+    landing, plans = str(tmp_path / "landing"), {}
+    raw = {"bulk_campaigns": t.raw_bulk, "advertised_products": t.raw_ads, "search_terms": t.raw_terms, "business_report": t.raw_business}
+    for name, make in raw.items():
+        wh.write_report(make(spark, small), f"{landing}/{rep.SOURCES[name]}", "parquet")
+    load = wh.load_warehouse
+
+    def planned(tables, *args):
+        for name in wh.SLICED:
+            plans[name] = tables[name]._jdf.queryExecution().executedPlan().toString()
+        return load(tables, *args)
+
+    monkeypatch.setattr(wh, "load_warehouse", planned)
+    got = runs.build_warehouse(spark, landing, str(tmp_path / "w"), fmt="parquet", partitions={})
+    assert plans["fact_search_term"].count("Exchange hashpartitioning") == 0
+    # The one that is left is for the sum.
+    assert plans["fact_ads_daily"].count("Exchange hashpartitioning") == 1
+    assert got["fact_search_term"].count() > 0

@@ -203,3 +203,62 @@ def test_warehouse_tables_are_written_at_once(spark):
     wh.load_warehouse({"dim_date": Waiting(), "dim_campaign": Waiting()}, "w", partitions={})
     with pytest.raises(ValueError, match="w/dim_product"):
         wh.load_warehouse({"dim_date": Waiting(), "dim_product": Waiting()}, "w", partitions={})
+
+
+def shuffle_files(spark):
+    """Names of the shuffle files that lie on this machine's disk now."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+def sliced_fact(spark, path):
+    """A fact that is summed, read from files: two rows a key, some without a date or sku."""
+    spark.range(4000).select(
+        F.when(F.col("id") % 7 > 0, F.date_add(F.lit(dt.date(2025, 1, 1)), (F.col("id") % 2000 % 50).cast("int"))).alias("date_id"),
+        F.when(F.col("id") % 5 > 0, F.concat(F.lit("s"), F.col("id") % 2000)).alias("sku"),
+        F.col("id").alias("clicks"),
+    ).write.parquet(path)
+    return spark.read.parquet(path).groupBy("date_id", "sku").agg(F.sum("clicks").alias("clicks"))
+
+
+@pytest.mark.parametrize("partitions", [{}, {"fact_ads_daily": "date_id"}])
+def test_a_fact_in_slices_is_whole_and_loads_again(spark, tmp_path, monkeypatch, partitions):
+    tables = {"fact_ads_daily": sliced_fact(spark, str(tmp_path / "report")), "dim_date": spark.range(3)}
+    want = rows(tables["fact_ads_daily"], "date_id", "sku")
+    monkeypatch.setattr(wh, "SLICE_BYTES", 1)
+    assert wh._slices(tables["fact_ads_daily"]) == wh.SLICES > 1
+    for _ in range(2):
+        paths = wh.load_warehouse(tables, str(tmp_path / "w"), partitions)
+        got = spark.read.parquet(paths["fact_ads_daily"]).select("date_id", "sku", "clicks")
+        assert rows(got, "date_id", "sku") == want
+        assert os.path.exists(f"{paths['fact_ads_daily']}/_SUCCESS") and spark.read.parquet(paths["dim_date"]).count() == 3
+
+
+def test_shuffles_of_a_slice_are_gone_before_the_next_one(spark, tmp_path, monkeypatch):
+    fact = sliced_fact(spark, str(tmp_path / "report"))
+    monkeypatch.setattr(wh, "SLICE_BYTES", 1)
+    wh.release(spark)
+    before, left, free = shuffle_files(spark), [], wh.release
+
+    def watched(session):
+        made = shuffle_files(session) - before
+        for _ in range(20):
+            free(session)
+            if not made & shuffle_files(session):
+                break
+        left.append((len(made), len(made & shuffle_files(session))))
+
+    monkeypatch.setattr(wh, "release", watched)
+    wh.load_warehouse({"fact_ads_daily": fact}, str(tmp_path / "w"), {})
+    assert len(left) == wh.SLICES and all(made and not still for made, still in left), left
+
+
+def test_small_facts_and_facts_without_shuffles_are_written_at_once(spark, tmp_path, monkeypatch):
+    summed = sliced_fact(spark, str(tmp_path / "report"))
+    assert wh._slices(summed) == 1
+    monkeypatch.setattr(wh, "SLICE_BYTES", 1)
+    report = spark.read.parquet(str(tmp_path / "report"))
+    assert wh._slices(report) == 1
+    # A folder per day needs the rows of a day together.
+    assert wh._slices(report, "date_id") == wh.SLICES
